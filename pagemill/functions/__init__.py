@@ -10,6 +10,7 @@ from pagemill.functions.text import (
     strict_long,
     strip_suffix,
     tokens,
+    whole_number,
     words,
 )
 
@@ -30,5 +31,6 @@ __all__ = [
     "strip_suffix",
     "tag_mask",
     "tokens",
+    "whole_number",
     "words",
 ]

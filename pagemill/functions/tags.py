@@ -20,8 +20,9 @@ def tag_mask(comment: Column, word_safe: bool = False) -> Column:
     """
     glued = glue(F.coalesce(comment, F.lit("")))
     text = F.lower(comment if word_safe else glued)
+    # Plain additions, not a branch, so that the text is prepared once for all keywords.
     bits = [F.when(F.contains(text, F.lit(k)), 1 << i).otherwise(0) for i, k in enumerate(KEYWORDS)]
-    return F.when(glued != "", reduce(lambda a, b: a + b, bits))
+    return reduce(lambda a, b: a + b, bits, F.when(glued != "", 0))
 
 
 def _hits(mask: Column) -> list[Column]:

@@ -11,11 +11,8 @@ WHITESPACE = " \t\n\x0b\f\r"
 
 
 def words(line: Column) -> Column:
-    """Tokens of a line; case and punctuation are kept.
-
-    Neighbouring delimiters leave empty tokens, which are cheaper to drop after the explode.
-    """
-    return F.split(F.translate(line, WORD_DELIMITERS, " " * len(WORD_DELIMITERS)), " ")
+    """Tokens of a line; case and punctuation are kept. Delimiters at an end leave an empty token."""
+    return F.split(line, f"[{WORD_DELIMITERS}]+")
 
 
 def tokens(line: Column) -> Column:
@@ -34,7 +31,7 @@ def normalise_title(title: Column) -> Column:
 
 def glue(text: Column) -> Column:
     """Remove all whitespace, so that neighbouring words touch."""
-    return F.translate(text, WHITESPACE, "")
+    return F.regexp_replace(text, r"\s+", "")
 
 
 def strip_suffix(text: Column, suffix: str) -> Column:
@@ -53,7 +50,15 @@ def strict_field(fields: Column, i: int, name: str) -> Column:
     return F.coalesce(F.get(fields, F.lit(i)), F.raise_error(missing))
 
 
+def whole_number(text: Column) -> Column:
+    """Text to bigint, NULL unless it is digits with an optional sign.
+
+    The pattern goes first because a failing cast builds an exception per row.
+    """
+    return F.when(F.rlike(text, F.lit(r"^[+-]?[0-9]+$")), text.try_cast("bigint"))
+
+
 def strict_long(text: Column, name: str) -> Column:
     """Text to bigint; text that is no whole number fails the job, ANSI mode or not."""
     bad = F.concat(F.lit(f"bad number in '{name}': "), text)
-    return F.coalesce(text.try_cast("bigint"), F.raise_error(bad))
+    return F.coalesce(whole_number(text), F.raise_error(bad))

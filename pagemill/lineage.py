@@ -34,14 +34,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """Materialise a key table and mark it for broadcast when it has at most ``max_rows`` rows.
+    """Mark a key table for broadcast if it has at most ``max_rows`` rows; also its row count.
 
-    Beyond that the table comes back unmarked, so joins to it shuffle. The second
-    value is the number of rows, counted no further than ``max_rows + 1``.
+    Beyond that the table comes back unmarked, so joins to it shuffle. ``df`` is read for
+    the count and again in the join, so it should be checkpointed or persisted.
     """
-    kept = cut_lineage(df)
-    n = kept.limit(max_rows + 1).count()
-    return (F.broadcast(kept) if n <= max_rows else kept), n
+    n = df.count()
+    return (F.broadcast(df) if n <= max_rows else df), n
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pagemill.functions.tags import mask_tags, tag_mask
-from pagemill.lineage import broadcast_if_small
+from pagemill.lineage import broadcast_if_small, cut_lineage
 from pagemill.operators.numbering import number_rows
 
 # Key column and counterparty column of either view.
@@ -81,7 +81,8 @@ def edit_history(revisions: DataFrame, by: str = "page", part_edits: int = PART_
     log = revisions.select(
         key, F.col(other).cast("string").alias("other"), "ts", "rev_id", tag_mask(F.col("comment")).alias("mask")
     )
-    busy, n_busy = broadcast_if_small(edit_counts(revisions, by).where(F.col("edits") > part_edits).select(key))
+    busy = edit_counts(revisions, by).where(F.col("edits") > part_edits).select(key)
+    busy, n_busy = broadcast_if_small(cut_lineage(busy))
     if n_busy == 0:
         history = _pack(log.withColumn("part", F.lit(0).cast("bigint")), key)
     else:
@@ -90,7 +91,7 @@ def edit_history(revisions: DataFrame, by: str = "page", part_edits: int = PART_
         per_key = numbered.groupBy(key).agg(
             F.min("n").alias("first"), F.max_by("mask", F.when(F.col("mask").isNotNull(), F.col("n"))).alias("latest")
         )
-        per_key, _ = broadcast_if_small(per_key)
+        per_key, _ = broadcast_if_small(cut_lineage(per_key))
         parts = numbered.join(per_key, key).withColumn(
             "part", F.floor((F.col("n") - F.col("first")) / part_edits).cast("bigint")
         )

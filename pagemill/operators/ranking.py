@@ -20,7 +20,7 @@ SPREAD_LINKS = 100_000
 
 
 class Graph(NamedTuple):
-    """``pages id, links, spread`` and ``edges src, salt, dst, m``, both kept for the steps."""
+    """``pages id, links, spread`` and ``edges src, [salt,] dst, m``, both kept for the steps."""
 
     pages: DataFrame
     edges: DataFrame
@@ -30,15 +30,15 @@ class Graph(NamedTuple):
         self.edges.unpersist()
 
 
-def pages_of(edges: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    """``id, links, targets``: all sources, targets and listed pages with their number of
-    links and of distinct targets. ``edges`` are ``src, dst, m`` with distinct pairs."""
-    zero = F.lit(0).cast("bigint")
-    ends = edges.select(F.col("src").alias("id"), F.col("m").alias("links"), F.lit(1).cast("bigint").alias("targets"))
-    ends = ends.unionByName(edges.select(F.col("dst").alias("id"), zero.alias("links"), zero.alias("targets")))
+def out_degree(edges: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """``id, links`` of all sources, targets and listed pages; repeated links count."""
+    links = lambda n: F.lit(n).cast("bigint").alias("links")
+    ends = edges.select(F.col("src").alias("id"), links(1)).unionByName(
+        edges.select(F.col("dst").alias("id"), links(0))
+    )
     if pages is not None:
-        ends = ends.unionByName(pages.select("id", zero.alias("links"), zero.alias("targets")))
-    return ends.groupBy("id").agg(F.sum("links").alias("links"), F.sum("targets").alias("targets"))
+        ends = ends.unionByName(pages.select("id", links(0)))
+    return ends.groupBy("id").agg(F.sum("links").alias("links"))
 
 
 def merge_edges(edges: DataFrame) -> DataFrame:
@@ -46,42 +46,29 @@ def merge_edges(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
 
 
-def out_degree(edges: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    """``id, links``: number of links of every page, repeated ones counted."""
-    return pages_of(merge_edges(edges), pages).select("id", "links")
-
-
 def build_graph(edges: DataFrame, pages: DataFrame | None = None, spread_links: int = SPREAD_LINKS) -> Graph:
     """Prepare ``edges (src, dst)`` for many steps.
 
-    The edges lie hash-partitioned and sorted by ``(src, salt)``, so a step shuffles only
-    ranks and partial sums. Sources with more than ``spread_links`` targets are salted by
-    target; their rank is sent once per salt.
+    The edges lie hash-partitioned and sorted by their join key, so a step shuffles only
+    ranks and partial sums. If a source has more than ``spread_links`` links, the key is
+    ``(src, salt)`` with a salt by target, and its rank is sent once per salt.
     """
     n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    merged = cut_lineage(merge_edges(edges))
-    spread = F.ceil(F.col("targets") / spread_links).cast("int")
+    spread = F.ceil(F.col("links") / spread_links).cast("int")
     all_pages = (
-        pages_of(merged, pages)
-        .select("id", "links", F.greatest(spread, F.lit(1)).alias("spread"))
+        out_degree(edges, pages)
+        .withColumn("spread", F.greatest(spread, F.lit(1)))
         .repartition(n, "id")
         .sortWithinPartitions("id")
         .persist()
     )
-    hubs, n_hubs = broadcast_if_small(
-        all_pages.where(F.col("spread") > 1).select(F.col("id").alias("src"), "spread")
-    )
-    salt = F.lit(0)
+    hubs = all_pages.where(F.col("spread") > 1).select(F.col("id").alias("src"), "spread")
+    hubs, n_hubs = broadcast_if_small(hubs)
+    merged, by = merge_edges(edges), ["src"]
     if n_hubs:
-        merged = merged.join(hubs, "src", "left")
-        salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("spread")), F.lit(0)).cast("int")
-    salted = (
-        merged.select("src", salt.alias("salt"), "dst", "m")
-        .repartition(n, "src", "salt")
-        .sortWithinPartitions("src", "salt")
-        .persist()
-    )
-    return Graph(all_pages, salted)
+        salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("spread")).cast("int"), F.lit(0))
+        merged, by = merged.join(hubs, "src", "left").withColumn("salt", salt).drop("spread"), ["src", "salt"]
+    return Graph(all_pages, merged.repartition(n, *by).sortWithinPartitions(*by).persist())
 
 
 def first_ranks(graph: Graph, start: DataFrame | None = None) -> DataFrame:
@@ -94,12 +81,14 @@ def first_ranks(graph: Graph, start: DataFrame | None = None) -> DataFrame:
 def rank_step(graph: Graph, ranks: DataFrame, damping: float = DAMPING, base: float = BASE) -> DataFrame:
     """One step from ``id, links, spread, rank`` to the same columns."""
     sent = ranks.where(F.col("links") > 0).select(
-        F.col("id").alias("src"),
-        F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("salt"),
-        (F.col("rank") / F.col("links")).alias("share"),
+        F.col("id").alias("src"), "spread", (F.col("rank") / F.col("links")).alias("share")
     )
+    by = ["src"]
+    if "salt" in graph.edges.columns:
+        by = ["src", "salt"]
+        sent = sent.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)))
     received = (
-        graph.edges.join(sent, ["src", "salt"])
+        graph.edges.join(sent.drop("spread"), by)
         .groupBy(F.col("dst").alias("id"))
         .agg(F.sum(F.col("share") * F.col("m")).alias("received"))
     )

@@ -282,9 +282,10 @@ def edit_counts_from_lines(spark, sf_dir):
 from (select doc_id, text, {glued_sql("text")} as c from documents)""")
 def action_tags(spark, sf_dir):
     text = F.col("text")
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", mask_text(tag_mask(text)).alias("tags"), mask_text(tag_mask(text, word_safe=True)).alias("word_safe_tags")
+    masks = table(spark, sf_dir, "documents").select(
+        "doc_id", tag_mask(text).alias("tags"), tag_mask(text, word_safe=True).alias("word_safe_tags")
     )
+    return masks.select("doc_id", *(mask_text(F.col(c)).alias(c) for c in ("tags", "word_safe_tags")))
 
 
 def last_sql(tab: str, by: str, name: str, order: str) -> str:

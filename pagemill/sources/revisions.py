@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pagemill.functions.text import WHITESPACE, strict_long, tokens
+from pagemill.functions.text import WHITESPACE, strict_long, tokens, whole_number
 from pagemill.sources.text import read_lines
 
 # Fields before the comment, fields after it.
@@ -20,8 +20,8 @@ def _records(lines: DataFrame) -> DataFrame:
     tail = lambda i: F.get(t, F.size(t) - i)
     comment = F.slice(t, HEAD + 1, F.greatest(F.size(t) - HEAD - TAIL, F.lit(0)))
     reason = F.when(F.size(t) < HEAD + TAIL, "too few fields").when(
-        F.get(t, F.lit(1)).try_cast("bigint").isNull(), "page id is not a number"
-    ).when(F.get(t, F.lit(0)).try_cast("bigint").isNull(), "revision id is not a number")
+        whole_number(F.get(t, F.lit(1))).isNull(), "page id is not a number"
+    ).when(whole_number(F.get(t, F.lit(0))).isNull(), "revision id is not a number")
     return lines.select("value", tokens(F.col("value")).alias("t")).select(
         "value",
         F.get(t, F.lit(0)).alias("rev_id"),
@@ -37,16 +37,16 @@ def _records(lines: DataFrame) -> DataFrame:
 
 
 def _typed(records: DataFrame, strict: bool) -> DataFrame:
-    number = strict_long if strict else (lambda text, _: text.try_cast("bigint"))
+    number = strict_long if strict else (lambda text, _: whole_number(text))
     return records.select(
         number(F.col("rev_id"), "rev_id").alias("rev_id"),
         number(F.col("page_id"), "page_id").alias("page_id"),
-        F.col("text_id").try_cast("bigint").alias("text_id"),
+        whole_number(F.col("text_id")).alias("text_id"),
         "comment",
-        F.col("user_id").try_cast("bigint").alias("user_id"),
+        whole_number(F.col("user_id")).alias("user_id"),
         "user",
         "ts",
-        F.col("minor").try_cast("int").alias("minor"),
+        whole_number(F.col("minor")).cast("int").alias("minor"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagemill.functions.days import day_from_file_name
-from pagemill.functions.text import strict_field, strict_long
+from pagemill.functions.text import strict_field, strict_long, whole_number
 from pagemill.sources.text import read_lines
 
 
@@ -21,7 +21,7 @@ def parse_pagecounts(
     if mode not in ("failfast", "reject"):
         raise ValueError(f"mode must be 'failfast' or 'reject', not {mode!r}")
     fields = F.split("value", " ")
-    project, size = F.get(fields, F.lit(0)), F.get(fields, F.lit(3)).try_cast("bigint")
+    project, size = F.get(fields, F.lit(0)), whole_number(F.get(fields, F.lit(3)))
     name = F.col(file) if file else None
 
     if mode == "failfast":
@@ -35,7 +35,7 @@ def parse_pagecounts(
             columns += [day_from_file_name(name).alias("day"), name.alias("file")]
         return lines.select(*columns)
 
-    title, views = F.get(fields, F.lit(1)), F.get(fields, F.lit(2)).try_cast("bigint")
+    title, views = F.get(fields, F.lit(1)), whole_number(F.get(fields, F.lit(2)))
     reason = F.when(F.size(fields) < 3, "too few fields").when(views.isNull(), "views is not a number")
     columns = [project.alias("project"), title.alias("title"), views.alias("views"), size.alias("bytes")]
     kept = ["project", "title", "views", "bytes"]
