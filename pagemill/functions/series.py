@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 
 def sparse_series(entries: Column) -> Column:
     """``day-n day-n`` for the days with a count above 0, in day order."""
-    present = F.filter(F.array_sort(entries), lambda e: e["n"] > 0)
+    present = F.filter(F.sort_array(entries), lambda e: e["n"] > 0)
     pairs = F.transform(present, lambda e: F.concat_ws("-", e["day"].cast("string"), e["n"].cast("string")))
     return F.array_join(pairs, " ")
 

@@ -1,4 +1,4 @@
-"""Checkpoints and guarded broadcasts shared by the operators."""
+"""Saved intermediate tables and guarded broadcasts shared by the operators."""
 
 from __future__ import annotations
 
@@ -11,39 +11,42 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 BROADCAST_ROWS = 1_000_000
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which all executors share.
 
     Only a local master may fall back to a folder of this machine.
     """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="pagemill-checkpoint-")
-    sc.setCheckpointDir(folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagemill-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/pagemill-{name}-{uuid.uuid4()}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in reliable storage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute ``df`` once, as a Parquet table in the shared folder.
+
+    Unlike an RDD checkpoint it is compressed and later steps read only the columns they
+    need. It outlives lost executors; whoever owns the shared folder cleans it up.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
     """Mark a key table for broadcast if it has at most ``max_rows`` rows; also its row count.
 
     Beyond that the table comes back unmarked, so joins to it shuffle. ``df`` is read for
-    the count and again in the join, so it should be checkpointed or persisted.
+    the count and again in the join, so it should be saved or persisted.
     """
     n = df.count()
     return (F.broadcast(df) if n <= max_rows else df), n
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared checkpoint folder for a table written between two steps."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4()}"

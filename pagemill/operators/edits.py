@@ -56,16 +56,15 @@ def all_actions(revisions: DataFrame, by: str = "page", word_safe: bool = False)
 
 
 def _pack(log: DataFrame, key: str) -> DataFrame:
-    entries = F.array_sort(F.collect_list(F.struct("ts", "rev_id", "other", "mask")))
+    entries = F.sort_array(F.collect_list(F.struct("ts", "rev_id", "other", "mask")))
     packed = log.groupBy(key, "part").agg(entries.alias("entries"))
-    e = F.col("entries")
     return packed.select(
         key,
         "part",
-        F.size(e).cast("bigint").alias("edits"),
-        F.transform(e, lambda x: x["ts"]).alias("timestamps"),
-        F.transform(e, lambda x: x["other"]).alias("others"),
-        F.get(F.reverse(F.filter(e, lambda x: x["mask"].isNotNull())), F.lit(0))["mask"].alias("mask"),
+        F.size("entries").cast("bigint").alias("edits"),
+        F.col("entries.ts").alias("timestamps"),
+        F.col("entries.other").alias("others"),
+        F.try_element_at(F.array_compact("entries.mask"), F.lit(-1)).alias("mask"),
     )
 
 
@@ -78,30 +77,34 @@ def edit_history(revisions: DataFrame, by: str = "page", part_edits: int = PART_
     its rows.
     """
     key, other = _sides(by)
+    first_part = F.lit(0).cast("bigint").alias("part")
     log = revisions.select(
         key, F.col(other).cast("string").alias("other"), "ts", "rev_id", tag_mask(F.col("comment")).alias("mask")
     )
     busy = edit_counts(revisions, by).where(F.col("edits") > part_edits).select(key)
     busy, n_busy = broadcast_if_small(cut_lineage(busy))
     if n_busy == 0:
-        history = _pack(log.withColumn("part", F.lit(0).cast("bigint")), key)
+        history = _pack(log.select("*", first_part), key)
     else:
-        quiet = _pack(log.join(busy, key, "left_anti").withColumn("part", F.lit(0).cast("bigint")), key)
-        numbered = number_rows(log.join(busy, key, "left_semi"), [key, "ts", "rev_id"], "n")
-        per_key = numbered.groupBy(key).agg(
-            F.min("n").alias("first"), F.max_by("mask", F.when(F.col("mask").isNotNull(), F.col("n"))).alias("latest")
-        )
-        per_key, _ = broadcast_if_small(cut_lineage(per_key))
-        parts = numbered.join(per_key, key).withColumn(
-            "part", F.floor((F.col("n") - F.col("first")) / part_edits).cast("bigint")
-        )
-        loud = _pack(parts.drop("n", "first", "latest"), key).drop("mask").join(
-            per_key.select(key, F.col("latest").alias("mask")), key
-        )
-        history = quiet.unionByName(loud)
+        # Read three times below, and often parsed from text: saved once as five columns.
+        log = cut_lineage(log)
+        quiet = _pack(log.join(busy, key, "left_anti").select("*", first_part), key)
+        history = quiet.unionByName(_busy_history(log.join(busy, key, "left_semi"), key, part_edits))
     return history.withColumn("actions", mask_tags(F.col("mask"))).drop("mask")
 
 
+def _busy_history(log: DataFrame, key: str, part_edits: int) -> DataFrame:
+    """Parts of exactly ``part_edits`` edits, cut by the position among all rows in key order."""
+    numbered = number_rows(log, [key, "ts", "rev_id"], "n")
+    tagged_at = F.when(F.col("mask").isNotNull(), F.col("n"))
+    per_key = numbered.groupBy(key).agg(F.min("n").alias("first"), F.max_by("mask", tagged_at).alias("latest"))
+    per_key, _ = broadcast_if_small(cut_lineage(per_key))
+    part = F.floor((F.col("n") - F.col("first")) / part_edits).cast("bigint")
+    parts = numbered.join(per_key, key).select(key, part.alias("part"), "ts", "rev_id", "other", "mask")
+    latest = per_key.select(key, F.col("latest").alias("mask"))
+    return _pack(parts, key).drop("mask").join(latest, key)
+
+
 def sort_edits(result: DataFrame, by: str = "page", sort: str | None = None) -> DataFrame:
     """Order a result by its key (``"key"``), by ascending edit count (``"edits"``) or not at all.
 

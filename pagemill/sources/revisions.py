@@ -6,67 +6,62 @@ behind it are found by counting from the end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pagemill.functions.text import WHITESPACE, strict_long, tokens, whole_number
+from pagemill.functions.text import WHITESPACE, WHOLE_NUMBER, strict_long, tokens, whole_number
 from pagemill.sources.text import read_lines
 
 # Fields before the comment, fields after it.
 HEAD, TAIL = 3, 7
 
 
-def _records(lines: DataFrame) -> DataFrame:
-    t = F.col("t")
-    tail = lambda i: F.get(t, F.size(t) - i)
-    comment = F.slice(t, HEAD + 1, F.greatest(F.size(t) - HEAD - TAIL, F.lit(0)))
-    reason = F.when(F.size(t) < HEAD + TAIL, "too few fields").when(
-        whole_number(F.get(t, F.lit(1))).isNull(), "page id is not a number"
-    ).when(whole_number(F.get(t, F.lit(0))).isNull(), "revision id is not a number")
-    return lines.select("value", tokens(F.col("value")).alias("t")).select(
-        "value",
-        F.get(t, F.lit(0)).alias("rev_id"),
-        F.get(t, F.lit(1)).alias("page_id"),
-        F.get(t, F.lit(2)).alias("text_id"),
-        F.array_join(comment, " ").alias("comment"),
-        tail(7).alias("user_id"),
-        tail(6).alias("user"),
-        tail(5).alias("ts"),
-        tail(4).alias("minor"),
-        reason.alias("reason"),
-    )
-
-
-def _typed(records: DataFrame, strict: bool) -> DataFrame:
-    number = strict_long if strict else (lambda text, _: whole_number(text))
-    return records.select(
-        number(F.col("rev_id"), "rev_id").alias("rev_id"),
-        number(F.col("page_id"), "page_id").alias("page_id"),
-        whole_number(F.col("text_id")).alias("text_id"),
-        "comment",
-        whole_number(F.col("user_id")).alias("user_id"),
-        "user",
-        "ts",
-        whole_number(F.col("minor")).cast("int").alias("minor"),
-    )
+# Both ids in front, tested on the line.
+GOOD_IDS = rf"^{WHOLE_NUMBER}\s+{WHOLE_NUMBER}(?:\s|$)"
 
 
 def parse_revisions(lines: DataFrame, mode: str = "failfast") -> DataFrame | tuple[DataFrame, DataFrame]:
     """``rev_id, page_id, text_id, comment, user_id, user, ts, minor`` from lines in ``value``.
 
     ``ts`` stays the 14-digit text, which sorts like the time it names. The comment has
-    single spaces. A short record or a bad revision or page id fails the job, or lands
-    in the second table ``value, reason`` with ``mode="reject"``.
+    single spaces. A short record or a bad revision or page id fails the job as soon as a
+    field it spoils is used, or lands in the second table ``value, reason`` with
+    ``mode="reject"``.
     """
     if mode not in ("failfast", "reject"):
         raise ValueError(f"mode must be 'failfast' or 'reject', not {mode!r}")
-    records = _records(lines)
+    split = tokens(F.col("value"))
     if mode == "failfast":
-        complete = F.col("reason").isNull() | F.raise_error(
-            F.concat("reason", F.lit(" in: "), "value")
-        ).cast("boolean")
-        return _typed(records.where(complete), strict=True)
-    good = _typed(records.where(F.col("reason").isNull()), strict=False)
-    return good, records.where(F.col("reason").isNotNull()).select("value", "reason")
+        return _fields(lines.select(split.alias("t")), strict=True)
+    complete, good_ids = F.size(split) >= HEAD + TAIL, F.rlike("value", F.lit(GOOD_IDS))
+    good = _fields(lines.where(good_ids & complete).select(split.alias("t")), strict=False)
+    reason = F.when(~complete, "too few fields").otherwise("page or revision id is not a number")
+    return good, lines.where(~(good_ids & complete)).select("value", reason.alias("reason"))
+
+
+def _fields(records: DataFrame, strict: bool) -> DataFrame:
+    """Typed fields of split records ``t``; ``strict`` checks each on use."""
+    t = F.col("t")
+    n = F.size(t)
+    short = F.raise_error(F.concat(F.lit("too few fields in: "), F.array_join(t, " ")))
+
+    def from_end(i: int) -> Column:
+        field = F.get(t, n - i)
+        return F.when(n >= HEAD + TAIL, field).otherwise(short) if strict else field
+
+    def number(i: int, name: str) -> Column:
+        field = F.get(t, F.lit(i))
+        return strict_long(field, name) if strict else field.try_cast("bigint")
+
+    return records.select(
+        number(0, "rev_id").alias("rev_id"),
+        number(1, "page_id").alias("page_id"),
+        whole_number(F.get(t, F.lit(2))).alias("text_id"),
+        F.array_join(F.slice(t, HEAD + 1, F.greatest(n - HEAD - TAIL, F.lit(0))), " ").alias("comment"),
+        whole_number(from_end(7)).alias("user_id"),
+        from_end(6).alias("user"),
+        from_end(5).alias("ts"),
+        whole_number(from_end(4)).cast("int").alias("minor"),
+    )
 
 
 def read_revisions(

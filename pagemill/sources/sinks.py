@@ -71,7 +71,7 @@ def link_lists(edges: DataFrame, degrees: DataFrame, line_links: int = LINE_LINK
     )
     repeated = F.array_repeat(F.col("dst").cast("string"), F.col("times"))
     return pieces.groupBy("id", "piece").agg(
-        F.flatten(F.array_sort(F.collect_list(repeated))).alias("links")
+        F.flatten(F.sort_array(F.collect_list(repeated))).alias("links")
     )
 
 

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagemill.functions.days import day_from_file_name
-from pagemill.functions.text import strict_field, strict_long, whole_number
+from pagemill.functions.text import WHOLE_NUMBER, strict_field, strict_long, whole_number
 from pagemill.sources.text import read_lines
 
 
+# A record with a title and whole-number views, tested in one pass over the line.
+GOOD_RECORD = f"^[^ ]* [^ ]* {WHOLE_NUMBER}(?: |$)"
+
+
 def parse_pagecounts(
     lines: DataFrame, mode: str = "failfast", file: str | None = None
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
@@ -20,33 +24,32 @@ def parse_pagecounts(
     """
     if mode not in ("failfast", "reject"):
         raise ValueError(f"mode must be 'failfast' or 'reject', not {mode!r}")
+    strict = mode == "failfast"
     fields = F.split("value", " ")
-    project, size = F.get(fields, F.lit(0)), whole_number(F.get(fields, F.lit(3)))
-    name = F.col(file) if file else None
-
-    if mode == "failfast":
-        columns = [
-            project.alias("project"),
-            strict_field(fields, 1, "title").alias("title"),
-            strict_long(strict_field(fields, 2, "views"), "views").alias("views"),
-            size.alias("bytes"),
-        ]
-        if file:
-            columns += [day_from_file_name(name).alias("day"), name.alias("file")]
+    if strict:
+        title, views = strict_field(fields, 1, "title"), strict_long(strict_field(fields, 2, "views"), "views")
+    else:
+        title, views = F.get(fields, F.lit(1)), F.get(fields, F.lit(2)).try_cast("bigint")
+    columns = [
+        F.get(fields, F.lit(0)).alias("project"),
+        title.alias("title"),
+        views.alias("views"),
+        whole_number(F.get(fields, F.lit(3))).alias("bytes"),
+    ]
+    day = day_from_file_name(F.col(file), strict) if file else None
+    if file:
+        columns += [day.alias("day"), F.col(file).alias("file")]
+    if strict:
         return lines.select(*columns)
 
-    title, views = F.get(fields, F.lit(1)), whole_number(F.get(fields, F.lit(2)))
-    reason = F.when(F.size(fields) < 3, "too few fields").when(views.isNull(), "views is not a number")
-    columns = [project.alias("project"), title.alias("title"), views.alias("views"), size.alias("bytes")]
-    kept = ["project", "title", "views", "bytes"]
-    if file:
-        day = day_from_file_name(name, strict=False)
-        reason = reason.when(day.isNull(), "no date in file name")
-        columns += [day.alias("day"), name.alias("file")]
-        kept += ["day", "file"]
-    parsed = lines.select("value", *columns, reason.alias("reason"))
-    good = parsed.where(F.col("reason").isNull()).select(*kept)
-    return good, parsed.where(F.col("reason").isNotNull()).select("value", "reason")
+    dated = day.isNotNull() if file else F.lit(True)
+    good = F.rlike("value", F.lit(GOOD_RECORD)) & dated
+    reason = (
+        F.when(F.size(fields) < 3, "too few fields")
+        .when(~dated, "no date in file name")
+        .otherwise("views is not a number")
+    )
+    return lines.where(good).select(*columns), lines.where(~good).select("value", reason.alias("reason"))
 
 
 def read_pagecounts(

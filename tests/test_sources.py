@@ -80,14 +80,14 @@ def test_revisions(spark, tmp_path):
 
 def test_revisions_failfast_and_reject(spark):
     short, no_page = "11 7 11 Ann", "11 x 11 c 5 Ann 20070525171206 1 0 NULL NULL"
-    for bad, message in ((short, "too few fields in"), (no_page, "page id is not a number")):
+    for bad, field, message in ((short, "user", "too few fields in"), (no_page, "page_id", "bad number in 'page_id'")):
         with pytest.raises(Exception, match=message):
-            sources.parse_revisions(lines(spark, bad)).select("user").collect()
+            sources.parse_revisions(lines(spark, bad)).select(field).collect()
     good, rejected = sources.parse_revisions(lines(spark, REVISIONS[0], short, no_page), mode="reject")
     assert [r.rev_id for r in good.collect()] == [11]
     assert {tuple(r) for r in rejected.collect()} == {
         (short, "too few fields"),
-        (no_page, "page id is not a number"),
+        (no_page, "page or revision id is not a number"),
     }
 
 
