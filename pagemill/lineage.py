@@ -50,3 +50,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[D
     """
     n = df.count()
     return (F.broadcast(df) if n <= max_rows else df), n
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread the rows of a scan that has fewer tasks than there are cores.
+
+    For a few files that cannot be split, such as gzip. A scan of a big input has more
+    tasks than cores and comes back as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

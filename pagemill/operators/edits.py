@@ -6,7 +6,7 @@ the order of edits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill.functions.tags import mask_tags, tag_mask
 from pagemill.lineage import broadcast_if_small, cut_lineage
@@ -55,41 +55,45 @@ def all_actions(revisions: DataFrame, by: str = "page", word_safe: bool = False)
     )
 
 
-def _pack(log: DataFrame, key: str) -> DataFrame:
+def _pack(log: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
     entries = F.sort_array(F.collect_list(F.struct("ts", "rev_id", "other", "mask")))
-    packed = log.groupBy(key, "part").agg(entries.alias("entries"))
+    return log.groupBy(*keys).agg(entries.alias("entries"), *aggregates)
+
+
+def _unpack(packed: DataFrame, key: str, part: Column, total: Column, latest: Column) -> DataFrame:
     return packed.select(
         key,
-        "part",
+        part.cast("bigint").alias("part"),
         F.size("entries").cast("bigint").alias("edits"),
+        total.cast("bigint").alias("total"),
         F.col("entries.ts").alias("timestamps"),
         F.col("entries.other").alias("others"),
-        F.try_element_at(F.array_compact("entries.mask"), F.lit(-1)).alias("mask"),
+        latest.alias("mask"),
     )
 
 
 def edit_history(revisions: DataFrame, by: str = "page", part_edits: int = PART_EDITS) -> DataFrame:
-    """``<key>, part, edits, timestamps, others, actions``: the packed history.
+    """``<key>, part, edits, total, timestamps, others, actions``: the packed history.
 
     A key with up to ``part_edits`` edits is one row with ``part`` 0. A busier key gets one
-    row per ``part_edits`` edits, in order, so no task ever holds its whole history;
-    ``edits`` is the number in the row. ``actions`` are the key's latest tags on each of
-    its rows.
+    row per ``part_edits`` edits, in order, so no task ever holds its whole history.
+    ``edits`` is the number in the row, ``total`` that of the key; ``actions`` are the
+    key's latest tags, on each of its rows.
     """
     key, other = _sides(by)
-    first_part = F.lit(0).cast("bigint").alias("part")
     log = revisions.select(
         key, F.col(other).cast("string").alias("other"), "ts", "rev_id", tag_mask(F.col("comment")).alias("mask")
     )
-    busy = edit_counts(revisions, by).where(F.col("edits") > part_edits).select(key)
+    busy = edit_counts(revisions, by).where(F.col("edits") > part_edits)
     busy, n_busy = broadcast_if_small(cut_lineage(busy))
-    if n_busy == 0:
-        history = _pack(log.select("*", first_part), key)
-    else:
+    if n_busy:
         # Read three times below, and often parsed from text: saved once as five columns.
         log = cut_lineage(log)
-        quiet = _pack(log.join(busy, key, "left_anti").select("*", first_part), key)
-        history = quiet.unionByName(_busy_history(log.join(busy, key, "left_semi"), key, part_edits))
+    quiet = log.join(busy, key, "left_anti") if n_busy else log
+    latest = F.try_element_at(F.array_compact("entries.mask"), F.lit(-1))
+    history = _unpack(_pack(quiet, [key]), key, F.lit(0), F.size("entries"), latest)
+    if n_busy:
+        history = history.unionByName(_busy_history(log.join(busy, key, "left_semi"), key, part_edits))
     return history.withColumn("actions", mask_tags(F.col("mask"))).drop("mask")
 
 
@@ -97,28 +101,29 @@ def _busy_history(log: DataFrame, key: str, part_edits: int) -> DataFrame:
     """Parts of exactly ``part_edits`` edits, cut by the position among all rows in key order."""
     numbered = number_rows(log, [key, "ts", "rev_id"], "n")
     tagged_at = F.when(F.col("mask").isNotNull(), F.col("n"))
-    per_key = numbered.groupBy(key).agg(F.min("n").alias("first"), F.max_by("mask", tagged_at).alias("latest"))
+    per_key = numbered.groupBy(key).agg(
+        F.min("n").alias("first"), F.count(F.lit(1)).alias("total"), F.max_by("mask", tagged_at).alias("latest")
+    )
     per_key, _ = broadcast_if_small(cut_lineage(per_key))
-    part = F.floor((F.col("n") - F.col("first")) / part_edits).cast("bigint")
-    parts = numbered.join(per_key, key).select(key, part.alias("part"), "ts", "rev_id", "other", "mask")
-    latest = per_key.select(key, F.col("latest").alias("mask"))
-    return _pack(parts, key).drop("mask").join(latest, key)
+    part = F.floor((F.col("n") - F.col("first")) / part_edits)
+    # The explicit repartition keeps a shuffled join by key from gathering a key in one task.
+    parts = numbered.join(per_key, key).withColumn("part", part).repartition(key, "part")
+    packed = _pack(parts, [key, "part"], F.first("total").alias("total"), F.first("latest").alias("latest"))
+    return _unpack(packed, key, F.col("part"), F.col("total"), F.col("latest"))
 
 
 def sort_edits(result: DataFrame, by: str = "page", sort: str | None = None) -> DataFrame:
     """Order a result by its key (``"key"``), by ascending edit count (``"edits"``) or not at all.
 
-    Histories in several parts stay together: their parts sort by the key's total.
+    The parts of a packed history stay together, by the total of their key.
     """
     key, _ = _sides(by)
     if sort is None:
         return result
     if sort not in ("key", "edits"):
         raise ValueError(f"sort must be 'key', 'edits' or None, not {sort!r}")
-    part = ["part"] if "part" in result.columns else []
-    if sort == "key":
-        return result.orderBy(key, *part)
-    if not part:
-        return result.orderBy("edits", key)
-    totals = result.groupBy(key).agg(F.sum("edits").alias("_total"))
-    return result.join(totals, key).orderBy("_total", key, "part").drop("_total")
+    packed = "part" in result.columns
+    order = [key, "part"] if packed else [key]
+    if sort == "edits":
+        order = ["total" if packed else "edits", *order]
+    return result.orderBy(*order)

@@ -1,7 +1,7 @@
 """Global 1-based numbering without gathering the rows in one task.
 
-Rows get a slot ``partition << 33 | position``, the slots are checkpointed, and only one
-count per partition (or input block) is summed up in order and sent back.
+Rows get a slot ``partition << 33 | position``, the slots are saved, and only one count per
+partition (or input block) is summed up in order and sent back.
 """
 
 from __future__ import annotations
@@ -12,8 +12,11 @@ from pagemill.lineage import broadcast_if_small, cut_lineage
 
 
 def number_rows(df: DataFrame, by: list[str | Column], into: str = "line_no") -> DataFrame:
-    """Number rows in the order of ``by``, which should be unique for a repeatable result."""
-    ordered = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    """Number rows in the order of ``by``; rows equal in it come in any order."""
+    # The last range key is unique, so even a value held by a third of all rows is spread.
+    order = [*by, "_row"]
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("_row")
     # Range bounds are sampled, so both passes below have to see the same partitions.
     slots = cut_lineage(ordered.withColumn("_slot", F.monotonically_increasing_id()))
     block = F.shiftright("_slot", 33)

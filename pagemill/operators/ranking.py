@@ -32,12 +32,10 @@ class Graph(NamedTuple):
 
 def out_degree(edges: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """``id, links`` of all sources, targets and listed pages; repeated links count."""
-    links = lambda n: F.lit(n).cast("bigint").alias("links")
-    ends = edges.select(F.col("src").alias("id"), links(1)).unionByName(
-        edges.select(F.col("dst").alias("id"), links(0))
-    )
+    end = lambda page, n: F.struct(F.col(page).alias("id"), F.lit(n).cast("bigint").alias("links"))
+    ends = edges.select(F.inline(F.array(end("src", 1), end("dst", 0))))
     if pages is not None:
-        ends = ends.unionByName(pages.select("id", links(0)))
+        ends = ends.unionByName(pages.select("id", F.lit(0).cast("bigint").alias("links")))
     return ends.groupBy("id").agg(F.sum("links").alias("links"))
 
 
@@ -103,7 +101,7 @@ def page_rank(
     start: DataFrame | None = None,
     damping: float = DAMPING,
     base: float = BASE,
-    checkpoint_every: int = 5,
+    save_every: int = 5,
     save: Callable[[int, DataFrame], None] | None = None,
     spread_links: int = SPREAD_LINKS,
 ) -> DataFrame:
@@ -111,7 +109,7 @@ def page_rank(
 
     ``pages (id)`` adds pages without any link; ``start (id, rank)`` resumes from saved
     ranks; ``save(i, ranks)`` is called with the result of every step. Runs eagerly: the
-    ranks are checkpointed every ``checkpoint_every`` steps and at the end.
+    ranks are saved every ``save_every`` steps, to bound the plan, and at the end.
     """
     if runs < 1:
         raise ValueError("runs must be at least 1")
@@ -119,7 +117,7 @@ def page_rank(
     ranks = first_ranks(graph, start)
     for i in range(1, runs + 1):
         ranks = rank_step(graph, ranks, damping, base)
-        if save is not None or i % checkpoint_every == 0 or i == runs:
+        if save is not None or i % save_every == 0 or i == runs:
             ranks = cut_lineage(ranks)
         if save is not None:
             save(i, ranks.select("id", "rank"))

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagemill import sources
 from pagemill.functions.days import FIRST_DAY, N_DAYS
-from pagemill.lineage import cut_lineage
+from pagemill.lineage import cut_lineage, spread_scan
 from pagemill.operators import balance, counts, edits, ranking, trends
 from pagemill.sources import sinks
 
 
 def word_count(spark: SparkSession, source: str, target: str) -> None:
-    result = counts.word_count(sources.read_lines(spark, source))
+    result = counts.word_count(spread_scan(sources.read_lines(spark, source)))
     sinks.write_lines(sinks.key_value_lines(result, "word", "n"), target)
 
 

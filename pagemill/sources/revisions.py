@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pagemill.functions.text import WHITESPACE, WHOLE_NUMBER, strict_long, tokens, whole_number
+from pagemill.lineage import spread_scan
 from pagemill.sources.text import read_lines
 
 # Fields before the comment, fields after it.
@@ -69,4 +70,4 @@ def read_revisions(
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Revision files; blank lines are no records."""
     lines = read_lines(spark, path).where(F.rtrim(F.col("value"), F.lit(WHITESPACE)) != "")
-    return parse_revisions(lines, mode)
+    return parse_revisions(spread_scan(lines), mode)

@@ -54,8 +54,9 @@ def balance_lines(balances: DataFrame) -> DataFrame:
 def link_lists(edges: DataFrame, degrees: DataFrame, line_links: int = LINE_LINKS) -> DataFrame:
     """``id, piece, links``: link lists of about ``line_links`` entries from ``src, dst, m``.
 
-    ``degrees`` are ``id, links``. A source with more links is spread over pieces by target,
-    and a link repeated more often than that is cut into runs, so no list grows with a hub.
+    ``degrees`` are ``id, links``; a page without links has one empty list. A source with
+    more links is spread over pieces by target, and a link repeated more often than that is
+    cut into runs, so no list grows with a hub.
     """
     runs = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("m") - 1) / line_links).cast("bigint"))
     spread = F.ceil(F.col("links") / line_links).cast("bigint")
@@ -68,21 +69,25 @@ def link_lists(edges: DataFrame, degrees: DataFrame, line_links: int = LINE_LINK
             "dst",
             F.least(F.col("m") - F.col("run") * line_links, F.lit(line_links)).cast("int").alias("times"),
         )
+        # Keeps the join by source from gathering all pieces of a hub in one task.
+        .repartition("id", "piece")
     )
     repeated = F.array_repeat(F.col("dst").cast("string"), F.col("times"))
-    return pieces.groupBy("id", "piece").agg(
-        F.flatten(F.sort_array(F.collect_list(repeated))).alias("links")
+    lists = pieces.groupBy("id", "piece").agg(F.flatten(F.sort_array(F.collect_list(repeated))).alias("links"))
+    empty = degrees.where(F.col("links") == 0).select(
+        "id", F.lit(0).cast("bigint").alias("piece"), F.array().cast("array<string>").alias("links")
     )
+    return lists.unionByName(empty)
 
 
 def rank_lines(ranks: DataFrame, lists: DataFrame) -> DataFrame:
     """``id: \\t rRANK  to1 to2 `` lines, the saved state that ``read_ranks`` takes.
 
-    ``lists`` are the ``id, piece, links`` of :func:`link_lists`; a page without any gets one line.
+    ``lists`` are the ``id, piece, links`` of :func:`link_lists`, one line each.
     """
-    links = F.transform(F.coalesce("links", F.array().cast("array<string>")), lambda x: F.concat(x, F.lit(" ")))
+    links = F.transform("links", lambda x: F.concat(x, F.lit(" ")))
     text = F.concat(F.lit("r"), F.col("rank").cast("string"), F.lit("  "), F.array_join(links, ""))
-    return key_value_lines(ranks.join(lists, "id", "left"), F.concat(F.col("id").cast("string"), F.lit(":")), text)
+    return key_value_lines(lists.join(ranks, "id"), F.concat(F.col("id").cast("string"), F.lit(":")), text)
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "error") -> None:

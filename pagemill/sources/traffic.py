@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagemill.functions.days import day_from_file_name
 from pagemill.functions.text import WHOLE_NUMBER, strict_field, strict_long, whole_number
+from pagemill.lineage import spread_scan
 from pagemill.sources.text import read_lines
 
 
@@ -57,4 +58,4 @@ def read_pagecounts(
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Traffic files with the day taken from each file's name."""
     lines = read_lines(spark, path).select("value", F.col("_metadata.file_name").alias("file"))
-    return parse_pagecounts(lines, mode, "file")
+    return parse_pagecounts(spread_scan(lines), mode, "file")

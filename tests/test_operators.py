@@ -136,8 +136,11 @@ def revisions(spark, revision_data):
 def test_history_against_brute_force(revisions, revision_data, by, size):
     history = edits.edit_history(revisions, by, part_edits=size)
     key = "user" if by == "user" else "page_id"
-    got = {(r[key], r.part): (r.edits, r.timestamps, r.others, r.actions) for r in history.collect()}
+    rows = history.collect()
+    got = {(r[key], r.part): (r.edits, r.timestamps, r.others, r.actions) for r in rows}
     assert got == brute_history(revision_data, by, size)
+    totals = Counter(r[3] if by == "user" else r[1] for r in revision_data)
+    assert all(r.total == totals[r[key]] for r in rows)
 
 
 def test_counts_agree_between_views(revisions, revision_data):
@@ -198,6 +201,14 @@ def test_number_rows(spark, partitions):
     assert {r.name: r.no for r in got} == {n: i + 1 for i, n in enumerate(sorted(names))}
 
 
+def test_number_rows_spreads_equal_rows(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 > 0, "same").otherwise(F.col("id").cast("string")).alias("x"))
+    got = number_rows(df.withColumn("id", F.spark_partition_id()), ["x"], "no")
+    assert sorted(r.no for r in got.select("no").collect()) == list(range(1, 9001))
+    same = got.where("x = 'same'").agg(F.min("no"), F.max("no")).first()
+    assert tuple(same) == (3001, 9000)
+
+
 # --- balance -----------------------------------------------------------------------
 
 
@@ -255,7 +266,7 @@ SMALL = [("2", "1"), ("3", "1"), ("3", "4"), ("r1", "r2"), ("r1", "r2"), ("r1",
 def test_rank_small(spark, runs):
     edges = spark.createDataFrame(SMALL, "src string, dst string")
     pages = spark.createDataFrame([("1",), ("alone",)], "id string")
-    got = ranking.page_rank(edges, runs, pages, checkpoint_every=2)
+    got = ranking.page_rank(edges, runs, pages, save_every=2)
     assert_ranks(got, brute_rank(SMALL, ["1", "alone"], runs))
     assert {r.id: r.rank for r in got.collect()}["alone"] == 0.15
 
