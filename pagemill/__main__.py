@@ -30,11 +30,12 @@ def parser() -> argparse.ArgumentParser:
     p = job("page-edits", "source", "target")
     p.add_argument("--by", choices=["user", "page"], required=True)
     p.add_argument("--sort", choices=["id", "edits", "no"], default="no")
+    p.add_argument("--merge", action="store_true")
     p = job("page-rank", "source", "target")
     p.add_argument("runs", type=int)
     p.add_argument("--resume", action="store_true")
     p.add_argument("--last-only", dest="save_all", action="store_false")
-    job("edit-view-balance", "titles", "page_history", "accesses", "target")
+    job("edit-view-balance", "titles", "page_history", "accesses", "target").add_argument("--merge", action="store_true")
     job("page-name", "titles").add_argument("page_id", type=int)
     job("page-info", "ranks", "titles").add_argument("page_id", type=int)
     return top

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Rows up to which a key-sized table may be broadcast; about 100 MB of keys.
-BROADCAST_ROWS = 1_000_000
+# Rows up to which a table of keys may be broadcast; some 50 MB with long keys.
+BROADCAST_ROWS = 250_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,14 +42,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int]:
     """Mark a key table for broadcast if it has at most ``max_rows`` rows; also its row count.
 
     Beyond that the table comes back unmarked, so joins to it shuffle. ``df`` is read for
     the count and again in the join, so it should be saved or persisted.
     """
     n = df.count()
-    return (F.broadcast(df) if n <= max_rows else df), n
+    return (F.broadcast(df) if n <= (BROADCAST_ROWS if max_rows is None else max_rows) else df), n
 
 
 def spread_scan(df: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def number_lines(lines: DataFrame, into: str = "line_no") -> DataFrame:
     offsets = blocks.select(
         "_file", "_start", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
     )
-    small, _ = broadcast_if_small(cut_lineage(offsets))
+    small, _ = broadcast_if_small(cut_lineage(offsets), max_rows=1_000_000)
     return slots.join(small, ["_file", "_start"]).select(
         (F.col("_offset") + F.col("_slot") - F.col("_first") + 1).alias(into), "value"
     )

@@ -28,7 +28,7 @@ def daily_counts(
     """
     if early not in ("clamp", "drop") or late not in ("fail", "drop"):
         raise ValueError("early must be 'clamp' or 'drop', late 'fail' or 'drop'")
-    counted = pagecounts.where(F.col("title").isNotNull()).select(
+    counted = pagecounts.select(
         "title", day_index(F.col("day"), first_day, clamp=early == "clamp").alias("day"), "views"
     )
     if early == "drop":
@@ -36,7 +36,10 @@ def daily_counts(
     day = F.col("day")
     if late == "drop":
         counted = counted.where(day < n_days)
-    counts = counted.groupBy("title", "day").agg(F.sum("views").alias("n"))
+    counts = counted.groupBy("title", "day").agg(F.sum("views").alias("n"), F.count("title").alias("titled"))
+    # Rows without a title are dropped here: a test of the title itself would be pushed
+    # down to the records and parse each of them twice.
+    counts = counts.where(F.col("titled") > 0).drop("titled")
     if late == "fail":
         # Checked on the aggregated rows: one test per title and day, not per record.
         outside = F.raise_error(F.concat(F.lit("day index outside the window: "), day.cast("string")))

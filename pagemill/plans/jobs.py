@@ -40,11 +40,17 @@ def trend(
     sinks.write_lines(sinks.trend_lines(trends.trend(daily, threshold)), target)
 
 
-def page_edits(spark: SparkSession, source: str, target: str, by: str, sort: str = "no") -> None:
-    """Histories by ``user`` or ``page``, sorted by ``id``, by ``edits`` or not (``no``)."""
+def page_edits(
+    spark: SparkSession, source: str, target: str, by: str, sort: str = "no", merge: bool = False
+) -> None:
+    """Histories by ``user`` or ``page``, sorted by ``id``, by ``edits`` or not (``no``).
+
+    ``merge`` writes a result of moderate size to one file.
+    """
     order = {"id": "key", "edits": "edits", "no": None}[sort]
     history = edits.edit_history(sources.read_revisions(spark, source), by)
-    sinks.write_lines(sinks.history_lines(edits.sort_edits(history, by, order), by), target)
+    write = sinks.write_merged if merge else sinks.write_lines
+    write(sinks.history_lines(edits.sort_edits(history, by, order), by), target)
 
 
 def page_rank(
@@ -73,14 +79,17 @@ def page_rank(
         save(runs, ranks)
 
 
-def edit_view_balance(spark: SparkSession, titles: str, page_history: str, accesses: str, target: str) -> None:
+def edit_view_balance(
+    spark: SparkSession, titles: str, page_history: str, accesses: str, target: str, merge: bool = False
+) -> None:
     """From a titles file and the saved results of the page-edit and access-count jobs."""
     result = balance.edit_view_balance(
         sources.read_titles(spark, titles),
         sources.read_edit_counts(spark, page_history),
         sources.read_access_counts(spark, accesses),
     )
-    sinks.write_lines(sinks.balance_lines(result), target)
+    write = sinks.write_merged if merge else sinks.write_lines
+    write(sinks.balance_lines(result), target)
 
 
 def page_name(spark: SparkSession, titles: str, page_id: int) -> DataFrame:

@@ -100,6 +100,6 @@ def write_merged(lines: DataFrame, path: str, max_rows: int = MERGE_ROWS, mode:
 
     Returns whether it was merged. Sorted input stays sorted from file to file either way.
     """
-    merged = lines.limit(max_rows + 1).count() <= max_rows
+    merged = lines.count() <= max_rows
     write_lines(lines.coalesce(1) if merged else lines, path, mode)
     return merged

@@ -60,7 +60,8 @@ def test_page_edits(spark, data):
         "Ann\t1!@#20070101000001!@#1!@#fix",
         "Bob\t3!@#20070101000002 20070101000003 20070101000004!@#2 1 1!@#add",
     ]
-    run("page-edits", data / "revisions.txt", data / "page", "--by", "page", "--sort", "id")
+    run("page-edits", data / "revisions.txt", data / "page", "--by", "page", "--sort", "id", "--merge")
+    assert len(list((data / "page").glob("part-*"))) == 1
     assert read(data / "page") == [
         "1\t3!@#20070101000001 20070101000003 20070101000004!@#Ann Bob Bob!@#add",
         "2\t1!@#20070101000002!@#Bob!@#",

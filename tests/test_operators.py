@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from pagemill import lineage
 from pagemill.functions.tags import KEYWORDS
 from pagemill.operators import balance, counts, edits, ranking, trends
 from pagemill.operators.numbering import number_rows
@@ -64,6 +65,11 @@ def test_trend(visits):
     assert rows(trends.dense_trend(daily, threshold=11).select("title")) == [("C",)]
 
 
+def test_rows_without_title_are_dropped(spark):
+    df = spark.createDataFrame([(None, date(2010, 1, 1), 5), ("A", date(2010, 1, 1), 1)], "title string, day date, views bigint")
+    assert rows(trends.daily_counts(df)) == [("A", 0, 1)]
+
+
 def test_sparse_and_dense_agree(visits):
     daily = trends.daily_counts(visits)
     sparse = {r.title: r.series for r in trends.trend(daily, threshold=-1).collect()}
@@ -143,6 +149,41 @@ def test_history_against_brute_force(revisions, revision_data, by, size):
     assert all(r.total == totals[r[key]] for r in rows)
 
 
+@pytest.fixture
+def no_broadcasts(spark, monkeypatch):
+    """As if every key table were too big for a broadcast."""
+    monkeypatch.setattr(lineage, "BROADCAST_ROWS", 0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_history_without_broadcasts(revisions, revision_data, no_broadcasts):
+    history = edits.edit_history(revisions, "user", part_edits=60).collect()
+    got = {(r.user, r.part): (r.edits, r.timestamps, r.others, r.actions) for r in history}
+    assert got == brute_history(revision_data, "user", 60)
+
+
+def test_rank_without_broadcasts(spark, no_broadcasts):
+    df = spark.createDataFrame(hub_edges(), "src bigint, dst bigint")
+    assert_ranks(ranking.page_rank(df, 3, spread_links=100), brute_rank(hub_edges(), [], 3))
+
+
+@pytest.mark.parametrize("partitions", ["1", "5", "64"])
+def test_results_do_not_depend_on_partitions(spark, revisions, revision_data, partitions):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        history = edits.edit_history(revisions, "page", part_edits=50).collect()
+        df = spark.createDataFrame(hub_edges(), "src bigint, dst bigint")
+        assert_ranks(ranking.page_rank(df, 2, spread_links=100), brute_rank(hub_edges(), [], 2))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    got = {(r.page_id, r.part): (r.edits, r.timestamps, r.others, r.actions) for r in history}
+    assert got == brute_history(revision_data, "page", 50)
+
+
 def test_counts_agree_between_views(revisions, revision_data):
     per_user = dict(rows(edits.edit_counts(revisions, "user")))
     per_page = dict(rows(edits.edit_counts(revisions, "page")))

@@ -38,7 +38,8 @@ def test_query_matches_sql(spark, db, name):
     names = [d[0] for d in expected.description]
     want = sorted_rows(names, expected.fetchall())
     got = sorted_rows(result.columns, [tuple(r) for r in result.collect()])
-    assert len(got) == len(want) and len(got) > 0
+    assert len(got) == len(want)
+    assert got or SF_DIR.endswith("sf0.001")  # no title is busy enough for a trend there
     for g, w in zip(got, want):
         assert g == w or all(
             a == b or (isinstance(a, float) and isinstance(b, float) and math.isclose(a, b, rel_tol=1e-15))
