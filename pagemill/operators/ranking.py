@@ -114,12 +114,14 @@ def page_rank(
     if runs < 1:
         raise ValueError("runs must be at least 1")
     graph = build_graph(edges, pages, spread_links)
-    ranks = first_ranks(graph, start)
-    for i in range(1, runs + 1):
-        ranks = rank_step(graph, ranks, damping, base)
-        if save is not None or i % save_every == 0 or i == runs:
-            ranks = cut_lineage(ranks)
-        if save is not None:
-            save(i, ranks.select("id", "rank"))
-    graph.release()
+    try:
+        ranks = first_ranks(graph, start)
+        for i in range(1, runs + 1):
+            ranks = rank_step(graph, ranks, damping, base)
+            if save is not None or i % save_every == 0 or i == runs:
+                ranks = cut_lineage(ranks)
+            if save is not None:
+                save(i, ranks.select("id", "rank"))
+    finally:
+        graph.release()
     return ranks.select("id", "rank")
