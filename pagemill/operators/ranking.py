@@ -18,6 +18,9 @@ DAMPING, BASE, FIRST_RANK = 0.85, 0.15, 1.0
 # Links of one source that share a join key; a bigger source is spread over several.
 SPREAD_LINKS = 100_000
 
+# Links per partition of a graph too small for all shuffle partitions.
+PARTITION_LINKS = 100_000
+
 
 class Graph(NamedTuple):
     """``pages id, links, spread`` and ``edges src, [salt,] dst, m``, both kept for the steps."""
@@ -44,29 +47,36 @@ def merge_edges(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
 
 
-def build_graph(edges: DataFrame, pages: DataFrame | None = None, spread_links: int = SPREAD_LINKS) -> Graph:
+def build_graph(
+    edges: DataFrame, pages: DataFrame | None = None, spread_links: int = SPREAD_LINKS, partitions: int | None = None
+) -> Graph:
     """Prepare ``edges (src, dst)`` for many steps.
 
     The edges lie hash-partitioned and sorted by their join key, so a step shuffles only
     ranks and partial sums. If a source has more than ``spread_links`` links, the key is
     ``(src, salt)`` with a salt by target, and its rank is sent once per salt.
+    ``partitions`` defaults to ``spark.sql.shuffle.partitions``, or fewer for a small graph.
     """
-    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.ceil(F.col("links") / spread_links).cast("int")
-    all_pages = (
-        out_degree(edges, pages)
-        .withColumn("spread", F.greatest(spread, F.lit(1)))
-        .repartition(n, "id")
-        .sortWithinPartitions("id")
-        .persist()
-    )
-    hubs = all_pages.where(F.col("spread") > 1).select(F.col("id").alias("src"), "spread")
-    hubs, n_hubs = broadcast_if_small(hubs)
+    spread = F.greatest(F.ceil(F.col("links") / spread_links).cast("int"), F.lit(1))
+    degrees = cut_lineage(out_degree(edges, pages).withColumn("spread", spread))
+    if partitions is None:
+        links = degrees.agg(F.coalesce(F.sum("links"), F.lit(0))).first()[0]
+        most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = min(most, links // PARTITION_LINKS + 1)
+    hubs, n_hubs = broadcast_if_small(degrees.where(F.col("spread") > 1).select(F.col("id").alias("src"), "spread"))
     merged, by = merge_edges(edges), ["src"]
     if n_hubs:
         salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("spread")).cast("int"), F.lit(0))
         merged, by = merged.join(hubs, "src", "left").withColumn("salt", salt).drop("spread"), ["src", "salt"]
-    return Graph(all_pages, merged.repartition(n, *by).sortWithinPartitions(*by).persist())
+    graph = Graph(
+        degrees.repartition(partitions, "id").sortWithinPartitions("id").persist(),
+        merged.repartition(partitions, *by).sortWithinPartitions(*by).persist(),
+    )
+    # A cached table tells its partitioning only once it is filled; planned earlier, the
+    # steps would shuffle both again.
+    graph.pages.count()
+    graph.edges.count()
+    return graph
 
 
 def first_ranks(graph: Graph, start: DataFrame | None = None) -> DataFrame:

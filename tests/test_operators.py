@@ -327,6 +327,13 @@ def test_rank_hubs(spark, spread_links):
     assert_ranks(ranking.page_rank(df, 4, spread_links=spread_links), brute_rank(edges, [], 4))
 
 
+@pytest.mark.parametrize("links", [1, 50, 1500])
+def test_rank_on_few_or_all_partitions(spark, monkeypatch, links):
+    monkeypatch.setattr(ranking, "PARTITION_LINKS", links)
+    df = spark.createDataFrame(hub_edges(), "src bigint, dst bigint")
+    assert_ranks(ranking.page_rank(df, 2), brute_rank(hub_edges(), [], 2))
+
+
 def test_hub_is_spread(spark):
     graph = ranking.build_graph(spark.createDataFrame(hub_edges(), "src bigint, dst bigint"), spread_links=100)
     biggest = graph.edges.groupBy("src", "salt").count().agg(F.max("count")).first()[0]
@@ -350,12 +357,12 @@ def test_rank_resumes_and_saves(spark):
 def test_step_leaves_the_edges_in_place(spark, spread_links, rank_shuffles):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    graph = ranking.build_graph(spark.createDataFrame(hub_edges(), "src bigint, dst bigint"), spread_links=spread_links)
+    df = spark.createDataFrame(hub_edges(), "src bigint, dst bigint")
+    graph = ranking.build_graph(df, spread_links=spread_links, partitions=8)
     try:
-        graph.edges.count()
         step = ranking.rank_step(graph, ranking.rank_step(graph, ranking.first_ranks(graph)))
         plan = step._jdf.queryExecution().executedPlan().toString()
-        by_target = re.findall(r"Exchange hashpartitioning\(dst#\d+L, 8\), ENSURE", plan)
+        by_target = re.findall(r"Exchange hashpartitioning\((?:dst|id)#\d+L, 8\), ENSURE", plan)
         by_source = re.findall(r"Exchange hashpartitioning\(src#\d+L(?:, salt#\d+)?, 8\), ENSURE", plan)
         assert (len(by_target), len(by_source)) == (2, 2 * rank_shuffles)
     finally:
