@@ -19,7 +19,7 @@ DAMPING, BASE, FIRST_RANK = 0.85, 0.15, 1.0
 SPREAD_LINKS = 100_000
 
 # Links per partition of a graph too small for all shuffle partitions.
-PARTITION_LINKS = 100_000
+PARTITION_LINKS = 10_000
 
 
 class Graph(NamedTuple):
@@ -62,7 +62,9 @@ def build_graph(
     if partitions is None:
         links = degrees.agg(F.coalesce(F.sum("links"), F.lit(0))).first()[0]
         most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        partitions = min(most, links // PARTITION_LINKS + 1)
+        # Fewer than all costs one more shuffle of the sums per step: only for far smaller graphs.
+        enough = links // PARTITION_LINKS + 1
+        partitions = enough if 2 * enough <= most else most
     hubs, n_hubs = broadcast_if_small(degrees.where(F.col("spread") > 1).select(F.col("id").alias("src"), "spread"))
     merged, by = merge_edges(edges), ["src"]
     if n_hubs:
