@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from pagemill.plans import catalog
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.SQL
 TABLES = [f[: -len(".parquet")] for f in sorted(os.listdir(SF_DIR)) if f.endswith(".parquet")]
 # Spark type to the DuckDB types it may stand for.
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE"}
@@ -49,6 +50,7 @@ def test_query_matches_sql(spark, db, name):
 
 def test_all_queries_have_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= driver.queries().keys()
 
 
 def test_entry(spark):
