@@ -16,8 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pagemill.lineage import broadcast_if_small, cut_lineage, scratch_path
 from pagemill.llm.rows import FILE, ROW, keeping_columns, located, text_of
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# How the stream keeps its state: on disk, and opened only while a task works on it.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -35,8 +38,9 @@ def keyed_state(spark: SparkSession, landing: str, schema, checkpoint: str) -> D
     kept = stream.groupBy("digest").agg(
         F.max(F.struct("doc_id", FILE, ROW)).alias("keep"), F.count(F.lit(1)).alias("n")
     )
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE}
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
     try:
         query = (
             kept.writeStream.format("noop")
@@ -47,7 +51,8 @@ def keyed_state(spark: SparkSession, landing: str, schema, checkpoint: str) -> D
         )
         query.awaitTermination()
     finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     state = spark.read.format("statestore").load(checkpoint)
     value = [F.col("value").getField(f.name) for f in state.schema["value"].dataType.fields]
     return state.select(F.col("key.digest").alias("digest"), value[0].alias("keep"), value[1].alias("n"))
