@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from pagemill.llm import decontaminate, exact_dedup, langid, mixing
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from pagemill.llm import (
+    decontaminate,
+    exact_dedup,
+    langid,
+    licenses,
+    mixing,
+    near_dedup,
+    quality,
+    secrets,
+    substring_dedup,
+    url_filter,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,11 +47,66 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "n_links", "kept")
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), drop=("text",))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents have no paths: source and language stand for the directories they come from."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat("source", F.lit("/"), "lang", F.lit("/"), F.col("doc_id").cast("string"))
+    found = licenses.license_scan(docs.select("doc_id", "text", path.alias("path")))
+    return found.select("doc_id", "path", "license", "license_from", "cosine", "license_words")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), drop=("text",))
+    return found.select("doc_id", "text_score", "meta_score", "quality_score", "good")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontaminate, op3_exact_dedup, op8_mixing)}
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def of(kind: str) -> Column:
+        return F.filter("secrets", lambda s: s["kind"] == kind)
+
+    base = F.filter("secrets", lambda s: s["nth"] < len(secrets.BASE))
+    return found.select(
+        "doc_id",
+        *(F.size(of(rule.kind)).cast("bigint").alias(f"n_{rule.kind}") for rule in secrets.BASE),
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("secrets")).alias("spans"),
+    )
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.url_filter(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+_ALL = (
+    op1_language_id,
+    op2_decontaminate,
+    op3_exact_dedup,
+    op4_near_dedup,
+    op5_substring_dedup,
+    op6_license_scan,
+    op7_quality,
+    op8_mixing,
+    op9_secret_scan,
+    op10_url_filter,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 
 SQL: dict[str, str] = {}
