@@ -2,7 +2,8 @@
 
 A known word scores its log frequency in each language. An unseen word is cut into
 character n-grams of the longest order that has any known one, and scores the mean log
-frequency of those. Counts cover every training document; the model that is sent to the
+frequency of those among the different words of the language. Counts cover every training
+document; the model that is sent to the
 executors keeps the most frequent entries up to a documented bound, and what falls out of
 it backs off to shorter n-grams like any other unseen word.
 """
@@ -27,6 +28,8 @@ ORDERS = (4, 3, 2, 1)
 # Entries (gram and language) kept of the words and of each order of n-grams.
 MAX_WORDS, MAX_GRAMS = 100_000, 30_000
 SMOOTHING = 0.5
+# Unseen words whose n-grams a worker remembers.
+MAX_REMEMBERED = 200_000
 # A text below this posterior probability is of no clear language.
 MIN_SCORE = 0.5
 # Characters up to which the words of a text are listed in one go.
@@ -38,9 +41,10 @@ _COUNTS = "lang string, n int, gram string, count bigint"
 
 def words_of(text: str) -> Counter:
     """Lower-cased words of a whole text with their counts."""
+    text = text.lower()
     if len(text) <= LIST_CHARS:
-        return Counter(WORD.findall(text.lower()))
-    return Counter(m.group().lower() for m in WORD.finditer(text))
+        return Counter(WORD.findall(text))
+    return Counter(m.group() for m in WORD.finditer(text))
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -54,8 +58,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def count_grams(docs: DataFrame) -> DataFrame:
-    """``lang, n, gram, count`` over all rows of ``text, lang``, words with ``n = 0``."""
+def _rows(lang: str, n: int, counts: dict) -> pa.RecordBatch:
+    size = len(counts)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([lang] * size, pa.string()),
+            pa.array([n] * size, pa.int32()),
+            pa.array(list(counts), pa.string()),
+            pa.array(list(counts.values()), pa.int64()),
+        ],
+        names=["lang", "n", "gram", "count"],
+    )
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """``lang, n = 0, gram, count`` of every word in all rows of ``text, lang``."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,30 +80,37 @@ def count_grams(docs: DataFrame) -> DataFrame:
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 by_lang.setdefault(lang, Counter()).update(words_of(text))
             for lang, words in by_lang.items():
-                yield rows(lang, 0, words)
-                for n in ORDERS:
-                    grams: Counter = Counter()
-                    for word, count in words.items():
-                        for gram in grams_of(word, n):
-                            grams[gram] += count
-                    yield rows(lang, n, grams)
-
-    def rows(lang: str, n: int, counts: Counter) -> pa.RecordBatch:
-        size = len(counts)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang] * size, pa.string()),
-                pa.array([n] * size, pa.int32()),
-                pa.array(list(counts), pa.string()),
-                pa.array(list(counts.values()), pa.int64()),
-            ],
-            names=["lang", "n", "gram", "count"],
-        )
+                yield _rows(lang, 0, words)
 
     parts = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang").mapInArrow(partial, _COUNTS)
     return parts.groupBy("lang", "n", "gram").agg(F.sum("count").alias("count"))
 
 
+def count_grams(words: DataFrame) -> DataFrame:
+    """``lang, n, gram, count`` of the n-grams of every different word; each word counts once,
+    since it is words not seen before that they are to tell apart."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_lang: dict[tuple[str, int], Counter] = {}
+        for batch in batches:
+            own: dict[str, list[str]] = {}
+            for lang, word in zip(batch.column("lang").to_pylist(), batch.column("gram").to_pylist()):
+                own.setdefault(lang, []).append(word)
+            for lang, found in own.items():
+                # Ends are marked by a space each; what spans two words has two in a row.
+                joined = f" {'  '.join(found)} "
+                for n in ORDERS:
+                    grams = Counter(map("".join, zip(*(joined[i:] for i in range(n)))))
+                    held = by_lang.setdefault((lang, n), Counter())
+                    for gram, count in grams.items():
+                        if "  " not in gram:
+                            held[gram] += count
+        for (lang, n), grams in by_lang.items():
+            yield _rows(lang, n, grams)
+
+    return words.mapInArrow(partial, _COUNTS).groupBy("lang", "n", "gram").agg(F.sum("count").alias("count"))
+
+
 def most_frequent(counts: DataFrame, max_words: int, max_grams: int) -> DataFrame:
     """The entries above the lowest frequency that keeps each order within its bound.
 
@@ -133,46 +157,44 @@ class Model:
         self.table = np.log((table + SMOOTHING) / (all_counts[order] + SMOOTHING * kinds[order][:, None] + SMOOTHING))
         share = all_counts[0] / max(1.0, all_counts[0].sum())
         self.prior = np.log(share + 1e-12)
-        self.unknown: dict[str, np.ndarray] = {}
+        self.unseen: dict[str, list[int]] = {}
 
-    def back_off(self, word: str) -> np.ndarray | None:
-        """Mean score of the word's known n-grams of the longest order that has any."""
+    def back_off(self, word: str) -> list[int]:
+        """Entries of the word's known n-grams of the longest order that has any."""
         for n in ORDERS:
             known = [i for i in map(self.index[n].get, grams_of(word, n)) if i is not None]
             if known:
-                return self.table[known].mean(axis=0)
-        return None
+                return known
+        return []
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text or "")
         if not words or not self.langs:
             return UNDETERMINED, 0.0
-        score = self.prior.copy()
-        ids = list(map(self.index[0].get, words))
-        rows, times = [], []
-        for i, (word, count) in zip(ids, words.items()):
-            if i is not None:
-                rows.append(i)
+        entries: list[int] = []
+        times: list[float] = []
+        for (word, count), entry in zip(words.items(), map(self.index[0].get, words)):
+            if entry is not None:
+                entries.append(entry)
                 times.append(count)
                 continue
-            part = self.unknown.get(word)
-            if part is None:
-                part = self.back_off(word)
-                if part is None:
-                    continue
-                if len(self.unknown) >= 200_000:
-                    self.unknown.clear()
-                self.unknown[word] = part
-            score += count * part
-        if rows:
-            score += np.asarray(times, dtype=float) @ self.table[rows]
+            known = self.unseen.get(word)
+            if known is None:
+                if len(self.unseen) >= MAX_REMEMBERED:
+                    self.unseen.clear()
+                known = self.unseen[word] = self.back_off(word)
+            if known:
+                entries += known
+                times += [count / len(known)] * len(known)
+        score = self.prior + np.asarray(times, dtype=float) @ self.table[entries] if entries else self.prior
         best = int(score.argmax())
         return self.langs[best], float(1 / np.exp(score - score[best]).sum())
 
 
 def train(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
     """A model of at most ``max_words + 4 * max_grams`` entries from all rows of ``text, lang``."""
-    counts = cut_lineage(count_grams(docs))
+    words = cut_lineage(count_words(docs))
+    counts = words.unionByName(cut_lineage(count_grams(words)))
     totals = counts.groupBy("lang", "n").agg(F.sum("count").alias("count"), F.count(F.lit(1)).alias("kinds"))
     entries = most_frequent(counts, max_words, max_grams).select("n", "gram", "lang", "count")
     # Sorted, since the order of a shuffle is not repeatable and sums of floats depend on it.

@@ -109,4 +109,108 @@ _ALL = (
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
+# --- the same in SQL ---------------------------------------------------------------
+
+_ITEM_WORDS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
 SQL: dict[str, str] = {}
+
+SQL["op2_decontaminate"] = f"""
+with items as (select cast(item_id as varchar) as item, {_ITEM_WORDS} as w from benchmark),
+windows as (
+  select distinct item, least(len(w), 10) as n, array_to_string(w[i + 1 : i + 10], ' ') as s
+  from (select item, w, unnest(range(0, greatest(len(w) - 10, 0) + 1)) as i from items where len(w) > 0)),
+docs as (select doc_id, coalesce({_ITEM_WORDS}, []) as w from documents),
+places as (
+  select doc_id, n, i, array_to_string(w[i + 1 : i + n], ' ') as s
+  from (select doc_id, w, n, unnest(range(0, len(w) - n + 1)) as i from docs cross join (select distinct n from windows))),
+hits as (select doc_id, i, n, item from places join windows using (n, s)),
+words as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + n)) as j from hits) group by doc_id),
+found as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, item from hits) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from docs left join words using (doc_id) left join found using (doc_id)"""
+
+SQL["op3_exact_dedup"] = """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+       doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
+from documents window same as (partition by coalesce(text, ''))"""
+
+SQL["op5_substring_dedup"] = r"""
+with docs as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents),
+windows as (
+  select doc_id, i, array_to_string(w[i : i + 49], ' ') as s
+  from (select doc_id, w, unnest(range(1, len(w) - 48)) as i from docs)),
+least_doc as (select s, min(doc_id) as least_id from windows group by s),
+cut as (
+  select distinct doc_id, unnest(range(i, i + 50)) as j from windows join least_doc using (s) where doc_id > least_id),
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as j from docs),
+left_over as (
+  select doc_id, string_agg(word, ' ' order by j) as kept, count(*) as n
+  from words anti join cut using (doc_id, j) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from docs left join left_over using (doc_id)"""
+
+
+def _spans_sql(nth: int, rule: secrets.Rule) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return rf"""
+  select doc_id, {nth} as nth, '{rule.kind}' as kind, m.i,
+         len(m.gap) + len(coalesce(m.hit, '')) as step, len(m.hit) as size, len(m.part) >= {rule.least} as counts
+  from (select doc_id, unnest(list_transform(
+    list_zip(string_split_regex(t, '{pattern}'), regexp_extract_all(t, '{pattern}', 0),
+             regexp_extract_all(t, '{pattern}', {rule.group}),
+             range(0, len(string_split_regex(t, '{pattern}')))),
+    lambda x: {{'gap': x[1], 'hit': x[2], 'part': x[3], 'i': x[4]}})) as m
+    from texts where regexp_matches(t, '{pattern}'))"""
+
+
+SQL["op9_secret_scan"] = f"""
+with texts as (select doc_id, coalesce(text, '') as t from documents),
+matches as ({" union all ".join(_spans_sql(n, r) for n, r in enumerate(secrets.RULES))}),
+placed as (
+  select *, cast(sum(step) over (partition by doc_id, nth order by i) as bigint) as stop from matches),
+spans as (
+  select doc_id, nth, kind, stop - size as start, kind || ':' || (stop - size) || ':' || stop as span
+  from placed where size is not null and counts),
+per_doc as (
+  select doc_id, count(*) filter (where nth = 0) as n_assign, count(*) filter (where nth = 1) as n_access,
+         count(*) filter (where nth = 2) as n_hex,
+         string_agg(span, ',' order by start, nth) filter (where nth < 3) as base,
+         string_agg(span, ',' order by start, nth) as spans
+  from spans group by doc_id)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from texts left join per_doc using (doc_id)"""
+
+
+def _rules_sql(says: dict[str, str]) -> str:
+    """The longest rule that fits first."""
+    cases = []
+    for rule in sorted(says, key=len, reverse=True):
+        host, path = rule[: rule.index("/")], rule[rule.index("/") :]
+        cases.append(
+            f"when (host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '{path}') then '{says[rule]}'"
+        )
+    return f"case {' '.join(cases)} end"
+
+
+SQL["op10_url_filter"] = rf"""
+with parts as (
+  select page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+  from pages)
+select page_id, host, path, {_rules_sql({r: r for _, r in url_filter.RULES})} as rule,
+       coalesce({_rules_sql({r: v for v, r in url_filter.RULES})},
+                case when list_has_any(string_split_regex(host, '[.-]'), {list(url_filter.LISTED_WORDS)})
+                     then 'block' else 'allow' end) as verdict
+from parts"""
