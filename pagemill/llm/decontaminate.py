@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pagemill.lineage import cut_lineage
-from pagemill.llm.rows import add_columns
+from pagemill.llm.rows import add_columns, keeping_columns, shielded
 from pagemill.llm.words import ALNUM, Words, mix, word_blocks
 
 WINDOW = 10
@@ -178,6 +178,7 @@ def _pass(docs: DataFrame, strings: Strings, drop: tuple) -> DataFrame:
     return add_columns(docs, fields, compute, drop)
 
 
+@shielded("text")
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_strings: int = MAX_STRINGS, drop: tuple = ()
 ) -> DataFrame:
@@ -193,7 +194,7 @@ def decontaminate(
     windows = cut_lineage(item_windows(benchmark, window))
     blocks = max(1, -(-windows.count() // max_strings))
     block = F.pmod(F.xxhash64("item", "words"), F.lit(blocks))
-    out = docs.drop("n_words", "n_hit", "hit_ranges", "items", "contaminated")
+    out = docs
     for k in range(blocks):
         # At most about max_strings rows: the bound on what is sent to the executors.
         pairs = sorted((r.item, r.words) for r in windows.where(block == k).collect())
@@ -206,4 +207,4 @@ def decontaminate(
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any window of an item."""
-    return decontaminate(docs, benchmark).where(~F.col("contaminated")).select(*docs.columns)
+    return keeping_columns(docs, ("text",), lambda d: decontaminate(d, benchmark).where(~F.col("contaminated")))

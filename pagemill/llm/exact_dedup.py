@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pagemill.lineage import broadcast_if_small, cut_lineage, scratch_path
-from pagemill.llm.rows import FILE, ROW, keeping_columns, located, text_of
+from pagemill.llm.rows import FILE, ROW, keeping_columns, located, shielded, text_of
 
 # How the stream keeps its state: on disk, and opened only while a task works on it.
 STATE = {
@@ -87,6 +87,7 @@ def duplicated(rows: DataFrame, digest: Callable[[Column], Column]) -> DataFrame
     return cut_lineage(alone.unionByName(apart))
 
 
+@shielded("doc_id", "text")
 def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """``docs`` with ``keep_id, group_size, kept, digest``.
 
@@ -95,7 +96,7 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) ->
     also share the id, the one at the largest locator), and ``keep_id`` is its id. An empty
     table stays empty; columns of ``docs`` named like the added ones are replaced.
     """
-    rows = located(docs.drop("keep_id", "group_size", "kept", "digest"))
+    rows = located(docs)
     groups = duplicated(rows, digest)
     clash = groups.where("text IS NOT NULL")
     rows = rows.withColumn("digest", digest(text_of(rows)))
@@ -111,7 +112,7 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) ->
         out = out.withColumn("keep", F.coalesce("keep", "_keep2")).withColumn("_n", F.coalesce("_n", "_n2"))
     stays = (F.col("keep")[FILE] == F.col(FILE)) & (F.col("keep")[ROW] == F.col(ROW))
     return out.select(
-        *(c for c in docs.columns if c in rows.columns and c not in (FILE, ROW, "digest")),
+        *docs.columns,
         F.when(F.col("_n").isNull(), F.col("doc_id")).otherwise(F.col("keep")["doc_id"]).alias("keep_id"),
         F.coalesce("_n", F.lit(1).cast("bigint")).alias("group_size"),
         F.coalesce(stays, F.lit(True)).alias("kept"),
@@ -121,4 +122,4 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) ->
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` per different text."""
-    return keeping_columns(docs, ["doc_id", "text"], lambda d: exact_dedup(d).where("kept"))
+    return keeping_columns(docs, ("doc_id", "text"), lambda d: exact_dedup(d).where("kept"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pagemill.lineage import cut_lineage
-from pagemill.llm.rows import add_columns
+from pagemill.llm.rows import add_columns, keeping_columns, shielded
 
 # Letters of any script.
 WORD = re.compile(r"[^\W\d_]+")
@@ -201,6 +201,7 @@ def train(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAM
     return Model(sorted(map(tuple, entries.collect())), totals.orderBy("lang", "n").collect())
 
 
+@shielded("text", "lang")
 def identify(docs: DataFrame, model: Model, drop: tuple = ()) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, its posterior probability.
 
@@ -220,6 +221,7 @@ def identify(docs: DataFrame, model: Model, drop: tuple = ()) -> DataFrame:
     return add_columns(docs, fields, compute, drop)
 
 
+@shielded("doc_id", "text", "lang")
 def language_id(docs: DataFrame, drop: tuple = (), **bounds: int) -> DataFrame:
     """Learn from the labelled rows of ``docs`` that are not held out, then judge every row."""
     training = docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
@@ -228,6 +230,5 @@ def language_id(docs: DataFrame, drop: tuple = (), **bounds: int) -> DataFrame:
 
 def accepted(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose text is clearly of one learned language."""
-    judged = language_id(docs)
-    keep = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)
-    return judged.where(keep).select(*docs.columns)
+    clear = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)
+    return keeping_columns(docs, ("doc_id", "text", "lang"), lambda d: language_id(d).where(clear))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill.lineage import broadcast_if_small, cut_lineage
-from pagemill.llm.rows import FILE, ROW, located, text_of
+from pagemill.llm.rows import FILE, ROW, located, shielded, text_of
 
 # Names and notices of the licenses.
 TEMPLATES = (
@@ -142,6 +142,7 @@ def inherited(files: DataFrame, directories: DataFrame) -> DataFrame:
     return found.select("directory", F.col("nearest.license").alias("inherited"))
 
 
+@shielded("path", "text")
 def license_scan(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` (with ``path`` and ``text``) and their ``license, license_from, cosine, license_words``.
 
@@ -151,7 +152,6 @@ def license_scan(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float
     of its own, a null path inherits none; repeated rows are judged alike; an empty table
     stays empty; columns of ``docs`` named like the added ones are replaced.
     """
-    docs = docs.drop("license", "license_from", "cosine", "license_words", "inherited", "directory")
     rows = located(docs)
     weights = weigh(*document_frequencies(rows, templates), templates, threshold)
     lines = cut_lineage(license_lines(rows, weights, threshold))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pagemill.lineage import broadcast_if_small, cut_lineage
-from pagemill.llm.rows import FILE, ROW, located
+from pagemill.llm.rows import FILE, ROW, located, shielded
 from pagemill.operators.numbering import number_rows
 
 # Weights of the sources in order, repeating; share of all words; most copies.
@@ -124,15 +124,15 @@ def mix_plan(docs: DataFrame, most: int = MOST, bucket_docs: int = BUCKET_DOCS)
     return dealt.groupBy("_source", "_bucket").applyInPandas(round_bucket, schema)
 
 
+@shielded("doc_id", "text", "source")
 def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
     """``docs`` with the columns of :func:`mix_plan`, one row per copy, numbered by ``copy``.
 
     Documents without a copy are left out. Columns of ``docs`` named like the added ones are
     replaced.
     """
-    added = ["size", "source_size", "target", "rate", "copies", "taken", "copy"]
-    rows = located(docs.drop(*added))
-    plan = cut_lineage(mix_plan(docs, most).where("copies > 0").drop("doc_id"))
+    rows = located(docs)
+    plan = cut_lineage(mix_plan(rows, most).where("copies > 0").drop("doc_id"))
     plan, _ = broadcast_if_small(plan)
     out = rows.join(plan, [FILE, ROW]).drop(FILE, ROW)
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))

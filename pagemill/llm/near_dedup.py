@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill.lineage import broadcast_if_small, cut_lineage
-from pagemill.llm.rows import FILE, ROW, keeping_columns, located, text_of
+from pagemill.llm.rows import FILE, ROW, keeping_columns, located, shielded, text_of
 from pagemill.llm.words import ALNUM, Words, ngrams, word_blocks
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -280,6 +280,7 @@ def near_classes(rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
     )
 
 
+@shielded("doc_id", "text")
 def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``docs`` with ``class_id, class_size, n_links, kept``.
 
@@ -290,8 +291,7 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     a class with its copies. An empty table stays empty; columns of ``docs`` named like the
     added ones are replaced.
     """
-    added = ["class_id", "class_size", "n_links", "kept", "node"]
-    rows = located(docs.drop(*added))
+    rows = located(docs)
     text = text_of(rows)
     rows = rows.withColumn("node", node_of(text))
     judged = rows.select("node", text.alias("text"), "doc_id", FILE, ROW)
@@ -300,7 +300,7 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     stays = (F.col("keep")[FILE] == F.col(FILE)) & (F.col("keep")[ROW] == F.col(ROW))
     alone = F.col("class_size").isNull()
     return out.select(
-        *(c for c in rows.columns if c not in (FILE, ROW, "node")),
+        *docs.columns,
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1).cast("bigint")).alias("class_size"),
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
@@ -310,4 +310,4 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def one_per_class(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` per class of near copies."""
-    return keeping_columns(docs, ["doc_id", "text"], lambda d: near_dedup(d).where("kept"))
+    return keeping_columns(docs, ("doc_id", "text"), lambda d: near_dedup(d).where("kept"))

@@ -20,13 +20,13 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from pagemill.lineage import broadcast_if_small, cut_lineage
-from pagemill.llm.rows import FILE, ROW, add_columns, located
+from pagemill.llm.rows import FILE, ROW, add_columns, located, shielded
 from pagemill.llm.words import SPACED, utf8, word_blocks
 
 # Rows drawn by hash to fit on: labelled ones, and unlabelled ones that may get pseudo-labels.
 MAX_LABELLED, MAX_POOL = 4_000, 4_000
 ROUNDS = 5
-# Share of the pool that each view labels in a round, and how sure it has to be.
+# Share of the pool that each view labels in a round at most, and how sure it has to be.
 PER_ROUND, SURE = 0.05, 0.9
 WORD_FEATURES, META_FEATURES = 256, 128
 RIDGE = 1.0
@@ -89,7 +89,10 @@ class View:
     def fit(self, x: np.ndarray, y: np.ndarray) -> None:
         self.mean, deviation = x.mean(axis=0), x.std(axis=0)
         self.scale = np.where(deviation > 1e-9, 1 / np.maximum(deviation, 1e-9), 0)
-        self.weights = newton(self._inputs(x), y, RIDGE)
+        inputs = self._inputs(x)
+        penalty = np.full(inputs.shape[1], RIDGE)
+        penalty[-1] = 1e-6  # the constant is free
+        self.weights = newton(inputs, y, penalty, np.zeros(inputs.shape[1]))
 
     def _inputs(self, x: np.ndarray) -> np.ndarray:
         return np.hstack([(x - self.mean) * self.scale, np.ones((len(x), 1))])
@@ -98,23 +101,36 @@ class View:
         return self._inputs(x.astype(np.float64)) @ self.weights
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
+        """Few rows leave the log-odds about as they are."""
         raw = self.raw(x)
-        self.slope, self.offset = newton(np.stack([raw, np.ones(len(raw))], axis=1), y, 1e-3).tolist()
+        start = np.array([1.0, 0.0])
+        self.slope, self.offset = newton(np.stack([raw, np.ones(len(raw))], axis=1), y, np.ones(2), start).tolist()
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         return self.slope * self.raw(x) + self.offset
 
 
-def newton(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 15) -> np.ndarray:
-    """Logistic regression; the penalty leaves the last column (the constant) alone."""
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
-    penalty[-1] = 1e-6
+def newton(x: np.ndarray, y: np.ndarray, penalty: np.ndarray, center: np.ndarray, steps: int = 25) -> np.ndarray:
+    """Logistic regression, with a quadratic penalty on what departs from ``center``.
+
+    Each step is halved until the loss falls, since a full one may overshoot.
+    """
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - y * z).sum() + 0.5 * (penalty * (w - center) ** 2).sum())
+
+    w, now = center.copy(), loss(center)
     for _ in range(steps):
         p = sigmoid(x @ w)
         curve = x.T @ (x * np.maximum(p * (1 - p), 1e-6)[:, None]) + np.diag(penalty)
-        move = np.linalg.solve(curve, x.T @ (p - y) + penalty * w)
-        w -= move * min(1.0, 5 / max(1e-12, np.abs(move).max()))
+        move = np.linalg.solve(curve, x.T @ (p - y) + penalty * (w - center))
+        while np.abs(move).max() > 1e-9 and loss(w - move) > now:
+            move /= 2
+        if np.abs(move).max() <= 1e-9:
+            break
+        w = w - move
+        now = loss(w)
     return w
 
 
@@ -154,24 +170,27 @@ def co_train(
     rows = [[x[fit]] for x in labelled]
     answers = [[y[fit]], [y[fit]]]
     free = np.arange(len(pool[0]))
+    # A view is sure of a document by its odds as well as by what it adds to the prior's: one
+    # that tells little has nothing to teach.
+    odds, before = np.log(SURE / (1 - SURE)), np.log(prior / (1 - prior))
+    high, low = max(odds, odds + before), min(-odds, -odds + before)
     for turn in range(rounds + 1):
         for k, view in enumerate(views):
             view.fit(np.vstack(rows[k]).astype(np.float64), np.concatenate(answers[k]))
+            view.calibrate(labelled[k][check], y[check])
         if turn == rounds or not len(free):
             break
         taken = np.zeros(len(free), dtype=bool)
         for k, view in enumerate(views):
-            p = sigmoid(view.raw(pool[k][free]))
+            told = view.log_odds(pool[k][free])
             n = max(1, int(PER_ROUND * len(pool[0])))
-            good = np.argsort(-p, kind="stable")[: max(1, round(n * prior))]
-            bad = np.argsort(p, kind="stable")[: max(1, round(n * (1 - prior)))]
-            chosen = np.concatenate([good[p[good] >= SURE], bad[p[bad] <= 1 - SURE]])
+            good = np.argsort(-told, kind="stable")[: max(1, round(n * prior))]
+            bad = np.argsort(told, kind="stable")[: max(1, round(n * (1 - prior)))]
+            chosen = np.concatenate([good[told[good] >= high], bad[told[bad] <= low]])
             rows[1 - k].append(pool[1 - k][free[chosen]])
-            answers[1 - k].append((p[chosen] > 0.5).astype(np.float64))
+            answers[1 - k].append((told[chosen] > 0).astype(np.float64))
             taken[chosen] = True
         free = free[~taken]
-    for view, x in zip(views, labelled):
-        view.calibrate(x[check], y[check])
     return Model(views, prior)
 
 
@@ -189,7 +208,11 @@ def sampled(rows: DataFrame, ids: DataFrame, n: int) -> tuple[tuple[np.ndarray,
     fields = [T.StructField(c, T.ArrayType(T.FloatType())) for c in ("_x0", "_x1")]
     found = add_columns(few, fields, compute, ("text", "lang", "source", "n_chars"))
     found = found.orderBy(F.xxhash64("doc_id", ROW), "doc_id", FILE, ROW).toArrow()
-    x = tuple(np.array(found.column(c).to_pylist(), dtype=np.float32).reshape(found.num_rows, -1) for c in ("_x0", "_x1"))
+    widths = (WORD_FEATURES + _N_CLASSES + 3, META_FEATURES)
+    x = tuple(
+        np.array(found.column(c).to_pylist(), dtype=np.float32).reshape(found.num_rows, width)
+        for c, width in zip(("_x0", "_x1"), widths)
+    )
     return x, np.array(found.column("quality").to_pylist(), dtype=np.float64)
 
 
@@ -211,6 +234,7 @@ def train(rows: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     return co_train(labelled, y, pool)
 
 
+@shielded("doc_id", "text", "lang", "source", "n_chars")
 def classify(docs: DataFrame, labels: DataFrame, drop: tuple = ()) -> DataFrame:
     """``docs`` with ``text_score, meta_score, quality_score, good``.
 
@@ -221,7 +245,7 @@ def classify(docs: DataFrame, labels: DataFrame, drop: tuple = ()) -> DataFrame:
     empty table stays empty; columns of ``docs`` named like the added ones are replaced.
     """
     names = ["text_score", "meta_score", "quality_score"]
-    rows = located(docs.drop(*names, "good"))
+    rows = located(docs)
     shared = docs.sparkSession.sparkContext.broadcast(train(rows, labels))
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:

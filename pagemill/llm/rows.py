@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,17 +12,19 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pagemill.lineage import cut_lineage
 
 # Locator of a row: hashed path of its file, and its position in that file.
-FILE, ROW = "_file", "_row"
+FILE, ROW = "_at_file", "_at_row"
 
 
 def located(docs: DataFrame) -> DataFrame:
     """``docs`` with a locator that every later read of the same rows repeats.
 
     Rows straight from files carry their file and position. Others (built in memory, or
-    already joined) are first saved in the shared folder, which gives them one. Columns of
-    ``docs`` that bear the locator's names give way.
+    already joined) are first saved in the shared folder, which gives them one. Rows that have
+    a locator keep it.
     """
-    docs = docs.drop(FILE, ROW)
+
+    if FILE in docs.columns and ROW in docs.columns:
+        return docs
 
     def with_place(df: DataFrame) -> DataFrame:
         place = df.metadataColumn("_metadata")
@@ -66,12 +69,39 @@ def add_columns(
     return docs.mapInArrow(run, schema_with(docs, keep, added))
 
 
-def keeping_columns(docs: DataFrame, needed: list[str], judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The rows that ``judge`` returns, with the columns of ``docs``.
+def _neutral(docs: DataFrame, needed: tuple[str, ...]) -> dict[str, str]:
+    mark = "_in"
+    while any(c.lower().startswith(mark) for c in docs.columns):
+        mark = f"_{mark}"
+    return {c: f"{mark}{i}" for i, c in enumerate(docs.columns) if c not in needed}
+
 
-    ``judge`` sees the columns it needs by name and all others under neutral names, so a
-    column of ``docs`` may be named like one that ``judge`` adds.
+def shielded(*needed: str) -> Callable:
+    """For an operator on ``docs`` that reads the columns ``needed``.
+
+    It sees all others under neutral names, so none can clash with a name it uses within.
+    They come back under their own, except where the operator adds a column of that name.
     """
-    neutral = {c: f"_in{i}" for i, c in enumerate(docs.columns) if c not in needed}
+
+    def wrap(operate: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(operate)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            neutral = _neutral(docs, needed)
+            out = operate(docs.withColumnsRenamed(neutral), *args, **options)
+            here = set(out.columns)
+            old = [(c, neutral.get(c, c)) for c in docs.columns if neutral.get(c, c) in here]
+            added = here - {name for _, name in old}
+            kept = [F.col(name).alias(c) for c, name in old if c not in added]
+            return out.select(*kept, *(c for c in out.columns if c in added))
+
+        return run
+
+    return wrap
+
+
+def keeping_columns(docs: DataFrame, needed: tuple[str, ...], judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that ``judge`` returns, with exactly the columns of ``docs``, those named like
+    one that ``judge`` adds included."""
+    neutral = _neutral(docs, needed)
     out = judge(docs.withColumnsRenamed(neutral))
     return out.select(*(F.col(neutral.get(c, c)).alias(c) for c in docs.columns))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagemill.lineage import broadcast_if_small, cut_lineage
-from pagemill.llm.rows import FILE, ROW, located, text_of
+from pagemill.llm.rows import FILE, ROW, located, shielded, text_of
 
 
 @dataclass(frozen=True)
@@ -147,6 +147,7 @@ def matches(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return placed.select(FILE, ROW, "nth", "kind", (F.col("end") - F.col("hit")).alias("start"), "end")
 
 
+@shielded("text")
 def secret_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with ``secrets``: an array of ``start, nth, kind, end`` in that order.
 
@@ -155,7 +156,7 @@ def secret_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     Repeated rows are scanned alike; an empty table stays empty; a column of ``docs`` named
     ``secrets`` is replaced.
     """
-    rows = located(docs.drop("secrets"))
+    rows = located(docs)
     # All matches of one text: bounded by its length.
     per_row = matches(rows, rules).groupBy(FILE, ROW).agg(
         F.sort_array(F.collect_list(F.struct("start", "nth", "kind", "end"))).alias("secrets")

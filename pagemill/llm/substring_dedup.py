@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from pagemill.lineage import BROADCAST_ROWS, cut_lineage
-from pagemill.llm.rows import FILE, ROW, add_columns, located
+from pagemill.llm.rows import FILE, ROW, add_columns, located, shielded
 from pagemill.llm.words import SPACED, Words, ngrams, word_blocks
 
 WINDOW, GRAM = 50, 16
@@ -241,6 +241,7 @@ def repeated_ranges(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, max
     return cut_lineage(cuts)
 
 
+@shielded("doc_id", "text")
 def substring_dedup(
     docs: DataFrame, window: int = WINDOW, gram: int = GRAM, max_group: int = MAX_GROUP, drop: tuple = ()
 ) -> DataFrame:
@@ -253,7 +254,7 @@ def substring_dedup(
     and an empty ``kept_text``. An empty table stays empty; columns of ``docs`` named like
     the added ones are replaced; those in ``drop`` are left out.
     """
-    rows = located(docs.drop("n_words", "n_removed", "kept_text"))
+    rows = located(docs)
     cuts = repeated_ranges(rows, window, gram, max_group)
     rows = join_rows(rows, cuts.withColumnRenamed("cuts", "_cuts"), "_cuts", "left")
 

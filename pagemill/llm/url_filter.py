@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill.lineage import broadcast_if_small, cut_lineage
+from pagemill.llm.rows import shielded
 
 # Verdict and place of each rule, a host with its path.
 RULES = (
@@ -129,6 +130,7 @@ def listed_words(key: Column, words: tuple = LISTED_WORDS) -> Column:
     return F.arrays_overlap(F.split(F.substring_index(key, ".", 1), "-"), F.array(*map(F.lit, words)))
 
 
+@shielded("url")
 def url_filter(pages: DataFrame, rules: tuple = RULES, words: tuple = LISTED_WORDS, max_keys: int = MAX_KEYS) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict``.
 
@@ -137,7 +139,6 @@ def url_filter(pages: DataFrame, rules: tuple = RULES, words: tuple = LISTED_WOR
     rule and is allowed. Repeated rows are judged alike; an empty table stays empty; columns
     of ``pages`` named like the added ones are replaced.
     """
-    pages = pages.drop("host", "path", "rule", "verdict")
     parts = pages.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     keys = parts.select("host").distinct().select(F.explode(suffixes(F.col("host"))).alias("key")).distinct()
     universe = cut_lineage(keys.select("key", listed_words(F.col("key"), words).alias("listed")))

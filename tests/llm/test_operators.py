@@ -80,7 +80,7 @@ def test_language_does_not_look_at_labels_of_held_out_rows(spark):
 
 def test_language_of_hard_rows(hard, empty):
     found = langid.language_id(hard)
-    assert set(found.columns) == set(hard.columns) | {"lang_pred", "held_out"}
+    assert set(found.columns) == set(hard.columns) | {"lang_pred", "held_out"} and dict(found.dtypes)["_row"] == "int"
     for text, lang, score in result(found, "text", "lang_pred", "score"):
         assert (lang == "und") == (not any(c.isalpha() for c in text or ""))
         assert 0 <= score <= 1 and (lang in ("en", "de") or score == 0)
@@ -118,6 +118,32 @@ ITEMS = [
 ]
 
 
+def test_columns_that_clash_within(spark):
+    """Names that operators use on the way are free for the columns of the input."""
+    names = ["digest", "keep", "_n", "node", "root", "n", "size", "_text", "kinds", "_cuts", "anchors", "_in0", "_source", "rate", "host"]
+    row = (1, "http://a.com/ one two", "en", "s", 3, "p/q", "http://a.com/", *range(len(names)))
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, path string, url string, "
+    docs = spark.createDataFrame([row, row], schema + ", ".join(f"{n} int" for n in names))
+    items, labels = docs.selectExpr("1 as item_id", "'x' as text"), docs.selectExpr("doc_id", "1 as quality")
+    for found in (
+        langid.language_id(docs),
+        decontaminate.decontaminate(docs, items),
+        exact_dedup.exact_dedup(docs),
+        near_dedup.near_dedup(docs),
+        substring_dedup.substring_dedup(docs),
+        licenses.license_scan(docs),
+        quality.classify(docs, labels),
+        mixing.mix(docs),
+        secrets.secret_scan(docs),
+        url_filter.url_filter(docs),
+    ):
+        kinds = dict(found.dtypes)
+        assert kinds.keys() >= set(docs.columns)
+        same = [c for c in docs.columns if kinds[c] == dict(docs.dtypes)[c] and c not in ("size", "rate", "host", "path")]
+        assert len(same) >= len(docs.columns) - 5
+        assert all(tuple(r) == tuple(row[docs.columns.index(c)] for c in same) for r in found.select(*same).collect())
+
+
 def found_by_wu_manber(docs, items, **options):
     found = decontaminate.decontaminate(docs, items, **options)
     return result(
@@ -180,7 +206,7 @@ def test_one_row_per_text(hard):
 
 def test_state_takes_in_what_came_later(spark, tmp_path):
     landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "state")
-    schema = "digest binary, doc_id bigint, _file bigint, _row bigint"
+    schema = "digest binary, doc_id bigint, _at_file bigint, _at_row bigint"
     for batch in ([(b"a", 1, 0, 0), (b"b", 2, 0, 1)], [(b"a", 3, 1, 0), (b"a", 2, 1, 1)]):
         df = spark.createDataFrame(batch, schema)
         df.write.mode("append").parquet(landing)
@@ -372,7 +398,7 @@ def test_views_teach_each_other():
         weak = np.stack([y * 1.5 + rng.normal(size=n), rng.normal(size=n)], axis=1).astype(np.float32)
         return (clear, weak), y
 
-    labelled, y = rows(40)
+    labelled, y = rows(100)
     pool, _ = rows(1000)
     test, truth = rows(1000)
     alone = quality.co_train(labelled, y, tuple(x[:0] for x in pool))
@@ -542,7 +568,7 @@ def test_url_filter(spark, max_keys):
 
 @pytest.mark.parametrize("share,bits", [(0.3, 8), (0.5, 2), (0.0, 8), (1.0, 8)])
 def test_cascade_is_exact(spark, share, bits):
-    universe = spark.range(3000).select(
+    universe = spark.range(30_000).select(
         F.concat(F.lit("host"), "id").alias("key"), (F.pmod(F.xxhash64("id"), F.lit(1000)) < int(1000 * share)).alias("listed")
     )
     levels = url_filter.build_cascade(universe, bits_per_key=bits)
