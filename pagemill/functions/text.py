@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F
 # record splitting (which also holds the vertical tab).
 WORD_DELIMITERS = " \t\n\r\f"
 WHITESPACE = " \t\n\x0b\f\r"
-WHOLE_NUMBER = "[+-]?[0-9]{1,18}"
+WHOLE_NUMBER = "[+-]?[0-9]+"
 
 
 def words(line: Column) -> Column:
@@ -52,9 +52,9 @@ def strict_field(fields: Column, i: int, name: str) -> Column:
 
 
 def whole_number(text: Column) -> Column:
-    """Text to bigint, NULL unless it is up to 18 digits with an optional sign.
+    """Text to bigint, NULL unless it is digits with an optional sign that a bigint can hold.
 
-    The pattern goes first because a failing cast builds an exception per row.
+    The pattern keeps out what a cast would trim or round, and goes first because a failing cast builds an exception per row.
     """
     return F.when(F.rlike(text, F.lit(f"^{WHOLE_NUMBER}$")), text.try_cast("bigint"))
 

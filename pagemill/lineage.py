@@ -2,44 +2,70 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows up to which a table of keys may be broadcast; some 50 MB with long keys.
 BROADCAST_ROWS = 250_000
 
+# Tables saved in each open scope, the innermost last.
+_scopes: list[list[str]] = []
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, which all executors share.
 
-    Only a local master may fall back to a folder of this machine.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which all executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagemill-"))
-    return spark.sparkContext.getCheckpointDir()
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/pagemill-{name}-{uuid.uuid4()}"
+    """A fresh path in the shared folder; an open :func:`scratch` scope deletes it at its end."""
+    path = f"{shared_folder(spark).rstrip('/')}/pagemill-{name}-{uuid.uuid4()}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, as a Parquet table in the shared folder.
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A scope around whole jobs: the tables saved in it are deleted when it ends.
+
+    Results have to be written or shown within it.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete_path(spark, path)
+
+
+def save_table(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` computed once, as a Parquet table in the shared folder, and the table's path.
 
     Unlike an RDD checkpoint it is compressed and later steps read only the columns they
-    need. It outlives lost executors; whoever owns the shared folder cleans it up.
+    need. It outlives lost executors. It stays until its :func:`scratch` scope ends, or until
+    whoever owns the shared folder cleans it up.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "table")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """:func:`save_table` for a table that stays until the end."""
+    return save_table(df)[0]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int]:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pagemill.functions.text import normalise_title
+
 
 def title_edits(titles: DataFrame, edits: DataFrame) -> DataFrame:
     """``page_id, title, edits``: every title and every edited page.
@@ -27,11 +29,13 @@ def ratio(edits: Column, accesses: Column) -> Column:
 def balance(titled: DataFrame, accesses: DataFrame) -> DataFrame:
     """``title, ratio, edits, accesses`` for every title that has access data.
 
-    Edits of pages without a title (``''``) are not matched. Rows of equal titles are
-    summed up on both sides before the join, so the join keys are unique.
+    Edits of pages without a title (``''``) are not matched. Titles are compared with their
+    whitespace normalised. Rows of equal titles are summed up on both sides before the join,
+    so the join keys are unique.
     """
-    per_title = titled.where(F.col("title") != "").groupBy("title").agg(F.sum("edits").alias("edits"))
-    seen = accesses.groupBy("title").agg(F.sum("accesses").alias("accesses"))
+    title = normalise_title(F.col("title")).alias("title")
+    per_title = titled.select(title, "edits").where(F.col("title") != "").groupBy("title").agg(F.sum("edits").alias("edits"))
+    seen = accesses.groupBy(title).agg(F.sum("accesses").alias("accesses"))
     edits = F.coalesce("edits", F.lit(0)).cast("bigint")
     return seen.join(per_title, "title", "left").select(
         "title", ratio(edits, F.col("accesses")).alias("ratio"), edits.alias("edits"), "accesses"

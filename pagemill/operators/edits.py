@@ -15,7 +15,8 @@ from pagemill.operators.numbering import number_rows
 # Key column and counterparty column of either view.
 SIDES = {"user": ("user", "page_id"), "page": ("page_id", "user")}
 
-# Edits packed into one row; a longer history continues in further parts.
+# Edits packed into one row unless a job says otherwise; a longer history continues in
+# further parts.
 PART_EDITS = 50_000
 
 
@@ -78,25 +79,50 @@ def edit_history(revisions: DataFrame, by: str = "page", part_edits: int = PART_
     A key with up to ``part_edits`` edits is one row with ``part`` 0. A busier key gets one
     row per ``part_edits`` edits, in order, so no task ever holds its whole history.
     ``edits`` is the number in the row, ``total`` that of the key; ``actions`` are the
-    key's latest tags, on each of its rows.
+    key's latest tags, on each of its rows. Edits with a null key are a history of their own.
     """
     key, other = _sides(by)
     log = revisions.select(
         key, F.col(other).cast("string").alias("other"), "ts", "rev_id", tag_mask(F.col("comment")).alias("mask")
     )
     busy = edit_counts(revisions, by).where(F.col("edits") > part_edits)
-    busy, n_busy = broadcast_if_small(cut_lineage(busy))
+    busy = cut_lineage(busy)
+    n_busy = busy.count()
     if n_busy:
         # Read three times below, and often parsed from text: saved once as five columns.
         log = cut_lineage(log)
-    quiet = log.join(busy, key, "left_anti") if n_busy else log
+    quiet = _marked(log, busy, key).where("busy IS NULL").drop("busy") if n_busy else log
     latest = F.try_element_at(F.array_compact("entries.mask"), F.lit(-1))
     history = _unpack(_pack(quiet, [key]), key, F.lit(0), F.size("entries"), latest)
     if n_busy:
-        history = history.unionByName(_busy_history(log.join(busy, key, "left_semi"), key, part_edits))
+        history = history.unionByName(_busy_history(_marked(log, busy, key).where("busy").drop("busy"), key, part_edits))
     return history.withColumn("actions", mask_tags(F.col("mask"))).drop("mask")
 
 
+def _joined(rows: DataFrame, table: DataFrame, key: str, how: str) -> DataFrame:
+    """Join on a key that may be null."""
+    return rows.join(table.withColumnRenamed(key, "_key"), rows[key].eqNullSafe(F.col("_key")), how).drop("_key")
+
+
+# Shares a key's rows are dealt into where the busy keys are too many to be broadcast.
+SHARES = 16
+
+
+def _marked(log: DataFrame, busy: DataFrame, key: str) -> DataFrame:
+    """``log`` with ``busy``, true or null.
+
+    Rows meet the busy keys by key and share, so a join that shuffles does not gather a key
+    in one task; the pack that follows shuffles the quiet rows by key, the numbering of the
+    busy ones by their order.
+    """
+    rows = log.withColumn("_share", F.pmod(F.xxhash64("rev_id"), F.lit(SHARES)).cast("int"))
+    shares = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
+    keys = busy.select(F.col(key).alias("_key"), F.lit(True).alias("busy"), shares.alias("_of"))
+    keys, _ = broadcast_if_small(keys)
+    same = rows[key].eqNullSafe(F.col("_key")) & (rows["_share"] == F.col("_of"))
+    return rows.join(keys, same, "left").drop("_key", "_of", "_share")
+
+
 def _busy_history(log: DataFrame, key: str, part_edits: int) -> DataFrame:
     """Parts of exactly ``part_edits`` edits, cut by the position among all rows in key order."""
     numbered = number_rows(log, [key, "ts", "rev_id"], "n")
@@ -107,15 +133,18 @@ def _busy_history(log: DataFrame, key: str, part_edits: int) -> DataFrame:
     per_key, _ = broadcast_if_small(cut_lineage(per_key))
     part = F.floor((F.col("n") - F.col("first")) / part_edits)
     # The explicit repartition keeps a shuffled join by key from gathering a key in one task.
-    parts = numbered.join(per_key, key).withColumn("part", part).repartition(key, "part")
+    parts = _joined(numbered, per_key, key, "inner").withColumn("part", part).repartition(key, "part")
     packed = _pack(parts, [key, "part"], F.first("total").alias("total"), F.first("latest").alias("latest"))
     return _unpack(packed, key, F.col("part"), F.col("total"), F.col("latest"))
 
 
-def sort_edits(result: DataFrame, by: str = "page", sort: str | None = None) -> DataFrame:
+def sort_edits(
+    result: DataFrame, by: str = "page", sort: str | None = None, files: int | None = None
+) -> DataFrame:
     """Order a result by its key (``"key"``), by ascending edit count (``"edits"``) or not at all.
 
-    The parts of a packed history stay together, by the total of their key.
+    The parts of a packed history stay together, by the total of their key. ``files`` sets
+    the number of partitions of a sorted result, and so the files it is written to.
     """
     key, _ = _sides(by)
     if sort is None:
@@ -126,4 +155,6 @@ def sort_edits(result: DataFrame, by: str = "page", sort: str | None = None) ->
     order = [key, "part"] if packed else [key]
     if sort == "edits":
         order = ["total" if packed else "edits", *order]
+    if files is not None:
+        return result.repartitionByRange(files, *order).sortWithinPartitions(*order)
     return result.orderBy(*order)

@@ -10,7 +10,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from pagemill.lineage import broadcast_if_small, cut_lineage
+from pagemill.lineage import broadcast_if_small, cut_lineage, delete_path, save_table
 
 # Fixed values of the rank formula, and the first rank of every page.
 DAMPING, BASE, FIRST_RANK = 0.85, 0.15, 1.0
@@ -34,23 +34,31 @@ class Graph(NamedTuple):
 
 
 def out_degree(edges: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    """``id, links`` of all sources, targets and listed pages; repeated links count."""
-    end = lambda page, n: F.struct(F.col(page).alias("id"), F.lit(n).cast("bigint").alias("links"))
-    ends = edges.select(F.inline(F.array(end("src", 1), end("dst", 0))))
+    """``id, links`` of all sources, targets and listed pages; repeated links count.
+
+    ``edges`` are ``src, dst`` or, merged, ``src, dst, m``.
+    """
+    m = F.col("m") if "m" in edges.columns else F.lit(1)
+    end = lambda page, n: F.struct(F.col(page).alias("id"), n.cast("bigint").alias("links"))
+    ends = edges.select(F.inline(F.array(end("src", m), end("dst", F.lit(0)))))
     if pages is not None:
         ends = ends.unionByName(pages.select("id", F.lit(0).cast("bigint").alias("links")))
     return ends.groupBy("id").agg(F.sum("links").alias("links"))
 
 
 def merge_edges(edges: DataFrame) -> DataFrame:
-    """``src, dst, m``: distinct links with their multiplicity."""
+    """``src, dst, m``: distinct links with their multiplicity; merged ones stay as they are."""
+    if "m" in edges.columns:
+        return edges
     return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
 
 
 def build_graph(
     edges: DataFrame, pages: DataFrame | None = None, spread_links: int = SPREAD_LINKS, partitions: int | None = None
 ) -> Graph:
-    """Prepare ``edges (src, dst)`` for many steps.
+    """Prepare ``edges (src, dst)``, or merged ``(src, dst, m)``, for many steps.
+
+    Edges not merged yet are read once: merged and saved, they give the degrees as well.
 
     The edges lie hash-partitioned and sorted by their join key, so a step shuffles only
     ranks and partial sums. If a source has more than ``spread_links`` links, the key is
@@ -58,7 +66,8 @@ def build_graph(
     ``partitions`` defaults to ``spark.sql.shuffle.partitions``, or fewer for a small graph.
     """
     spread = F.greatest(F.ceil(F.col("links") / spread_links).cast("int"), F.lit(1))
-    degrees = cut_lineage(out_degree(edges, pages).withColumn("spread", spread))
+    merged = edges if "m" in edges.columns else cut_lineage(merge_edges(edges))
+    degrees = cut_lineage(out_degree(merged, pages).withColumn("spread", spread))
     if partitions is None:
         links = degrees.agg(F.coalesce(F.sum("links"), F.lit(0))).first()[0]
         most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -66,7 +75,7 @@ def build_graph(
         enough = links // PARTITION_LINKS + 1
         partitions = enough if 2 * enough <= most else most
     hubs, n_hubs = broadcast_if_small(degrees.where(F.col("spread") > 1).select(F.col("id").alias("src"), "spread"))
-    merged, by = merge_edges(edges), ["src"]
+    by = ["src"]
     if n_hubs:
         salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("spread")).cast("int"), F.lit(0))
         merged, by = merged.join(hubs, "src", "left").withColumn("salt", salt).drop("spread"), ["src", "salt"]
@@ -121,17 +130,22 @@ def page_rank(
 
     ``pages (id)`` adds pages without any link; ``start (id, rank)`` resumes from saved
     ranks; ``save(i, ranks)`` is called with the result of every step. Runs eagerly: the
-    ranks are saved every ``save_every`` steps, to bound the plan, and at the end.
+    ranks are saved every ``save_every`` steps, to bound the plan, and at the end; earlier
+    saved ranks are deleted as soon as later ones are there. ``edges`` may be merged already
+    (:func:`merge_edges`), and should then be a saved table.
     """
     if runs < 1:
         raise ValueError("runs must be at least 1")
     graph = build_graph(edges, pages, spread_links)
     try:
-        ranks = first_ranks(graph, start)
+        ranks, earlier = first_ranks(graph, start), None
         for i in range(1, runs + 1):
             ranks = rank_step(graph, ranks, damping, base)
             if save is not None or i % save_every == 0 or i == runs:
-                ranks = cut_lineage(ranks)
+                ranks, path = save_table(ranks)
+                if earlier is not None:
+                    delete_path(edges.sparkSession, earlier)
+                earlier = path
             if save is not None:
                 save(i, ranks.select("id", "rank"))
     finally:

@@ -37,14 +37,15 @@ def daily_counts(
     if late == "drop":
         counted = counted.where(day < n_days)
     counts = counted.groupBy("title", "day").agg(F.sum("views").alias("n"), F.count("title").alias("titled"))
-    # Rows without a title are dropped here: a test of the title itself would be pushed
-    # down to the records and parse each of them twice.
-    counts = counts.where(F.col("titled") > 0).drop("titled")
+    titled = F.col("titled") > 0
     if late == "fail":
-        # Checked on the aggregated rows: one test per title and day, not per record.
+        # On the aggregated rows, one test per title and day; in the filter, so that it holds
+        # whichever columns are used.
         outside = F.raise_error(F.concat(F.lit("day index outside the window: "), day.cast("string")))
-        counts = counts.withColumn("day", F.when(day < n_days, day).otherwise(outside.cast("int")))
-    return counts
+        titled = F.when(day < n_days, titled).otherwise(outside.cast("boolean"))
+    # Rows without a title are dropped here: a test of the title itself would be pushed
+    # down to the records and parse each of them twice.
+    return counts.where(titled).drop("titled")
 
 
 def late_records(pagecounts: DataFrame, first_day: date = FIRST_DAY, n_days: int = N_DAYS) -> DataFrame:

@@ -1,22 +1,43 @@
-from pagemill.sources.graphs import explode_links, parse_links, parse_ranks, read_links, read_ranks
-from pagemill.sources.history import parse_edit_counts, read_access_counts, read_edit_counts
+from pagemill.sources.graphs import (
+    explode_links,
+    parse_links,
+    parse_rank_lines,
+    parse_ranks,
+    read_links,
+    read_ranks,
+    split_ranks,
+)
+from pagemill.sources.history import (
+    parse_access_counts,
+    parse_edit_counts,
+    parse_history,
+    read_access_counts,
+    read_edit_counts,
+    read_history,
+)
 from pagemill.sources.revisions import parse_revisions, read_revisions
-from pagemill.sources.text import read_lines, read_titles
+from pagemill.sources.text import read_lines, read_title, read_titles
 from pagemill.sources.traffic import parse_pagecounts, read_pagecounts
 
 __all__ = [
     "explode_links",
+    "parse_access_counts",
     "parse_edit_counts",
+    "parse_history",
     "parse_links",
     "parse_pagecounts",
+    "parse_rank_lines",
     "parse_ranks",
     "parse_revisions",
     "read_access_counts",
     "read_edit_counts",
+    "read_history",
     "read_lines",
     "read_links",
     "read_pagecounts",
     "read_ranks",
     "read_revisions",
+    "read_title",
     "read_titles",
+    "split_ranks",
 ]

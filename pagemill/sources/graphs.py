@@ -34,24 +34,33 @@ def explode_links(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     return edges, links.select(F.col("src").alias("id"))
 
 
-def parse_ranks(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Saved iteration state to ``(ranks id, rank)`` and ``(links src, links)``.
-
-    A page whose links were saved on several lines has its rank on each of them.
-    """
+def parse_rank_lines(lines: DataFrame) -> DataFrame:
+    """``src, rank, links`` of each line of a saved iteration state."""
     t = F.col("t")
     rank = F.get(t, F.lit(1))
     bad = F.raise_error(F.concat(F.lit("no rank in: "), F.array_join(t, " ")))
-    state = _not_blank(lines).select(tokens(F.col("value")).alias("t")).select(
+    return _not_blank(lines).select(tokens(F.col("value")).alias("t")).select(
         strip_suffix(F.get(t, F.lit(0)), ":").alias("src"),
         F.coalesce(
-            F.when(F.startswith(rank, F.lit("r")), F.substring(rank, 2, 64).try_cast("double")), bad
+            F.when(F.startswith(rank, F.lit("r")), F.substr(rank, F.lit(2)).try_cast("double")), bad
         ).alias("rank"),
         _rest(t, 3).alias("links"),
     )
+
+
+def split_ranks(state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(ranks id, rank)`` and ``(links src, links)`` of parsed lines.
+
+    A page whose links were saved on several lines has its rank on each of them.
+    """
     ranks = state.groupBy(F.col("src").alias("id")).agg(F.max("rank").alias("rank"))
     return ranks, state.select("src", "links")
 
 
+def parse_ranks(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Saved iteration state to ``(ranks id, rank)`` and ``(links src, links)``."""
+    return split_ranks(parse_rank_lines(lines))
+
+
 def read_ranks(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     return parse_ranks(read_lines(spark, path))

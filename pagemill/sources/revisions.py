@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pagemill.functions.text import WHITESPACE, WHOLE_NUMBER, strict_long, tokens, whole_number
+from pagemill.functions.text import WHITESPACE, tokens, whole_number
 from pagemill.lineage import spread_scan
 from pagemill.sources.text import read_lines
 
@@ -16,54 +16,55 @@ from pagemill.sources.text import read_lines
 HEAD, TAIL = 3, 7
 
 
-# Both ids in front, tested on the line.
-GOOD_IDS = rf"^{WHOLE_NUMBER}\s+{WHOLE_NUMBER}(?:\s|$)"
-
-
 def parse_revisions(lines: DataFrame, mode: str = "failfast") -> DataFrame | tuple[DataFrame, DataFrame]:
     """``rev_id, page_id, text_id, comment, user_id, user, ts, minor`` from lines in ``value``.
 
     ``ts`` stays the 14-digit text, which sorts like the time it names. The comment has
-    single spaces. A short record or a bad revision or page id fails the job as soon as a
-    field it spoils is used, or lands in the second table ``value, reason`` with
+    single spaces. A short record or a bad revision or page id fails the job, whichever field
+    is used, or lands in the second table ``value, reason`` with
     ``mode="reject"``.
     """
     if mode not in ("failfast", "reject"):
         raise ValueError(f"mode must be 'failfast' or 'reject', not {mode!r}")
-    split = tokens(F.col("value"))
+    records = lines.select("value", tokens(F.col("value")).alias("t"))
+    complete, good_ids = _tests(F.col("t"))
     if mode == "failfast":
-        return _fields(lines.select(split.alias("t")), strict=True)
-    complete, good_ids = F.size(split) >= HEAD + TAIL, F.rlike("value", F.lit(GOOD_IDS))
-    good = _fields(lines.where(good_ids & complete).select(split.alias("t")), strict=False)
+        return _fields(records, strict=True)
     reason = F.when(~complete, "too few fields").otherwise("page or revision id is not a number")
-    return good, lines.where(~(good_ids & complete)).select("value", reason.alias("reason"))
+    bad = records.where(~(complete & good_ids)).select("value", reason.alias("reason"))
+    return _fields(records.where(complete & good_ids), strict=False), bad
+
+
+def _tests(t: Column) -> tuple[Column, Column]:
+    """Whether a split record has all its fields, and both ids in front."""
+    ids = whole_number(F.get(t, F.lit(0))).isNotNull() & whole_number(F.get(t, F.lit(1))).isNotNull()
+    return F.size(t) >= HEAD + TAIL, F.coalesce(ids, F.lit(False))
 
 
 def _fields(records: DataFrame, strict: bool) -> DataFrame:
-    """Typed fields of split records ``t``; ``strict`` checks each on use."""
+    """Typed fields of split records ``t``; with ``strict`` each stands under the test of its record."""
     t = F.col("t")
     n = F.size(t)
-    short = F.raise_error(F.concat(F.lit("too few fields in: "), F.array_join(t, " ")))
-
-    def from_end(i: int) -> Column:
-        field = F.get(t, n - i)
-        return F.when(n >= HEAD + TAIL, field).otherwise(short) if strict else field
-
-    def number(i: int, name: str) -> Column:
-        field = F.get(t, F.lit(i))
-        return strict_long(field, name) if strict else field.try_cast("bigint")
-
-    return records.select(
-        number(0, "rev_id").alias("rev_id"),
-        number(1, "page_id").alias("page_id"),
-        whole_number(F.get(t, F.lit(2))).alias("text_id"),
-        F.array_join(F.slice(t, HEAD + 1, F.greatest(n - HEAD - TAIL, F.lit(0))), " ").alias("comment"),
-        whole_number(from_end(7)).alias("user_id"),
-        from_end(6).alias("user"),
-        from_end(5).alias("ts"),
-        whole_number(from_end(4)).cast("int").alias("minor"),
+    complete, good_ids = _tests(t)
+    bad = F.raise_error(
+        F.concat(F.when(~complete, "too few fields in: ").otherwise("bad number in 'page_id' or 'rev_id': "), F.array_join(t, " "))
     )
 
+    def checked(value: Column) -> Column:
+        return F.when(complete & good_ids, value).otherwise(bad) if strict else value
+
+    columns = {
+        "rev_id": whole_number(F.get(t, F.lit(0))),
+        "page_id": whole_number(F.get(t, F.lit(1))),
+        "text_id": whole_number(F.get(t, F.lit(2))),
+        "comment": F.array_join(F.slice(t, HEAD + 1, F.greatest(n - HEAD - TAIL, F.lit(0))), " "),
+        "user_id": whole_number(F.get(t, n - 7)),
+        "user": F.get(t, n - 6),
+        "ts": F.get(t, n - 5),
+        "minor": whole_number(F.get(t, n - 4)).cast("int"),
+    }
+    return records.select(*(checked(value).alias(name) for name, value in columns.items()))
+
 
 def read_revisions(
     spark: SparkSession, path: str | list[str], mode: str = "failfast"

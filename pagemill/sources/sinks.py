@@ -6,12 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill.sources.history import PART_SEPARATOR
 
-# Links written on one line; a page with more gets several lines.
+# Links written on one line unless a job says otherwise; a page with more gets several lines.
 LINE_LINKS = 10_000
 
-# Rows up to which a result may go to a single file.
-MERGE_ROWS = 1_000_000
-
 
 def key_value_lines(df: DataFrame, key: str | Column, value: str | Column) -> DataFrame:
     """``value``: one ``key \\t value`` line per row, in the order of ``df``."""
@@ -21,18 +18,26 @@ def key_value_lines(df: DataFrame, key: str | Column, value: str | Column) -> Da
 
 
 def history_text() -> Column:
-    """``edits!@#timestamps!@#others!@#actions`` of a packed history row."""
-    return F.concat_ws(
+    """``edits!@#timestamps!@#others!@#actions`` of a packed history row.
+
+    A row that is one part of several has the key's total in front, and two more fields
+    behind: ``!@#part!@#edits`` with its number and the edits in it. So whoever reads the
+    first field of any line has the total.
+    """
+    several = F.col("total") > F.col("edits")
+    part = F.when(several, F.concat_ws(PART_SEPARATOR, F.lit(""), F.col("part").cast("string"), F.col("edits").cast("string")))
+    text = F.concat_ws(
         PART_SEPARATOR,
-        F.col("edits").cast("string"),
+        F.col("total").cast("string"),
         F.array_join("timestamps", " "),
         F.array_join("others", " "),
         F.array_join("actions", " "),
     )
+    return F.concat(text, F.coalesce(part, F.lit("")))
 
 
 def history_lines(history: DataFrame, by: str) -> DataFrame:
-    """Lines of a packed history; each part of a long one carries its own edit count."""
+    """Lines of a packed history, one per part."""
     key = {"user": "user", "page": "page_id"}[by]
     return key_value_lines(history, key, history_text())
 
@@ -90,16 +95,33 @@ def rank_lines(ranks: DataFrame, lists: DataFrame) -> DataFrame:
     return key_value_lines(lists.join(ranks, "id"), F.concat(F.col("id").cast("string"), F.lit(":")), text)
 
 
-def write_lines(lines: DataFrame, path: str, mode: str = "error") -> None:
-    """One text file per partition."""
-    lines.write.mode(mode).text(path)
+def write_lines(lines: DataFrame, path: str, mode: str = "error", files: int | None = None) -> None:
+    """One text file per partition, in the order of ``lines``.
+
+    ``files`` deals unsorted lines out anew over that many files; each is written by one
+    task. For a sorted result give the number of files to the sort instead
+    (:func:`pagemill.operators.edits.sort_edits`).
+    """
+    (lines if files is None else lines.repartition(files)).write.mode(mode).text(path)
 
 
-def write_merged(lines: DataFrame, path: str, max_rows: int = MERGE_ROWS, mode: str = "error") -> bool:
-    """One text file if the result has at most ``max_rows`` rows, else one per partition.
+def write_pagecounts(records: DataFrame, path: str) -> None:
+    """Traffic records ``project, title, views, bytes, day`` as gzip files named by day.
 
-    Returns whether it was merged. Sorted input stays sorted from file to file either way.
+    Days are dealt by hash, and a day's records go to as many files as tasks hold some of
+    them; each is named ``pagecounts-YYYYMMDD-<file>.gz``.
     """
-    merged = lines.count() <= max_rows
-    write_lines(lines.coalesce(1) if merged else lines, path, mode)
-    return merged
+    spark = records.sparkSession
+    line = F.concat_ws(" ", "project", "title", F.col("views").cast("string"), F.col("bytes").cast("string"))
+    staged = f"{path.rstrip('/')}-by-day"
+    by_day = records.select(line.alias("value"), F.date_format("day", "yyyyMMdd").alias("day")).repartition("day")
+    by_day.write.partitionBy("day").option("compression", "gzip").text(staged)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(fs_path(path))
+    # One rename per file, as a committer does.
+    for folder in fs.globStatus(fs_path(f"{staged}/day=*")):
+        day = folder.getPath().getName().removeprefix("day=")
+        for i, file in enumerate(fs.globStatus(fs_path(f"{folder.getPath().toString()}/part-*"))):
+            fs.rename(file.getPath(), fs_path(f"{path.rstrip('/')}/pagecounts-{day}-{i:06d}.gz"))
+    fs.delete(fs_path(staged), True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagemill.functions.text import normalise_title
-from pagemill.operators.numbering import number_lines
+from pagemill.operators.numbering import line_at, number_lines
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -21,3 +21,9 @@ def read_titles(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``page_id bigint, title string``: one title per line, the id is its line number."""
     numbered = number_lines(read_lines(spark, path))
     return numbered.select(F.col("line_no").alias("page_id"), normalise_title(F.col("value")).alias("title"))
+
+
+def read_title(spark: SparkSession, path: str | list[str], page_id: int) -> DataFrame:
+    """The row of :func:`read_titles` with this id, from the one block that holds it."""
+    line = line_at(read_lines(spark, path), page_id)
+    return line.select(F.col("line_no").alias("page_id"), normalise_title(F.col("value")).alias("title"))

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pagemill.functions.days import day_from_file_name
-from pagemill.functions.text import WHOLE_NUMBER, strict_field, strict_long, whole_number
+from pagemill.functions.days import DATE_START, day_from_file_name
+from pagemill.functions.text import strict_field, strict_long, whole_number
 from pagemill.lineage import spread_scan
 from pagemill.sources.text import read_lines
 
 
-# A record with a title and whole-number views, tested in one pass over the line.
-GOOD_RECORD = f"^[^ ]* [^ ]* {WHOLE_NUMBER}(?: |$)"
-
-
 def parse_pagecounts(
     lines: DataFrame, mode: str = "failfast", file: str | None = None
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
@@ -21,7 +19,8 @@ def parse_pagecounts(
 
     ``failfast``: a record without a title or whole-number views, or a file name without
     a date, fails the job as soon as that field is used. ``reject``: returns the good
-    rows and a table ``value, reason`` of the others. Bytes are never required.
+    rows and a table ``value, reason`` of the others. Bytes are never required: what is no
+    bigint reads as NULL.
     """
     if mode not in ("failfast", "reject"):
         raise ValueError(f"mode must be 'failfast' or 'reject', not {mode!r}")
@@ -30,7 +29,7 @@ def parse_pagecounts(
     if strict:
         title, views = strict_field(fields, 1, "title"), strict_long(strict_field(fields, 2, "views"), "views")
     else:
-        title, views = F.get(fields, F.lit(1)), F.get(fields, F.lit(2)).try_cast("bigint")
+        title, views = F.get(fields, F.lit(1)), whole_number(F.get(fields, F.lit(2)))
     columns = [
         F.get(fields, F.lit(0)).alias("project"),
         title.alias("title"),
@@ -44,7 +43,7 @@ def parse_pagecounts(
         return lines.select(*columns)
 
     dated = day.isNotNull() if file else F.lit(True)
-    good = F.rlike("value", F.lit(GOOD_RECORD)) & dated
+    good = views.isNotNull() & dated
     reason = (
         F.when(F.size(fields) < 3, "too few fields")
         .when(~dated, "no date in file name")
@@ -54,8 +53,20 @@ def parse_pagecounts(
 
 
 def read_pagecounts(
-    spark: SparkSession, path: str | list[str], mode: str = "failfast"
+    spark: SparkSession,
+    path: str | list[str],
+    mode: str = "failfast",
+    first_day: date | None = None,
+    last_day: date | None = None,
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
-    """Traffic files with the day taken from each file's name."""
-    lines = read_lines(spark, path).select("value", F.col("_metadata.file_name").alias("file"))
-    return parse_pagecounts(spread_scan(lines), mode, "file")
+    """Traffic files with the day taken from each file's name.
+
+    Files of days before ``first_day`` or after ``last_day`` are not opened.
+    """
+    lines, name = read_lines(spark, path), F.col("_metadata.file_name")
+    digits = F.substring(name, DATE_START, 8)
+    if first_day is not None:
+        lines = lines.where(digits >= first_day.strftime("%Y%m%d"))
+    if last_day is not None:
+        lines = lines.where(digits <= last_day.strftime("%Y%m%d"))
+    return parse_pagecounts(spread_scan(lines.select("value", name.alias("file"))), mode, "file")

@@ -77,6 +77,13 @@ def test_sparse_and_dense_agree(visits):
         assert sparse[r.title] == " ".join(f"{i}-{n}" for i, n in enumerate(r.days) if n)
 
 
+def test_late_days_fail_whatever_is_used(visits):
+    daily = trends.daily_counts(visits, n_days=3)
+    for columns in (["title"], ["n"], ["day"], ["title", "n"]):
+        with pytest.raises(Exception, match="outside the window"):
+            daily.select(*columns).collect()
+
+
 def test_window_ends(visits):
     assert rows(trends.daily_counts(visits, early="drop"))[0] == ("A", 0, 4)
     with pytest.raises(Exception, match="day index outside the window: 3"):
@@ -165,6 +172,25 @@ def test_history_without_broadcasts(revisions, revision_data, no_broadcasts):
     assert got == brute_history(revision_data, "user", 60)
 
 
+def test_hot_key_is_spread_before_it_is_packed(spark, revisions, no_broadcasts):
+    """Too many busy keys for a broadcast: rows meet them by key and share, and only then by key."""
+    plan = edits.edit_history(revisions, "user", part_edits=60)._jdf.queryExecution().executedPlan().toString()
+    quiet = plan[: plan.index("Filter isnotnull(busy")] if "Filter isnotnull(busy" in plan else plan
+    assert re.search(r"Exchange hashpartitioning\(coalesce\(user#\d+, \), isnull\(user#\d+\), _share#\d+", plan)
+    assert re.search(r"ObjectHashAggregate.*\n.*Exchange hashpartitioning\(user#\d+, \d+\)", quiet)
+
+
+def test_null_key_has_a_history(spark):
+    data = [(i, None if i % 2 else 1, "u", f"2007010100{i:04d}", None) for i in range(50)]
+    df = spark.createDataFrame(data, "rev_id bigint, page_id bigint, user string, ts string, comment string")
+    for size in (10, 1000):
+        got = Counter()
+        for r in edits.edit_history(df, part_edits=size).collect():
+            assert r.edits <= size and r.total == 25
+            got[r.page_id] += r.edits
+        assert got == {None: 25, 1: 25}
+
+
 def test_rank_without_broadcasts(spark, no_broadcasts):
     df = spark.createDataFrame(hub_edges(), "src bigint, dst bigint")
     assert_ranks(ranking.page_rank(df, 3, spread_links=100), brute_rank(hub_edges(), [], 3))
@@ -268,6 +294,11 @@ def test_title_edits_and_balance(spark):
         ("c", 1.25, 5, 4),
         ("zz", 0.0, 0, 7),
     ]
+    spaced = spark.createDataFrame([(" a", 6), ("a ", 4), ("c\t", 4), ("b", 0), ("zz", 7), (" ", 3)], accesses.schema)
+    assert rows(balance.balance(titled, spaced)) == rows(balance.balance(titled, accesses))
+    names = spark.createDataFrame([(1, "b  b", 2), (2, " b b", 1)], "page_id bigint, title string, edits bigint")
+    seen = spark.createDataFrame([("b   b", 3), ("b b", 1)], accesses.schema)
+    assert rows(balance.balance(names, seen)) == [("b b", 0.75, 3, 4)]
     assert rows(balance.edit_view_balance(titles, found, accesses)) == rows(balance.balance(titled, accesses))
 
 
@@ -344,10 +375,11 @@ def test_hub_is_spread(spark):
 def test_rank_resumes_and_saves(spark):
     edges = spark.createDataFrame(SMALL, "src string, dst string")
     saved = {}
-    final = ranking.page_rank(edges, 4, save=lambda i, r: saved.update({i: r}))
+    final = ranking.page_rank(edges, 4, save=lambda i, r: saved.update({i: r.collect()}))
     assert sorted(saved) == [1, 2, 3, 4]
-    assert_ranks(saved[2], brute_rank(SMALL, [], 2))
-    resumed = ranking.page_rank(edges, 2, start=saved[2])
+    half = spark.createDataFrame(saved[2], "id string, rank double")
+    assert_ranks(half, brute_rank(SMALL, [], 2))
+    resumed = ranking.page_rank(edges, 2, start=half)
     assert_ranks(resumed, {r.id: r.rank for r in final.collect()})
     with pytest.raises(ValueError):
         ranking.page_rank(edges, 0)

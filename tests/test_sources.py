@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagemill import sources
-from pagemill.operators import counts, ranking
+from pagemill.operators import counts, edits, ranking
 from pagemill.sources import sinks
 
 
@@ -128,10 +128,12 @@ def test_titles_of_many_blocks_and_files(spark, tmp_path):
     try:
         assert sources.read_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 10
         rows = sources.read_titles(spark, str(tmp_path)).collect()
+        some = [sources.read_title(spark, str(tmp_path), i).collect() for i in (1, 2999, 3000, 3001, 3002, 5000)]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert {r.page_id: r.title for r in rows} == {i + 1: t.strip() for i, t in enumerate(wanted)}
+    assert [tuple(r) for rows in some for r in rows] == [(i, wanted[i - 1].strip()) for i in (1, 2999, 3000, 3001, 3002, 5000)]
 
 
 def test_read_back(spark, tmp_path):
@@ -169,12 +171,93 @@ def test_ranks_need_a_rank(spark):
         sources.parse_ranks(lines(spark, "1: 2 3"))[0].collect()
 
 
-def test_write_merged(spark, tmp_path):
-    rows = spark.range(100).repartition(4).selectExpr("cast(id as string) as value").orderBy("value")
-    assert sinks.write_merged(rows, str(tmp_path / "one"))
-    assert len(list((tmp_path / "one").glob("part-*"))) == 1
-    text = next((tmp_path / "one").glob("part-*")).read_text().split()
-    assert text == sorted(map(str, range(100)))
-    assert not sinks.write_merged(rows, str(tmp_path / "many"), max_rows=99)
-    got = [w for p in sorted((tmp_path / "many").glob("part-*")) for w in p.read_text().split()]
-    assert got == text
+def test_number_of_files(spark, tmp_path):
+    rows = spark.range(100).repartition(4).selectExpr("id as page_id", "100 - id as edits")
+    for files in (1, 3):
+        ordered = edits.sort_edits(rows, "page", "edits", files=files)
+        sinks.write_lines(sinks.key_value_lines(ordered, "page_id", "edits"), str(tmp_path / f"sorted{files}"))
+        parts = sorted((tmp_path / f"sorted{files}").glob("part-*"))
+        assert len(parts) == files
+        assert [int(l.split()[1]) for p in parts for l in p.read_text().splitlines()] == list(range(1, 101))
+    sinks.write_lines(sinks.key_value_lines(rows, "page_id", "edits"), str(tmp_path / "dealt"), files=2)
+    assert len(list((tmp_path / "dealt").glob("part-*"))) == 2
+
+
+@pytest.mark.parametrize(
+    "text,value",
+    [
+        ("9000000000000000000", 9 * 10**18),
+        ("-9223372036854775808", -(2**63)),
+        ("+9223372036854775807", 2**63 - 1),
+        ("0" * 30 + "7", 7),
+        ("9223372036854775808", None),
+        ("1" * 40, None),
+        ("1.0", None),
+        (" 1", None),
+        ("1e3", None),
+    ],
+)
+def test_numbers_of_any_length(spark, text, value):
+    good, bad = sources.parse_pagecounts(lines(spark, f"en\tA {text} {text}".replace("\t", " ")), mode="reject")
+    if " " in text:  # an empty field of views
+        assert [r.reason for r in bad.collect()] == ["views is not a number"]
+    elif value is None:
+        assert good.collect() == [] and [r.reason for r in bad.collect()] == ["views is not a number"]
+        with pytest.raises(Exception, match="bad number"):
+            sources.parse_pagecounts(lines(spark, f"en A {text} 1")).collect()
+        assert sources.parse_pagecounts(lines(spark, f"en A 1 {text}")).first().bytes is None
+    else:
+        assert [(r.views, r.bytes) for r in good.collect()] == [(value, value)] and bad.collect() == []
+
+
+def test_rank_text_of_any_length(spark):
+    start, _ = sources.parse_ranks(lines(spark, f"1:\tr0.{'3' * 100} 2", f"2:\tr{'0' * 90}5.5"))
+    assert {(r.id, r.rank) for r in start.collect()} == {("1", float("0." + "3" * 100)), ("2", 5.5)}
+
+
+@pytest.mark.parametrize("line", ["11 7 11 Ann", "xx 8", "11 x 3 c 5 Ann 20070101000001 0 0 NULL NULL"])
+def test_a_bad_record_fails_whatever_is_used(spark, line):
+    records = sources.parse_revisions(lines(spark, "1 7 1 c 5 Ann 20070101000001 0 0 NULL NULL", line))
+    uses = [edits.edit_counts(records), edits.edit_counts(records, "user"), edits.all_actions(records), edits.edit_log(records)]
+    for use in [*uses, *(records.select(c) for c in records.columns)]:
+        with pytest.raises(Exception, match="too few fields|bad number"):
+            use.collect()
+
+
+def test_day_bounds_open_only_their_files(spark, tmp_path):
+    for day in range(1, 10):
+        if day in (3, 4):
+            (tmp_path / f"pagecounts-2010010{day}-000000").write_text(f"en A {day} 1\n")
+        else:  # whoever opens it fails
+            (tmp_path / f"pagecounts-2010010{day}-000000.gz").write_bytes(b"no gzip")
+    found = sources.read_pagecounts(spark, str(tmp_path), first_day=date(2010, 1, 3), last_day=date(2010, 1, 4))
+    assert sorted(r.views for r in found.collect()) == [3, 4]
+    with pytest.raises(Exception):
+        sources.read_pagecounts(spark, str(tmp_path), first_day=date(2010, 1, 3)).collect()
+
+
+def test_part_files_follow_by_number(spark, tmp_path):
+    names = {"part-99999": "a\nb\n", "part-100000": "c\n", "part-20000-x.txt": "d\n"}
+    for name, text in names.items():
+        (tmp_path / name).write_text(text)
+    rows = sources.read_titles(spark, str(tmp_path)).collect()
+    assert {r.page_id: r.title for r in rows} == {1: "d", 2: "a", 3: "b", 4: "c"}
+    for i, title in {1: "d", 3: "b", 4: "c"}.items():
+        assert [tuple(r) for r in sources.read_title(spark, str(tmp_path), i).collect()] == [(i, title)]
+    assert sources.read_title(spark, str(tmp_path), 5).collect() == []
+
+
+def test_history_round_trip(spark):
+    rows = [(i, 7 if i % 3 else 8, f"2007010100{i:04d}", f"u{i % 5}", "fixed" if i == 3 else None) for i in range(100)]
+    revisions = spark.createDataFrame(rows, "rev_id bigint, page_id bigint, ts string, user string, comment string")
+    for by in ("page", "user"):
+        for size in (1, 20, 1000):
+            history = edits.edit_history(revisions, by, part_edits=size)
+            saved = sinks.history_lines(history, by)
+            back = sources.parse_history(saved, by)
+            assert back.columns == history.columns
+            assert sorted(map(str, back.collect())) == sorted(map(str, history.collect()))
+            if by == "page":
+                counts = {tuple(r) for r in sources.parse_edit_counts(saved).collect()}
+                assert counts == {(7, 66), (8, 34)}
+                assert all(int(r.value.split("\t")[1].split("!@#")[0]) in (66, 34) for r in saved.collect())
