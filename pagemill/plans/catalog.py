@@ -17,7 +17,7 @@ from pagemill.functions.tags import KEYWORDS, mask_text, tag_mask
 from pagemill.functions.text import squeeze
 from pagemill.lineage import cut_lineage, scratch_path, spread_scan
 from pagemill.operators import balance, counts, edits, ranking, trends
-from pagemill.operators.numbering import number_rows
+from pagemill.operators.numbering import number_in_order, number_rows
 from pagemill.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,8 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def key() -> Column:
-    """``$.k`` of ``props``, which are all ``{"k": <digits>}``; a third of the cost of a JSON parser."""
-    return F.regexp_extract("props", r'^\{"k": (\d+)\}$', 1)
+    return F.get_json_object("props", "$.k")
 
 
 def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,6 +213,20 @@ def trend_dense(spark, sf_dir):
     return as_text(trends.dense_trend(daily(spark, sf_dir), N_DAYS), "days")
 
 
+@query(f"""with {TRAFFIC}, daily as (
+  select title, cast(day - date '2024-01-11' as integer) as day, cast(sum(views) as bigint) as n
+  from traffic where day between date '2024-01-11' and date '2024-01-20' group by all)
+select title, max(n) as peak, string_agg(day || '-' || n, ' ' order by day) filter (where n > 0) as series
+from daily group by title having max(n) > 600""")
+def trend_from_files(spark, sf_dir):
+    """Records written as gzip files by day, of which ten days are read."""
+    path = scratch_path(spark, "traffic")
+    sinks.write_pagecounts(traffic(spark, sf_dir).withColumn("bytes", F.lit(0)), path)
+    first, last = date(2024, 1, 11), date(2024, 1, 20)
+    records = sources.read_pagecounts(spark, path, first_day=first, last_day=last)
+    return trends.trend(trends.daily_counts(records, first, 10), threshold=600)
+
+
 # --- edits -------------------------------------------------------------------------
 
 KEY = {"page": "page_id", "user": '"user"'}
@@ -237,19 +250,36 @@ history as (
   from packed join totals using ({KEY[by]}) left join latest using ({KEY[by]}))"""
 
 
-@query(f"with {REVISIONS} select page_id, cast(count(*) as bigint) as edits from revisions group by page_id")
+def counts_sql(by: str, order: str) -> str:
+    return f"""with {REVISIONS}, counted as (
+  select {KEY[by]}, cast(count(*) as bigint) as edits from revisions group by all)
+select *, row_number() over (order by {order}) as position from counted"""
+
+
+def in_order(df: DataFrame) -> DataFrame:
+    """With the place of each row in the order that ``df`` has, so that a wrong order shows."""
+    return number_in_order(df, "position")
+
+
+@query(counts_sql("page", "page_id"))
 def edits_by_page(spark, sf_dir):
-    return edits.sort_edits(edits.edit_counts(revisions(spark, sf_dir), "page"), "page", "key")
+    return in_order(edits.sort_edits(edits.edit_counts(revisions(spark, sf_dir), "page"), "page", "key"))
 
 
-@query(f'with {REVISIONS} select "user", cast(count(*) as bigint) as edits from revisions group by "user"')
+@query(counts_sql("user", '"user"'))
 def edits_by_user(spark, sf_dir):
-    return edits.sort_edits(edits.edit_counts(revisions(spark, sf_dir), "user"), "user", "edits")
+    return in_order(edits.sort_edits(edits.edit_counts(revisions(spark, sf_dir), "user"), "user", "key"))
 
 
-@query(f'with {REVISIONS} select page_id, ts, rev_id, "user" from revisions')
+@query(counts_sql("user", 'edits, "user"'))
+def users_by_edits(spark, sf_dir):
+    return in_order(edits.sort_edits(edits.edit_counts(revisions(spark, sf_dir), "user"), "user", "edits"))
+
+
+@query(f"""with {REVISIONS}
+select page_id, ts, rev_id, "user", row_number() over (order by page_id, ts, rev_id) as position from revisions""")
 def edit_log_by_page(spark, sf_dir):
-    return edits.edit_log(revisions(spark, sf_dir), "page")
+    return in_order(edits.edit_log(revisions(spark, sf_dir), "page"))
 
 
 @query(f"with {history_sql('page', '0')} select * from history")
@@ -278,7 +308,18 @@ def history_lines(spark, sf_dir):
 
 @query(f"with {REVISIONS} select page_id, cast(count(*) as bigint) as edits from revisions group by page_id")
 def edit_counts_from_lines(spark, sf_dir):
-    return sources.parse_edit_counts(history_lines(spark, sf_dir))
+    """Counts read back from a history of which busy pages are saved in parts."""
+    history = edits.edit_history(revisions(spark, sf_dir), "page", part_edits=100)
+    return sources.parse_edit_counts(sinks.history_lines(history, "page"))
+
+
+@query(f"with {history_sql('page', '(n - 1) // 64')} select * from history")
+def history_round_trip(spark, sf_dir):
+    """All parts of a history written as text lines, and read back whole."""
+    history = edits.edit_history(revisions(spark, sf_dir), "page", part_edits=64)
+    path = scratch_path(spark, "history")
+    sinks.write_lines(sinks.history_lines(history, "page"), path)
+    return as_text(sources.read_history(spark, path, "page"), "timestamps", "others", "actions")
 
 
 @query(f"""select doc_id, {tags_sql("c")} as tags, concat_ws(' ', {", ".join(
@@ -387,24 +428,70 @@ def edit_view_balance(spark, sf_dir):
     )
 
 
-@query(f"""with {BALANCE}
-select title || chr(9) || concat_ws(' ', printf('%.3f', ratio), edits, accesses) as value from balances""")
+@query(f"""with {BALANCE}, seen as (
+  select title, edits, case when right(title, 1) = '7' then 0 else accesses end as accesses from balances)
+select title, edits / cast(nullif(accesses, 0) as double) as ratio,
+       case when accesses > 0 then '' when edits = 0 then 'NaN' else 'Infinity' end as undefined, edits, accesses
+from seen""")
 def balance_lines(spark, sf_dir):
-    """Three decimals, since long ratios print differently."""
-    rounded = F.format_string("%.3f", "ratio")
-    return sinks.balance_lines(edit_view_balance(spark, sf_dir).withColumn("ratio", rounded))
+    """Lines of the sink, parsed again: numbers print differently in other engines.
+
+    Titles that end in a 7 count as never seen, so their ratio is written as a word.
+    """
+    seen = edit_view_balance(spark, sf_dir).withColumn(
+        "accesses", F.when(F.endswith("title", F.lit("7")), F.lit(0).cast("bigint")).otherwise(F.col("accesses"))
+    )
+    seen = seen.withColumn("ratio", balance.ratio(F.col("edits"), F.col("accesses")))
+    fields = F.split(F.substring_index("value", "\t", -1), " ")
+    ratio = fields[0]
+    word = ratio.isin("NaN", "Infinity")
+    return sinks.balance_lines(seen).select(
+        F.substring_index("value", "\t", 1).alias("title"),
+        F.when(~word, ratio.cast("double")).alias("ratio"),
+        F.when(word, ratio).otherwise("").alias("undefined"),
+        fields[1].cast("bigint").alias("edits"),
+        fields[2].cast("bigint").alias("accesses"),
+    )
+
+
+@query(f"""with {BALANCE} select replace(title, '#', ' ') as title, ratio, edits, accesses from balances""")
+def balance_from_text(spark, sf_dir):
+    """The same from its three inputs as text, with runs of spaces in titles, all read back."""
+    paths = [scratch_path(spark, name) for name in ("titles", "history", "accesses")]
+    customers = table(spark, sf_dir, "customer").orderBy("c_name")
+    spaced = lambda title, gap: F.replace(title, F.lit("#"), F.lit(gap))
+    sinks.write_lines(customers.select(spaced(F.col("c_name"), "   ").alias("value")), paths[0])
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("rev_id"),
+        (F.col("o_custkey") + 1).alias("page_id"),
+        F.lit("clerk").alias("user"),
+        F.lpad(F.col("o_orderkey").cast("string"), 14, "0").alias("ts"),
+        F.lit(None).cast("string").alias("comment"),
+    )
+    sinks.write_lines(sinks.history_lines(edits.edit_history(orders, "page", part_edits=10), "page"), paths[1])
+    name = F.concat(F.lit("Customer#"), F.lpad(F.col("user_id").cast("string"), 9, "0"))
+    # Two spellings of each title, which add up.
+    gap = F.when(F.col("event_id") % 2 == 0, spaced(name, "  ")).otherwise(spaced(name, " "))
+    views = table(spark, sf_dir, "events").select(gap.alias("title"), F.floor("value").cast("bigint").alias("views"))
+    sinks.write_lines(sinks.key_value_lines(counts.access_count(views), "title", "accesses"), paths[2])
+    return balance.edit_view_balance(
+        sources.read_titles(spark, paths[0]),
+        sources.read_edit_counts(spark, paths[1]),
+        sources.read_access_counts(spark, paths[2]),
+    )
 
 
 @query(f"""with {TRAFFIC}
 select title, edits / cast(nullif(accesses, 0) as double) as ratio, edits, accesses
-from (select title, cast(count(*) filter (where project = 'purchase') as bigint) as edits,
-             cast(sum(views) filter (where project = 'view') as bigint) as accesses
+from (select title, cast(count(*) filter (where project not in ('view', 'click')) as bigint) as edits,
+             cast(sum(views) filter (where project in ('view', 'click')) as bigint) as accesses
       from traffic group by title) where accesses is not null""")
 def balance_of_events(spark, sf_dir):
-    """Purchases are edits and views are accesses of a title."""
+    """Views and clicks are accesses of a title, all other events are edits."""
     records = traffic(spark, sf_dir)
-    bought = records.where(F.col("project") == "purchase").groupBy("title").agg(F.count(F.lit(1)).alias("edits"))
-    return balance.balance(bought, counts.access_count(records, project="view"))
+    seen = F.col("project").isin("view", "click")
+    changed = records.where(~seen).groupBy("title").agg(F.count(F.lit(1)).alias("edits"))
+    return balance.balance(changed, counts.access_count(records.where(seen)))
 
 
 # --- link graphs -------------------------------------------------------------------
@@ -492,21 +579,36 @@ def page_name(spark, sf_dir):
     return balance.page_names(part_titles(spark, sf_dir), 100)
 
 
+@query(f"with {PART_TITLES} select page_id, title from titles where page_id = 100")
+def page_name_from_files(spark, sf_dir):
+    """One title of sorted text files, read from the block that holds it."""
+    path = scratch_path(spark, "titles")
+    sinks.write_lines(table(spark, sf_dir, "part").orderBy("p_name", "p_partkey").select("p_name"), path)
+    return sources.read_title(spark, path, 100)
+
+
 # --- records parsed from lines -----------------------------------------------------
 
 
+# The largest bigint less a number of up to seven digits: 19 digits.
+LONG = 9223372036854775807
+
+
 def traffic_lines(spark, sf_dir):
-    """Records as text; an ``error`` event has no number of views."""
-    views = F.when(F.col("event_type") == "error", "n/a").otherwise(F.floor("value").cast("bigint").cast("string"))
+    """Records as text; an ``error`` event has no number of views, and views have leading zeros
+    and bytes 19 digits."""
+    views = F.when(F.col("event_type") == "error", "n/a").otherwise(
+        F.lpad(F.floor("value").cast("bigint").cast("string"), 25, "0")
+    )
     return table(spark, sf_dir, "events").select(
-        F.concat_ws(" ", "event_type", key(), views, F.col("event_id").cast("string")).alias("value")
+        F.concat_ws(" ", "event_type", key(), views, (F.lit(LONG) - F.col("event_id")).cast("string")).alias("value")
     )
 
 
 @query(f"""with {TRAFFIC}
 select project, title, views, bytes from (
   select event_type as project, json_extract_string(props, '$.k') as title,
-         cast(floor(value) as bigint) as views, event_id as bytes
+         cast(floor(value) as bigint) as views, 9223372036854775807 - event_id as bytes
   from events) where project <> 'error'""")
 def traffic_from_lines(spark, sf_dir):
     good, _ = sources.parse_pagecounts(traffic_lines(spark, sf_dir), mode="reject")
@@ -514,7 +616,7 @@ def traffic_from_lines(spark, sf_dir):
 
 
 @query("""
-select concat_ws(' ', event_type, json_extract_string(props, '$.k'), 'n/a', event_id) as value,
+select concat_ws(' ', event_type, json_extract_string(props, '$.k'), 'n/a', 9223372036854775807 - event_id) as value,
        'views is not a number' as reason
 from events where event_type = 'error'""")
 def traffic_rejects(spark, sf_dir):
@@ -544,7 +646,9 @@ def revisions_from_lines(spark, sf_dir):
     return sources.parse_revisions(table(spark, sf_dir, "conversations").select(line.alias("value")))
 
 
-HREFS = "regexp_extract_all(html, '<a href=\"([^\" ]+)\"', 1)"
+# An href of an anchor, quoted either way or not at all, wherever it stands in the tag.
+HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*["']?([^"'\s>]+)"""
+HREFS = f"regexp_extract_all(html, '{HREF.replace(chr(39), chr(39) * 2)}', 1)"
 
 
 @query(f"""
@@ -552,7 +656,7 @@ select cast(page_id as varchar) as src, dst, cast(count(*) as bigint) as m
 from (select page_id, unnest({HREFS}) as dst from pages) group by all""")
 def links_from_lines(spark, sf_dir):
     """Pages written as adjacency lines of their link targets, and parsed again."""
-    targets = F.array_join(F.regexp_extract_all("html", F.lit('<a href="([^" ]+)"'), 1), " ")
+    targets = F.array_join(F.regexp_extract_all("html", F.lit(HREF), 1), " ")
     lines = table(spark, sf_dir, "pages").select(
         F.concat(F.col("page_id").cast("string"), F.lit(": "), squeeze(targets)).alias("value")
     )

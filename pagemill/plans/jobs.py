@@ -1,26 +1,64 @@
-"""The jobs over paths: text in, text out."""
+"""The jobs over paths: text in, text out.
+
+Each deletes what it has saved in between when its result is written. The lookups
+(``top_pages``, ``page_name``, ``page_info``) return a table instead; show it within
+:func:`pagemill.lineage.scratch`.
+"""
 
 from __future__ import annotations
 
-from datetime import date
+import functools
+from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagemill import sources
 from pagemill.functions.days import FIRST_DAY, N_DAYS
-from pagemill.lineage import cut_lineage, spread_scan
+from pagemill.lineage import cut_lineage, scratch, spread_scan
 from pagemill.operators import balance, counts, edits, ranking, trends
 from pagemill.sources import sinks
 
 
+def cleaning(job: Callable[..., None]) -> Callable[..., None]:
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **options) -> None:
+        with scratch(spark):
+            job(spark, *args, **options)
+
+    return run
+
+
+def accepted(read: Callable, spark: SparkSession, source: str, rejects: str | None, **options) -> DataFrame:
+    """Records of ``source``; with ``rejects``, bad lines go there as ``reason \\t line`` instead
+    of failing the job."""
+    if rejects is None:
+        return read(spark, source, **options)
+    good, bad = read(spark, source, mode="reject", **options)
+    sinks.write_lines(sinks.key_value_lines(bad, "reason", "value"), rejects)
+    return good
+
+
+@cleaning
 def word_count(spark: SparkSession, source: str, target: str) -> None:
     result = counts.word_count(spread_scan(sources.read_lines(spark, source)))
     sinks.write_lines(sinks.key_value_lines(result, "word", "n"), target)
 
 
-def access_count(spark: SparkSession, source: str, target: str, project: str | None = None) -> None:
-    result = counts.access_count(sources.read_pagecounts(spark, source), project)
-    sinks.write_lines(sinks.key_value_lines(result, "title", "accesses"), target)
+@cleaning
+def access_count(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    project: str | None = None,
+    by_project: bool = False,
+    rejects: str | None = None,
+) -> None:
+    """``title \\t n`` lines, with ``by_project`` ``project \\t title \\t n``."""
+    records = accepted(sources.read_pagecounts, spark, source, rejects)
+    result = counts.access_count(records, project, by_project)
+    key = F.concat_ws("\t", "project", "title") if by_project else "title"
+    sinks.write_lines(sinks.key_value_lines(result, key, "accesses"), target)
 
 
 def top_pages(spark: SparkSession, accesses: str, k: int = 15) -> DataFrame:
@@ -28,6 +66,7 @@ def top_pages(spark: SparkSession, accesses: str, k: int = 15) -> DataFrame:
     return counts.top_pages(sources.read_access_counts(spark, accesses), k)
 
 
+@cleaning
 def trend(
     spark: SparkSession,
     source: str,
@@ -35,52 +74,88 @@ def trend(
     threshold: int = trends.THRESHOLD,
     first_day: date = FIRST_DAY,
     n_days: int = N_DAYS,
+    early: str = "clamp",
+    late: str = "fail",
+    rejects: str | None = None,
 ) -> None:
-    daily = trends.daily_counts(sources.read_pagecounts(spark, source), first_day, n_days)
+    """Files of days that are left out (``early`` or ``late`` is ``drop``) are not opened."""
+    days = {}
+    if early == "drop":
+        days["first_day"] = first_day
+    if late == "drop":
+        days["last_day"] = first_day + timedelta(days=n_days - 1)
+    records = accepted(sources.read_pagecounts, spark, source, rejects, **days)
+    daily = trends.daily_counts(records, first_day, n_days, early, late)
     sinks.write_lines(sinks.trend_lines(trends.trend(daily, threshold)), target)
 
 
+@cleaning
 def page_edits(
-    spark: SparkSession, source: str, target: str, by: str, sort: str = "no", merge: bool = False
+    spark: SparkSession,
+    source: str,
+    target: str,
+    by: str,
+    sort: str = "no",
+    files: int | None = None,
+    part_edits: int = edits.PART_EDITS,
+    rejects: str | None = None,
 ) -> None:
     """Histories by ``user`` or ``page``, sorted by ``id``, by ``edits`` or not (``no``).
 
-    ``merge`` writes a result of moderate size to one file.
+    ``files`` sets the number of files of the result, each written by one task. A history of
+    more than ``part_edits`` edits is written as several lines (:func:`sinks.history_text`).
     """
     order = {"id": "key", "edits": "edits", "no": None}[sort]
-    history = edits.edit_history(sources.read_revisions(spark, source), by)
-    write = sinks.write_merged if merge else sinks.write_lines
-    write(sinks.history_lines(edits.sort_edits(history, by, order), by), target)
+    records = accepted(sources.read_revisions, spark, source, rejects)
+    history = edits.sort_edits(edits.edit_history(records, by, part_edits), by, order, files)
+    sinks.write_lines(sinks.history_lines(history, by), target, files=files if order is None else None)
 
 
+@cleaning
 def page_rank(
-    spark: SparkSession, source: str, target: str, runs: int, resume: bool = False, save_all: bool = True
+    spark: SparkSession,
+    source: str,
+    target: str,
+    runs: int,
+    resume: bool = False,
+    save: str = "ranks",
+    line_links: int = sinks.LINE_LINKS,
 ) -> None:
     """``runs`` steps; results go to ``target/<step>``, or to ``target`` for a single step.
 
-    ``resume`` takes saved ranks as the source. Without ``save_all`` only the last step
-    is written.
+    ``resume`` takes saved ranks as the source. The last step is written with its links, so
+    it can be resumed from. Of the steps before, ``save`` writes ``all`` in that form, only
+    the ``ranks`` (``id \\t rank``), or ``last``: none. A page of more than ``line_links``
+    links is written as several lines, each with the rank. The source is parsed once.
     """
+    if save not in ("all", "ranks", "last"):
+        raise ValueError(f"save must be 'all', 'ranks' or 'last', not {save!r}")
+    lines = sources.read_lines(spark, source)
     start = None
     if resume:
-        start, links = sources.read_ranks(spark, source)
+        state = cut_lineage(sources.parse_rank_lines(lines))
+        start, links = sources.split_ranks(state)
     else:
-        links = sources.read_links(spark, source)
+        links = cut_lineage(sources.parse_links(lines))
     links, pages = sources.explode_links(links)
-    lists = cut_lineage(sinks.link_lists(ranking.merge_edges(links), ranking.out_degree(links, pages)))
+    merged = cut_lineage(ranking.merge_edges(links))
+    lists = cut_lineage(sinks.link_lists(merged, ranking.out_degree(merged, pages), line_links))
 
-    def save(i: int, ranks: DataFrame) -> None:
+    def write(i: int, ranks: DataFrame) -> None:
         folder = target if runs == 1 else f"{target}/{i}"
-        if save_all or i == runs:
+        if i == runs or save == "all":
             sinks.write_lines(sinks.rank_lines(ranks, lists), folder)
+        elif save == "ranks":
+            sinks.write_lines(sinks.key_value_lines(ranks, "id", "rank"), folder)
 
-    ranks = ranking.page_rank(links, runs, pages, start, save=save if save_all else None)
-    if not save_all:
-        save(runs, ranks)
+    ranks = ranking.page_rank(merged, runs, pages, start, save=None if save == "last" else write)
+    if save == "last":
+        write(runs, ranks)
 
 
+@cleaning
 def edit_view_balance(
-    spark: SparkSession, titles: str, page_history: str, accesses: str, target: str, merge: bool = False
+    spark: SparkSession, titles: str, page_history: str, accesses: str, target: str, files: int | None = None
 ) -> None:
     """From a titles file and the saved results of the page-edit and access-count jobs."""
     result = balance.edit_view_balance(
@@ -88,14 +163,13 @@ def edit_view_balance(
         sources.read_edit_counts(spark, page_history),
         sources.read_access_counts(spark, accesses),
     )
-    write = sinks.write_merged if merge else sinks.write_lines
-    write(sinks.balance_lines(result), target)
+    sinks.write_lines(sinks.balance_lines(result), target, files=files)
 
 
 def page_name(spark: SparkSession, titles: str, page_id: int) -> DataFrame:
-    return balance.page_names(sources.read_titles(spark, titles), page_id)
+    return sources.read_title(spark, titles, page_id)
 
 
 def page_info(spark: SparkSession, ranks: str, titles: str, page_id: int) -> DataFrame:
     saved, _ = sources.read_ranks(spark, ranks)
-    return balance.rank_names(saved.where(F.col("id") == str(page_id)), sources.read_titles(spark, titles), page_id)
+    return balance.rank_names(saved.where(F.col("id") == str(page_id)), sources.read_title(spark, titles, page_id))

@@ -1,8 +1,11 @@
 """The jobs from files to files, as called from the command line."""
 
+import pathlib
+
 import pytest
 
 from pagemill.__main__ import main
+from pagemill.lineage import shared_folder
 
 
 def read(path):
@@ -28,6 +31,15 @@ def data(tmp_path):
     return tmp_path
 
 
+@pytest.fixture(autouse=True)
+def nothing_left_over(spark):
+    """Every job deletes the tables it has saved in between."""
+    folder = pathlib.Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("pagemill-*"))
+    yield
+    assert set(folder.glob("pagemill-*")) == before
+
+
 def run(*args):
     main([str(a) for a in args])
 
@@ -60,7 +72,7 @@ def test_page_edits(spark, data):
         "Ann\t1!@#20070101000001!@#1!@#fix",
         "Bob\t3!@#20070101000002 20070101000003 20070101000004!@#2 1 1!@#add",
     ]
-    run("page-edits", data / "revisions.txt", data / "page", "--by", "page", "--sort", "id", "--merge")
+    run("page-edits", data / "revisions.txt", data / "page", "--by", "page", "--sort", "id", "--files", 1)
     assert len(list((data / "page").glob("part-*"))) == 1
     assert read(data / "page") == [
         "1\t3!@#20070101000001 20070101000003 20070101000004!@#Ann Bob Bob!@#add",
@@ -71,11 +83,18 @@ def test_page_edits(spark, data):
 
 
 def test_page_rank(spark, data, capsys):
-    run("page-rank", data / "links.txt", data / "ranks", 3)
+    run("page-rank", data / "links.txt", data / "ranks", 3, "--save", "all")
     first, last = sorted(read(data / "ranks" / "1")), sorted(read(data / "ranks" / "3"))
     assert "3:\tr0.15  1 4 " in first and len(first) == 4
-    run("page-rank", data / "ranks" / "1", data / "more", 2, "--resume", "--last-only")
+    run("page-rank", data / "ranks" / "1", data / "more", 2, "--resume", "--save", "last")
     assert not (data / "more" / "1").exists()
+    run("page-rank", data / "links.txt", data / "brief", 3)
+    brief = {k: float(v) for k, v in (l.split("\t") for l in read(data / "brief" / "1"))}
+    assert brief == pytest.approx({"1": 1.425, "2": 0.15, "3": 0.15, "4": 0.575})
+    assert sorted(read(data / "brief" / "3")) == last
+    run("page-rank", data / "links.txt", data / "short", 1, "--line-links", 1)
+    own = [l.split()[2:] for l in read(data / "short") if l.startswith("3:\tr0.15 ")]
+    assert sorted(x for links in own for x in links) == ["1", "4"]
     assert sorted(read(data / "more" / "2")) == last
     run("page-rank", data / "links.txt", data / "single", 1)
     assert sorted(read(data / "single")) == first
@@ -90,3 +109,37 @@ def test_balance_from_the_other_jobs(spark, data, capsys):
     assert sorted(read(data / "out")) == [f"a\t{3 / 18} 3 18", "b\t0.1 1 10", "zz\t0.0 0 7"]
     run("page-name", data / "titles.txt", 3)
     assert "|c    |" in capsys.readouterr().out
+
+
+def test_rejects_go_aside(spark, data):
+    (data / "traffic" / "pagecounts-20100102-000000").write_text("en c x 1\nen\n")
+    with pytest.raises(Exception):
+        run("access-count", data / "traffic", data / "fails")
+    run("access-count", data / "traffic", data / "out", "--by-project", "--mode", "reject", "--rejects", data / "bad")
+    assert sorted(read(data / "out")) == ["de\ta\t3", "en\ta\t15", "en\tb\t10", "en\tzz\t7"]
+    assert sorted(read(data / "bad")) == ["too few fields\ten", "views is not a number\ten c x 1"]
+    with pytest.raises(SystemExit):
+        run("access-count", data / "traffic", data / "other", "--mode", "reject")
+    (data / "revisions.txt").write_text("21 1 21 Ann\n22 2 22 6 Bob 20070101000002 0 0 NULL NULL\n")
+    run("page-edits", data / "revisions.txt", data / "page", "--by", "page", "--mode", "reject", "--rejects", data / "short")
+    assert read(data / "page") == ["2\t1!@#20070101000002!@#Bob!@#"]
+    assert read(data / "short") == ["too few fields\t21 1 21 Ann"]
+
+
+def test_trend_leaves_days_out(spark, data):
+    window = ("--threshold", 6, "--first-day", "2010-01-02", "--n-days", 1)
+    with pytest.raises(Exception, match="outside the window"):
+        run("trend", data / "traffic", data / "fails", *window)
+    run("trend", data / "traffic", data / "late", *window, "--late", "drop")
+    assert sorted(read(data / "late")) == ["a\t0-7 ", "b\t0-10 "]
+    run("trend", data / "traffic", data / "none", *window, "--early", "drop", "--late", "drop")
+    assert read(data / "none") == []
+
+
+def test_long_histories_are_parts(spark, data):
+    run("page-edits", data / "revisions.txt", data / "user", "--by", "user", "--sort", "edits", "--part-edits", 2)
+    assert read(data / "user") == [
+        "Ann\t1!@#20070101000001!@#1!@#fix",
+        "Bob\t3!@#20070101000002 20070101000003!@#2 1!@#add!@#0!@#2",
+        "Bob\t3!@#20070101000004!@#1!@#add!@#1!@#1",
+    ]

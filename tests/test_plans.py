@@ -18,7 +18,7 @@ def plan(spark, name):
     [
         ("access_count", "value:double,props:string"),
         ("access_count_by_project", "event_type:string,value:double,props:string"),
-        ("edits_by_user", "user_id:bigint"),
+        ("trend_sparse", "ts:timestamp_ntz,value:double,props:string"),
         ("word_count", "text:string"),
         ("out_degree", "l_orderkey:bigint,l_partkey:bigint"),
         ("action_tags", "doc_id:bigint,text:string"),
@@ -49,3 +49,46 @@ def test_sums_are_partial_before_the_shuffle(spark, name, shuffles):
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(spark, name)
     assert not re.search(r"Python|ArrowEval|MapIn|CartesianProduct|BroadcastNestedLoop", text)
+
+
+def source_scans(plan):
+    return len(re.findall(r"Scan text", plan))
+
+
+def test_rank_job_parses_its_source_once(spark, tmp_path, monkeypatch):
+    """Every job of the run is planned; only the first save reads text."""
+    from pagemill import lineage
+    from pagemill.plans import jobs
+
+    (tmp_path / "links.txt").write_text("1:\n2: 1\n3: 1 4\n4:\n")
+    scans, save = [], lineage.save_table
+
+    def counting(df):
+        scans.append(source_scans(df._jdf.queryExecution().executedPlan().toString()))
+        return save(df)
+
+    monkeypatch.setattr(lineage, "save_table", counting)
+    monkeypatch.setattr("pagemill.operators.ranking.save_table", counting)
+    for target, options in (("a", {}), ("b", {"save": "last"})):
+        scans.clear()
+        jobs.page_rank(spark, str(tmp_path / "links.txt"), str(tmp_path / target), 3, **options)
+        assert scans[0] == 1 and sum(scans) == 1 and len(scans) > 3
+
+
+def test_no_single_task_above_the_packing(spark, tmp_path, monkeypatch):
+    from pagemill.plans import jobs
+    from pagemill.sources import sinks
+
+    (tmp_path / "in.txt").write_text("21 1 21 Fixed typo 5 Ann 20070101000001 0 0 NULL NULL\n")
+    plans, write = [], sinks.write_lines
+
+    def noting(lines, path, mode="error", files=None):
+        dealt = lines if files is None else lines.repartition(files)
+        plans.append(dealt._jdf.queryExecution().executedPlan().toString())
+        write(lines, path, mode, files)
+
+    monkeypatch.setattr(sinks, "write_lines", noting)
+    for sort in ("no", "id", "edits"):
+        jobs.page_edits(spark, str(tmp_path / "in.txt"), str(tmp_path / sort), "page", sort, files=1)
+    assert len(plans) == 3 and not any("Coalesce" in p for p in plans)
+    assert "Exchange RoundRobinPartitioning(1)" in plans[0] or "Exchange SinglePartition" in plans[0]
