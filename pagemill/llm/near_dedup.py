@@ -5,16 +5,19 @@ gamma and uniform variates of the sampling scheme from tables indexed by the shi
 and takes the shingle of the smallest value, so two texts agree in a sample with the
 probability of their weighted Jaccard similarity. Samples are banded into buckets, bucket
 members are paired, and a pair is a link if its exact weighted Jaccard similarity is high
-enough. Connected texts are one class.
+enough. Connected texts are one class, so a large bucket needs no more pairs than connect all
+that is similar in it.
 
 Whole texts are compared once: identical texts share a node.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -29,9 +32,9 @@ SAMPLES, BANDS = 64, 16
 FEATURES = 1 << 18
 # How far a shingle of one document outweighs one of all documents.
 IDF_WEIGHT = 0.25
-# Bucket members up to which all are paired; in a larger bucket each is paired with two
-# members drawn by hash, which differ from band to band.
-PAIR_ALL = 8
+# Bucket members up to which all are paired, and up to which a task finds the pairs that
+# connect them; further pairs per member that it takes.
+PAIR_ALL, TREE_NODES, NEAREST = 8, 4_096, 3
 # Share of equal samples below which a pair is not compared: four standard deviations under
 # the threshold.
 LEAST_ESTIMATE = 0.6
@@ -160,27 +163,85 @@ def signatures(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     return texts.mapInArrow(sample, "node binary, sig array<int>").dropDuplicates(["node"])
 
 
-def candidate_pairs(sigs: DataFrame) -> DataFrame:
-    """Distinct ``a, b`` of nodes that meet in a bucket and agree in enough samples."""
-    size = SAMPLES // BANDS
-    bands = [F.xxhash64(F.lit(k), F.slice("sig", k * size + 1, size)) for k in range(BANDS)]
-    banded = sigs.select("node", F.explode(F.array(*bands)).alias("bucket"))
-    rank = F.xxhash64("node", "bucket")
-    buckets = banded.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min(rank).alias("low"), F.max(rank).alias("high")
-    )
-    buckets, _ = broadcast_if_small(cut_lineage(buckets.where("n > 1")))
-    members = cut_lineage(banded.join(buckets, "bucket").withColumn("rank", rank))
-    few = members.where(F.col("n") <= PAIR_ALL).select("bucket", "node")
-    other = few.withColumnRenamed("node", "b")
-    small = few.withColumnRenamed("node", "a").join(other, "bucket").where("a < b").select("a", "b")
-    many = members.where(F.col("n") > PAIR_ALL)
-    leads = (F.col("rank") == F.col("low")) | (F.col("rank") == F.col("high"))
-    leaders = many.where(leads).select("bucket", F.col("node").alias("leader"))
-    # A hot bucket has two leaders, so its rows can be split between tasks.
-    large = many.select("bucket", "node").join(leaders, "bucket").where("node != leader")
-    large = large.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    pairs = cut_lineage(small.unionByName(large).distinct())
+def tree_pairs(sigs: np.ndarray, least: float, nearest: int = NEAREST) -> np.ndarray:
+    """Index pairs that connect whatever all similar pairs would connect.
+
+    They are a maximum spanning tree by the share of equal samples: at any threshold its
+    edges connect the same members as all pairs above the threshold do. Since these shares
+    are estimates, each member is also paired with its ``nearest`` others, and with the
+    ``nearest`` members that are closest to all, such as the text that the others are copies
+    of. Pairs below ``least`` are left out. One row of similarities is held at a time.
+    """
+    n = len(sigs)
+    floor = int(least * sigs.shape[1])
+    best, parent = np.full(n, -1), np.zeros(n, dtype=np.int64)
+    inside = np.zeros(n, dtype=bool)
+    total = np.zeros(n, dtype=np.int64)
+    pairs, at = [], 0
+    for _ in range(n):
+        inside[at] = True
+        equal = (sigs == sigs[at]).sum(axis=1)
+        total[at] = equal.sum()
+        equal[at] = -1
+        near = np.argpartition(-equal, min(nearest, n - 1))[:nearest]
+        pairs += [(at, int(j)) for j in near if equal[j] >= floor]
+        closer = ~inside & (equal > best)
+        best[closer], parent[closer] = equal[closer], at
+        at = int(np.argmax(np.where(inside, -2, best)))
+        if not inside[at] and best[at] >= floor:
+            pairs.append((at, int(parent[at])))
+    for hub in np.argsort(-total, kind="stable")[:nearest].tolist():
+        equal = (sigs == sigs[hub]).sum(axis=1)
+        pairs += [(hub, int(j)) for j in np.flatnonzero(equal >= floor) if j != hub]
+    return np.unique(np.sort(np.array(pairs, dtype=np.int64).reshape(-1, 2), axis=1), axis=0)
+
+
+def _tree(part: pd.DataFrame) -> pd.DataFrame:
+    part = part.sort_values("node")
+    nodes = part["node"].to_numpy()
+    pairs = tree_pairs(np.stack(part["sig"].to_numpy()), LEAST_ESTIMATE)
+    return pd.DataFrame({"a": nodes[pairs[:, 0]], "b": nodes[pairs[:, 1]]})
+
+
+def candidate_pairs(sigs: DataFrame, tree_nodes: int = TREE_NODES) -> DataFrame:
+    """Distinct ``a, b`` of nodes that meet in a bucket and agree in enough samples.
+
+    All pairs of a small bucket, the pairs of :func:`tree_pairs` of a larger one. A bucket of
+    more than ``tree_nodes`` members is split by twice as many samples, again and again, up
+    to buckets of equal signatures; in each that is too large, every member is also paired
+    with two members drawn by hash, which differ from band to band.
+    """
+    step = SAMPLES // BANDS
+    around = F.concat("sig", "sig")  # a band's samples go on from its own to all others
+    banded = sigs.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+    found: list[DataFrame] = []
+    size = step
+    while True:
+        keyed = banded.select("node", "band", F.xxhash64("band", F.slice(around, F.col("band") * step + 1, size)).alias("bucket"))
+        rank = F.xxhash64("node", "bucket")
+        buckets = keyed.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("n"), F.min(rank).alias("low"), F.max(rank).alias("high")
+        )
+        buckets, _ = broadcast_if_small(cut_lineage(buckets.where("n > 1")))
+        members = cut_lineage(keyed.join(buckets, "bucket"))
+        few = members.where(F.col("n") <= PAIR_ALL).select("bucket", "node")
+        other = few.withColumnRenamed("node", "b")
+        found.append(few.withColumnRenamed("node", "a").join(other, "bucket").where("a < b").select("a", "b"))
+        some = members.where((F.col("n") > PAIR_ALL) & (F.col("n") <= tree_nodes)).select("bucket", "node")
+        found.append(some.join(sigs, "node").groupBy("bucket").applyInPandas(_tree, "a binary, b binary"))
+        hot = members.where(F.col("n") > tree_nodes)
+        if hot.isEmpty():
+            break
+        leaders = hot.where((rank == F.col("low")) | (rank == F.col("high")))
+        leaders = leaders.select("bucket", F.col("node").alias("leader"))
+        # A hot bucket has two leaders, so its rows can be split between tasks.
+        star = hot.select("bucket", "node").join(leaders, "bucket").where("node != leader")
+        found.append(star.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")))
+        if size == SAMPLES:
+            break
+        size *= 2
+        banded = hot.select("node", "band").join(sigs, "node")
+    pairs = cut_lineage(functools.reduce(DataFrame.unionByName, found).distinct())
     left = sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
     right = sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
     equal = F.aggregate(
@@ -254,7 +315,7 @@ def node_of(text: Column) -> Column:
 
 
 def near_classes(rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``node, class_id, class_size, n_links, keep`` of the nodes in classes of several rows.
+    """``node, class_id, class_size, keep`` of the nodes in classes of several rows.
 
     ``rows`` are ``node, text, doc_id`` and the locator.
     """
@@ -264,31 +325,24 @@ def near_classes(rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
     found = links(pairs, rows, idf, least)
     roots = components(found)
     roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     # Copies meet in the partial aggregate; from here on there is one row per text.
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", FILE, ROW)
     nodes = rows.groupBy("node").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
-    nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    nodes = cut_lineage(nodes.join(degree, "node", "left"))
+    nodes = cut_lineage(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     classes = nodes.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("class_size"))
     return nodes.drop("n", "first").join(classes.where("class_size > 1"), "root").select(
-        "node",
-        F.col("keep.doc_id").alias("class_id"),
-        "class_size",
-        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
-        "keep",
+        "node", F.col("keep.doc_id").alias("class_id"), "class_size", "keep"
     )
 
 
 @shielded("doc_id", "text")
 def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``docs`` with ``class_id, class_size, n_links, kept``.
+    """``docs`` with ``class_id, class_size, kept``.
 
     Texts linked directly or through others, and all copies of them, are one class, named by
     its smallest ``doc_id`` (null only if it has no other); that row stays, and of several
-    with this id the one at the smallest locator. ``n_links`` counts the different texts
-    found similar to the row's. A text without a word (a null one too) has no links and is in
-    a class with its copies. An empty table stays empty; columns of ``docs`` named like the
+    with this id the one at the smallest locator. A text without a word (a null one too) is in
+    a class with its copies only. An empty table stays empty; columns of ``docs`` named like the
     added ones are replaced.
     """
     rows = located(docs)
@@ -303,7 +357,6 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         *docs.columns,
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1).cast("bigint")).alias("class_size"),
-        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
         F.coalesce(stays, F.lit(True)).alias("kept"),
     )
 

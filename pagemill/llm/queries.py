@@ -49,7 +49,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_dedup(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "class_id", "class_size", "n_links", "kept")
+    return found.select("doc_id", "class_id", "class_size", "kept")
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,8 +46,7 @@ def documents(spark):
 @pytest.fixture
 def no_broadcasts(spark, monkeypatch):
     """As if every key table were too big for a broadcast."""
-    for module in (lineage, substring_dedup):
-        monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lineage, "BROADCAST_ROWS", 0)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
@@ -219,7 +218,7 @@ def test_state_takes_in_what_came_later(spark, tmp_path):
 
 def test_classes_of_hard_rows(hard, empty):
     found = near_dedup.near_dedup(hard)
-    rows = result(found, "doc_id", "text", "class_id", "class_size", "n_links", "kept")
+    rows = result(found, "doc_id", "text", "class_id", "class_size", "kept")
     texts = sorted({r[1] or "" for r in ROWS})
     pairs = brute.near_pairs(texts, 0.8)
     root = dict(zip(texts, brute.groups_of(len(texts), pairs)))
@@ -227,12 +226,10 @@ def test_classes_of_hard_rows(hard, empty):
     members = defaultdict(list)
     for r in ROWS:
         members[root[r[1] or ""]].append(r[0])
-    links = Counter(texts[i] for p in pairs for i in p)
     assert len(rows) == len(ROWS)
-    for doc_id, text, class_id, size, n_links, _ in rows:
+    for doc_id, text, class_id, size, _ in rows:
         ids = members[root[text or ""]]
         assert (class_id, size) == (min((i for i in ids if i is not None), default=None), len(ids))
-        assert n_links == links[text or ""]
     stay = Counter(root[r[1] or ""] for r in rows if r[-1])
     assert set(stay.values()) == {1} and stay.keys() == members.keys()
     assert result(near_dedup.near_dedup(empty), "class_id") == []
@@ -249,13 +246,45 @@ def test_classes_of_documents(spark, documents, no_broadcasts):
     assert sum(r.kept for r in found.values()) == len(set(want)) < len(texts)
 
 
-def test_large_bucket_is_one_class(spark):
-    """A group far above the size in which all are paired, each near the next."""
+def star(copies, edits):
+    """A text and copies with words changed of their own, so that copies are only near the text."""
     base = brute.prose(9, 400)
-    texts = [" ".join(base[:i] + [f"new{i}"] + base[i + 1 :]) for i in range(300)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    texts = [base]
+    for i in range(copies):
+        copy = list(base)
+        for k in range(edits):
+            copy[(37 * i + 23 * k) % 400] = f"new{i}-{k}"
+        texts.append(copy)
+    return [" ".join(t) for t in texts]
+
+
+@pytest.mark.parametrize("tree_nodes", [near_dedup.TREE_NODES, 20])
+def test_large_group_is_one_class(spark, monkeypatch, tree_nodes):
+    """Groups far above the size in which all are paired. In one, only the text itself is near
+    the others: any two of those are too far apart."""
+    monkeypatch.setattr(near_dedup.candidate_pairs, "__defaults__", (tree_nodes,))
+    edits = 6 if tree_nodes > 20 else 1
+    texts = star(300, edits)
+    pairs = brute.near_pairs(texts[:4], 0.8)
+    assert {(0, 1), (0, 2), (0, 3)} <= pairs.keys()
+    assert ((1, 2) in pairs) == (edits == 1)
+    docs = spark.createDataFrame([(500 - i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
     found = near_dedup.near_dedup(docs).collect()
-    assert {(r.class_id, r.class_size) for r in found} == {(0, 300)}
+    assert {(r.class_id, r.class_size) for r in found} == {(200, 301)}
+
+
+def test_tree_connects_what_all_pairs_would():
+    rng = np.random.default_rng(8)
+    for n in (2, 9, 60):
+        sigs = rng.integers(0, 3, (6, 64))[rng.integers(0, 6, n)]
+        noise = rng.random((n, 64)) < rng.random((n, 1)) * 0.6
+        sigs = np.where(noise, rng.integers(3, 1000, (n, 64)), sigs).astype(np.int32)
+        for least in (0.3, 0.6, 0.9):
+            equal = (sigs[:, None] == sigs[None]).sum(axis=2)
+            every = [(a, b) for a in range(n) for b in range(a + 1, n) if equal[a, b] >= int(least * 64)]
+            some = near_dedup.tree_pairs(sigs, least, nearest=1).tolist()
+            assert {tuple(p) for p in some} <= set(every)
+            assert brute.groups_of(n, some) == brute.groups_of(n, every)
 
 
 def test_samples_agree_as_often_as_sets_overlap():
