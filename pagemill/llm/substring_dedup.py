@@ -8,6 +8,8 @@ suffixes; each group of suffixes is small enough for memory, and becomes a tree
 depth ``WINDOW`` by doubling the depth at which suffixes are told apart. Where one prefix
 has too many suffixes it is lengthened to the whole window, which is a node of that depth by
 itself; only its smallest document has to be aggregated then.
+
+The texts are shuffled twice, to the shared anchors of each and to the ranges cut out of it.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pagemill.lineage import BROADCAST_ROWS, cut_lineage
+from pagemill.lineage import cut_lineage
 from pagemill.llm.rows import FILE, ROW, add_columns, located, shielded
 from pagemill.llm.words import SPACED, Words, ngrams, word_blocks
 
@@ -28,8 +30,6 @@ WINDOW, GRAM = 50, 16
 MAX_GROUP = 20_000
 # Passages whose trees are built in one go: groups are put together up to this many.
 TREE_ROWS = 20_000
-# Anchors of all documents up to which they are broadcast to the scan, 24 bytes each.
-BROADCAST_ANCHORS = 2_000_000
 # Bytes that stand for a word in a passage.
 CODE = 5
 
@@ -95,19 +95,11 @@ def shared_anchors(found: DataFrame, max_group: int) -> DataFrame:
         F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("n")
     )
     keys = cut_lineage(keys.where("least < most").select("key", (F.col("n") > max_group).alias("hot")))
-    keys = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
     # At most one anchor per word of the document.
     shared = F.collect_list(F.struct("low", "high", "key", "hot"))
     return cut_lineage(found.join(keys, "key").groupBy(FILE, ROW).agg(shared.alias("anchors")))
 
 
-def join_rows(rows: DataFrame, table: DataFrame, entries: str, how: str) -> DataFrame:
-    """``rows`` joined by locator to a saved table whose column ``entries`` is an array."""
-    n, total = table.agg(F.count(F.lit(1)), F.sum(F.size(entries))).first()
-    small = n <= BROADCAST_ROWS and (total or 0) <= BROADCAST_ANCHORS
-    return rows.join(F.broadcast(table) if small else table, [FILE, ROW], how)
-
-
 def passages(rows: DataFrame, window: int) -> DataFrame:
     """What the trees are made of: ``key, doc_id, low, codes`` and locator, the words from
     ``low`` to the end of the last window of an anchor. Of a hot anchor, each window by
@@ -229,7 +221,7 @@ def repeated_ranges(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, max
     """Per document, the word ranges ``cuts`` (``start, end``) that repeat one of a smaller id."""
     found = cut_lineage(anchor_table(rows, window, gram))
     shared = shared_anchors(found, max_group)
-    parts = passages(join_rows(rows, shared, "anchors", "inner"), window)
+    parts = passages(rows.join(shared, [FILE, ROW]), window)
     parts = cut_lineage(parts)
     trees = tree_ranges(parts.where("codes IS NOT NULL"), window)
     hot = parts.where("codes IS NULL").drop("codes")
@@ -256,7 +248,7 @@ def substring_dedup(
     """
     rows = located(docs)
     cuts = repeated_ranges(rows, window, gram, max_group)
-    rows = join_rows(rows, cuts.withColumnRenamed("cuts", "_cuts"), "_cuts", "left")
+    rows = rows.join(cuts.withColumnRenamed("cuts", "_cuts"), [FILE, ROW], "left")
 
     def apply(batch: pa.RecordBatch) -> list[pa.Array]:
         n_words, n_removed, kept = [], [], []
