@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -68,6 +68,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return save_table(df)[0]
 
 
+def settle(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns, as a saved table; the tables that it saved on the way are deleted."""
+    path = scratch_path(spark, "table")
+    with scratch(spark):
+        df = build()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int]:
     """Mark a key table for broadcast if it has at most ``max_rows`` rows; also its row count.
 
