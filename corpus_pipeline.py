@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.lineage import cut_lineage
+from pagemill.lineage import settle
 from pagemill.llm import decontaminate, exact_dedup, langid, mixing, near_dedup
 
 
@@ -50,5 +50,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each result written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = cut_lineage(stage(spark, docs, sf_dir))
+        docs = settle(spark, lambda: stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pagemill.lineage import broadcast_if_small, cut_lineage, scratch_path
+from pagemill.lineage import broadcast_if_small, cut_lineage, scratch_path, settle
 from pagemill.llm.rows import FILE, ROW, keeping_columns, located, shielded, text_of
 
 # How the stream keeps its state: on disk, and opened only while a task works on it.
@@ -62,11 +62,14 @@ def duplicated(rows: DataFrame, digest: Callable[[Column], Column]) -> DataFrame
     """``digest, text, keep, n`` of the texts held by several rows; ``text`` is null where the
     digest alone tells them apart from all others."""
     spark = rows.sparkSession
-    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "state")
-    place = rows.select(digest(text_of(rows)).alias("digest"), "doc_id", FILE, ROW)
-    place.write.parquet(landing)
-    state = keyed_state(spark, landing, place.schema, checkpoint)
-    several = cut_lineage(state.where("n > 1"))
+
+    def streamed() -> DataFrame:
+        landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "state")
+        place = rows.select(digest(text_of(rows)).alias("digest"), "doc_id", FILE, ROW)
+        place.write.parquet(landing)
+        return keyed_state(spark, landing, place.schema, checkpoint).where("n > 1")
+
+    several = settle(spark, streamed)
     # Full bytes of the hits: copies meet in the partial aggregate, whose key is the text.
     key, _ = broadcast_if_small(several.select("digest"))
     hits = rows.select(digest(text_of(rows)).alias("digest"), text_of(rows).alias("text"), "doc_id", FILE, ROW).join(

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pagemill.lineage import cut_lineage
+from pagemill.lineage import cut_lineage, scratch
 from pagemill.llm.rows import add_columns, keeping_columns, shielded
 
 # Letters of any script.
@@ -193,12 +193,13 @@ class Model:
 
 def train(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
     """A model of at most ``max_words + 4 * max_grams`` entries from all rows of ``text, lang``."""
-    words = cut_lineage(count_words(docs))
-    counts = words.unionByName(cut_lineage(count_grams(words)))
-    totals = counts.groupBy("lang", "n").agg(F.sum("count").alias("count"), F.count(F.lit(1)).alias("kinds"))
-    entries = most_frequent(counts, max_words, max_grams).select("n", "gram", "lang", "count")
-    # Sorted, since the order of a shuffle is not repeatable and sums of floats depend on it.
-    return Model(sorted(map(tuple, entries.collect())), totals.orderBy("lang", "n").collect())
+    with scratch(docs.sparkSession):
+        words = cut_lineage(count_words(docs))
+        counts = words.unionByName(cut_lineage(count_grams(words)))
+        totals = counts.groupBy("lang", "n").agg(F.sum("count").alias("count"), F.count(F.lit(1)).alias("kinds"))
+        entries = most_frequent(counts, max_words, max_grams).select("n", "gram", "lang", "count")
+        # Sorted, since the order of a shuffle is not repeatable and sums of floats depend on it.
+        return Model(sorted(map(tuple, entries.collect())), totals.orderBy("lang", "n").collect())
 
 
 @shielded("text", "lang")

@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pagemill.lineage import broadcast_if_small, cut_lineage
+from pagemill.lineage import broadcast_if_small, cut_lineage, settle
 from pagemill.llm.rows import FILE, ROW, keeping_columns, located, shielded, text_of
 from pagemill.llm.words import ALNUM, Words, ngrams, word_blocks
 
@@ -349,7 +349,7 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     text = text_of(rows)
     rows = rows.withColumn("node", node_of(text))
     judged = rows.select("node", text.alias("text"), "doc_id", FILE, ROW)
-    table, _ = broadcast_if_small(cut_lineage(near_classes(judged, least)))
+    table, _ = broadcast_if_small(settle(docs.sparkSession, lambda: near_classes(judged, least)))
     out = rows.join(table, "node", "left")
     stays = (F.col("keep")[FILE] == F.col(FILE)) & (F.col("keep")[ROW] == F.col(ROW))
     alone = F.col("class_size").isNull()

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pagemill.lineage import broadcast_if_small, cut_lineage
+from pagemill.lineage import broadcast_if_small, cut_lineage, scratch
 from pagemill.llm.rows import FILE, ROW, add_columns, located, shielded
 from pagemill.llm.words import SPACED, utf8, word_blocks
 
@@ -246,7 +246,9 @@ def classify(docs: DataFrame, labels: DataFrame, drop: tuple = ()) -> DataFrame:
     """
     names = ["text_score", "meta_score", "quality_score"]
     rows = located(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(train(rows, labels))
+    with scratch(docs.sparkSession):
+        model = train(rows, labels)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         return [pa.array(s, pa.float64()) for s in shared.value.scores(batch_features(batch))]

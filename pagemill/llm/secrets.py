@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pagemill.lineage import broadcast_if_small, cut_lineage
+from pagemill.lineage import broadcast_if_small, cut_lineage, settle
 from pagemill.llm.rows import FILE, ROW, located, shielded, text_of
 
 
@@ -158,10 +158,9 @@ def secret_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """
     rows = located(docs)
     # All matches of one text: bounded by its length.
-    per_row = matches(rows, rules).groupBy(FILE, ROW).agg(
-        F.sort_array(F.collect_list(F.struct("start", "nth", "kind", "end"))).alias("secrets")
-    )
-    table, _ = broadcast_if_small(cut_lineage(per_row))
+    spans = F.sort_array(F.collect_list(F.struct("start", "nth", "kind", "end"))).alias("secrets")
+    per_row = settle(docs.sparkSession, lambda: matches(rows, rules).groupBy(FILE, ROW).agg(spans))
+    table, _ = broadcast_if_small(per_row)
     out = rows.join(table, [FILE, ROW], "left").drop(FILE, ROW)
     none = F.array().cast("array<struct<start:bigint,nth:int,kind:string,end:bigint>>")
     return out.withColumn("secrets", F.coalesce("secrets", none))

@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pagemill.lineage import cut_lineage
+from pagemill.lineage import cut_lineage, settle
 from pagemill.llm.rows import FILE, ROW, add_columns, located, shielded
 from pagemill.llm.words import SPACED, Words, ngrams, word_blocks
 
@@ -229,8 +229,7 @@ def repeated_ranges(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, max
     later = hot.join(first, "key").where("doc_id > least")
     windows = later.select(FILE, ROW, F.col("low").alias("start"), (F.col("low") + window).alias("end"))
     # At most one range per word of the document.
-    cuts = trees.unionByName(windows).groupBy(FILE, ROW).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
-    return cut_lineage(cuts)
+    return trees.unionByName(windows).groupBy(FILE, ROW).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
 
 
 @shielded("doc_id", "text")
@@ -247,7 +246,7 @@ def substring_dedup(
     the added ones are replaced; those in ``drop`` are left out.
     """
     rows = located(docs)
-    cuts = repeated_ranges(rows, window, gram, max_group)
+    cuts = settle(docs.sparkSession, lambda: repeated_ranges(rows, window, gram, max_group))
     rows = rows.join(cuts.withColumnRenamed("cuts", "_cuts"), [FILE, ROW], "left")
 
     def apply(batch: pa.RecordBatch) -> list[pa.Array]:
