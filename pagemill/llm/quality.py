@@ -129,8 +129,10 @@ def newton(x: np.ndarray, y: np.ndarray, penalty: np.ndarray, center: np.ndarray
             move /= 2
         if np.abs(move).max() <= 1e-9:
             break
-        w = w - move
+        w, before = w - move, now
         now = loss(w)
+        if before - now <= 1e-6 * before:
+            break
     return w
 
 
