@@ -33,7 +33,8 @@ TREE_ROWS = 20_000
 # Bytes that stand for a word in a passage.
 CODE = 5
 
-_POSITION = np.uint64((1 << 26) - 1)
+# Lower bits that hold a place: enough for the words of any text that a row can hold.
+_POSITION = np.uint64((1 << 30) - 1)
 
 
 def anchors(words: Words, hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, ...]:
