@@ -35,6 +35,9 @@ IDF_WEIGHT = 0.25
 # Bucket members up to which all are paired, and up to which a task finds the pairs that
 # connect them; further pairs per member that it takes.
 PAIR_ALL, TREE_NODES, NEAREST = 8, 4_096, 3
+# Members and characters of text of a block; what is left of a large bucket is compared block
+# against block.
+BLOCK_NODES, BLOCK_CHARS = 1_024, 1 << 23
 # Share of equal samples below which a pair is not compared: four standard deviations under
 # the threshold.
 LEAST_ESTIMATE = 0.6
@@ -203,18 +206,21 @@ def _tree(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": nodes[pairs[:, 0]], "b": nodes[pairs[:, 1]]})
 
 
-def candidate_pairs(sigs: DataFrame, tree_nodes: int = TREE_NODES) -> DataFrame:
-    """Distinct ``a, b`` of nodes that meet in a bucket and agree in enough samples.
+def candidate_pairs(sigs: DataFrame, tree_nodes: int = TREE_NODES) -> tuple[DataFrame, DataFrame]:
+    """Distinct ``a, b`` of nodes that meet in a bucket and agree in enough samples, and the
+    ``bucket, node`` of the buckets in which not all such pairs are among them.
 
     All pairs of a small bucket, the pairs of :func:`tree_pairs` of a larger one. A bucket of
     more than ``tree_nodes`` members is split by twice as many samples, again and again, up
     to buckets of equal signatures; in each that is too large, every member is also paired
-    with two members drawn by hash, which differ from band to band.
+    with two members drawn by hash, which differ from band to band. The pairs that a large
+    bucket has besides these are left to :func:`connected`.
     """
     step = SAMPLES // BANDS
     around = F.concat("sig", "sig")  # a band's samples go on from its own to all others
     banded = sigs.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
     found: list[DataFrame] = []
+    open_buckets = None
     size = step
     while True:
         keyed = banded.select("node", "band", F.xxhash64("band", F.slice(around, F.col("band") * step + 1, size)).alias("bucket"))
@@ -230,6 +236,8 @@ def candidate_pairs(sigs: DataFrame, tree_nodes: int = TREE_NODES) -> DataFrame:
         some = members.where((F.col("n") > PAIR_ALL) & (F.col("n") <= tree_nodes)).select("bucket", "node")
         found.append(some.join(sigs, "node").groupBy("bucket").applyInPandas(_tree, "a binary, b binary"))
         hot = members.where(F.col("n") > tree_nodes)
+        if open_buckets is None:  # the members of later buckets share one of these
+            open_buckets = hot.select("bucket", "node")
         if hot.isEmpty():
             break
         leaders = hot.where((rank == F.col("low")) | (rank == F.col("high")))
@@ -248,7 +256,7 @@ def candidate_pairs(sigs: DataFrame, tree_nodes: int = TREE_NODES) -> DataFrame:
         F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, x: total + x
     )
     likely = pairs.join(left, "a").join(right, "b").where(equal >= int(LEAST_ESTIMATE * SAMPLES))
-    return cut_lineage(likely.select("a", "b"))
+    return cut_lineage(likely.select("a", "b")), open_buckets
 
 
 def similarity(a: tuple, b: tuple) -> float:
@@ -259,6 +267,15 @@ def similarity(a: tuple, b: tuple) -> float:
     return float(least / (total_a + total_b - both + np.maximum(a[1][i], b[1][j]).sum(dtype=np.float64)))
 
 
+def weighted_sets(column: pa.Array, idf: np.ndarray) -> Iterator[tuple]:
+    """Sorted ``(hashes, weights)`` of the shingles of each text."""
+    for _, _, words in word_blocks(column, ALNUM, lower=True):
+        hashes, times, first = shingles(words)
+        weight = weights(hashes, times, idf)
+        for i, j in zip(first[:-1].tolist(), first[1:].tolist()):
+            yield hashes[i:j], weight[i:j]
+
+
 def links(pairs: DataFrame, rows: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
     """The ``a, b`` of ``pairs`` whose texts have an exact similarity of at least ``least``."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -266,18 +283,10 @@ def links(pairs: DataFrame, rows: DataFrame, idf: np.ndarray, least: float) -> D
     texts = cut_lineage(rows.select("node", "text").join(wanted, "node").dropDuplicates(["node"]))
     shared = rows.sparkSession.sparkContext.broadcast(idf)
 
-    def sets(column: pa.Array) -> Iterator[tuple]:
-        for _, _, words in word_blocks(column, ALNUM, lower=True):
-            hashes, times, first = shingles(words)
-            weight = weights(hashes, times, shared.value)
-            for i, j in zip(first[:-1].tolist(), first[1:].tolist()):
-                yield hashes[i:j], weight[i:j]
-
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            close = [
-                similarity(x, y) >= least for x, y in zip(sets(batch.column("text_a")), sets(batch.column("text_b")))
-            ]
+            sets = (weighted_sets(batch.column(c), shared.value) for c in ("text_a", "text_b"))
+            close = [similarity(x, y) >= least for x, y in zip(*sets)]
             yield batch.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -310,6 +319,125 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
 
 
+def joining_pairs(sigs: np.ndarray, sets: list[tuple], roots: np.ndarray, left: np.ndarray, right: np.ndarray, least: float) -> list:
+    """Index pairs of an exact similarity of at least ``least`` that join what has different roots.
+
+    Each of ``left`` is compared with all of ``right`` that it is not connected with yet, by
+    roots or by pairs found before, unless too few samples are equal; so there are
+    fewer pairs than roots.
+    """
+    sizes = np.array([len(hashes) for hashes, _ in sets])
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    _, names = np.unique(np.concatenate([hashes for hashes, _ in sets]), return_inverse=True)
+    weight = np.concatenate([w for _, w in sets]).astype(np.float64)
+    total = np.add.reduceat(weight, first[:-1])
+    own = np.zeros(names.max() + 1)
+    _, part = np.unique(roots, return_inverse=True)
+    pairs = []
+    for x in left.tolist():
+        other = right[part[right] != part[x]]
+        other = other[(sigs[other] == sigs[x]).sum(axis=1) >= int(LEAST_ESTIMATE * sigs.shape[1])]
+        if not len(other):
+            continue
+        of_x = slice(first[x], first[x + 1])
+        own[names[of_x]] = weight[of_x]
+        begin = np.cumsum(sizes[other]) - sizes[other]
+        at = np.arange(sizes[other].sum()) + np.repeat(first[other] - begin, sizes[other])
+        both = np.add.reduceat(np.minimum(weight[at], own[names[at]]), begin)
+        own[names[of_x]] = 0
+        for y in other[both / (total[x] + total[other] - both) >= least].tolist():
+            if part[y] != part[x]:
+                pairs.append((x, y))
+                part[part == part[y]] = part[x]
+    return pairs
+
+
+def central_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``a, b`` of the most linked member of each bucket of ``bucket, node, root`` with all
+    members that are not connected with it: the text of which they may be copies."""
+    degrees = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    most = F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "node", "root"))
+    centres = members.join(degrees, "node", "left").groupBy("bucket").agg(most.alias("centre"))
+    centres, _ = broadcast_if_small(cut_lineage(centres))
+    apart = members.join(centres, "bucket").where(F.col("centre.root") != F.col("root"))
+    return cut_lineage(
+        apart.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")).distinct()
+    )
+
+
+def _blocks(chosen: Column) -> Column:
+    chars = F.sum(F.when(chosen, F.col("chars")))
+    return F.greatest(F.ceil(F.count_if(chosen) / BLOCK_NODES), F.ceil(chars / BLOCK_CHARS)).cast("int")
+
+
+def unconnected(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``bucket, node, root, major`` of the buckets whose members do not all have one root;
+    ``major`` members have the root that most of the bucket's have."""
+    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = cut_lineage(rooted)
+    sizes = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    kinds = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds"), F.max(F.struct("n", "root")).alias("most"))
+    kinds, _ = broadcast_if_small(cut_lineage(kinds.where("kinds > 1").select("bucket", "most")))
+    return cut_lineage(
+        rooted.join(kinds, "bucket").select("bucket", "node", "root", (F.col("root") == F.col("most.root")).alias("major"))
+    )
+
+
+def connected(
+    found: DataFrame, buckets: DataFrame, sigs: DataFrame, rows: DataFrame, idf: np.ndarray, least: float
+) -> DataFrame:
+    """``node, root`` as :func:`components` has them of the links ``found`` and of all that the
+    pairs of each of the ``bucket, node`` would add.
+
+    A bucket whose members are all connected needs no more. In others the most linked member
+    is paired with the rest first. What is still apart is compared exactly, block of members
+    against block; only members of the largest connected part are not compared with each other.
+    """
+    roots = components(found)
+    apart = unconnected(buckets, roots)
+    if apart.isEmpty():
+        return roots
+    stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    central = links(central_pairs(apart, found), rows, idf, least)
+    if not central.isEmpty():
+        roots = components(stars.unionByName(central))
+        apart = unconnected(apart.select("bucket", "node"), roots)
+        if apart.isEmpty():
+            return roots
+        stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    wanted, _ = broadcast_if_small(cut_lineage(apart.select("node").distinct()))
+    texts = cut_lineage(rows.select("node", "text").join(wanted, "node").dropDuplicates(["node"]))
+    lengths = texts.select("node", F.length("text").alias("chars"))
+    sized = apart.join(lengths, "node")
+    # Blocks of minor members come first, then those of the major ones.
+    counts = sized.groupBy("bucket").agg(_blocks(~F.col("major")).alias("minors"), _blocks(F.col("major")).alias("majors"))
+    counts, _ = broadcast_if_small(cut_lineage(counts))
+    spread = sized.join(counts, "bucket").withColumn("hash", F.xxhash64("node"))
+    block = F.when(F.col("major"), F.col("minors") + F.pmod("hash", "majors")).otherwise(F.pmod("hash", "minors"))
+    # A major block meets all minor ones, a minor one all blocks.
+    last = F.when(F.col("major"), F.col("minors")).otherwise(F.col("minors") + F.col("majors")) - 1
+    spread = spread.withColumn("block", block.cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), last)))
+    tasks = spread.select(
+        "bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "root"
+    )
+    shared = rows.sparkSession.sparkContext.broadcast(idf)
+
+    def join(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("node")
+        nodes = part["node"].to_numpy()
+        sets = list(weighted_sets(pa.array(part["text"], pa.string()), shared.value))
+        _, roots = np.unique(part["root"].to_numpy(), return_inverse=True)
+        left = np.flatnonzero((part["block"] == part["i"]).to_numpy())
+        right = np.flatnonzero((part["block"] == part["j"]).to_numpy())
+        pairs = joining_pairs(np.stack(part["sig"].to_numpy()), sets, roots, left, right, least)
+        ends = [sorted((nodes[x], nodes[y])) for x, y in pairs]
+        return pd.DataFrame(ends, columns=["a", "b"], dtype=object)
+
+    exact = tasks.join(sigs, "node").join(texts, "node").groupBy("bucket", "i", "j").applyInPandas(join, "a binary, b binary")
+    exact = cut_lineage(exact)
+    return roots if exact.isEmpty() else components(stars.unionByName(exact))
+
+
 def node_of(text: Column) -> Column:
     return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16)
 
@@ -321,9 +449,10 @@ def near_classes(rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """
     n, frequencies = document_frequencies(rows.select("text"))
     idf = damped_idf(n, frequencies)
-    pairs = candidate_pairs(cut_lineage(signatures(rows.select("node", "text"), idf)))
+    sigs = cut_lineage(signatures(rows.select("node", "text"), idf))
+    pairs, buckets = candidate_pairs(sigs)
     found = links(pairs, rows, idf, least)
-    roots = components(found)
+    roots = connected(found, buckets, sigs, rows, idf, least)
     roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     # Copies meet in the partial aggregate; from here on there is one row per text.
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", FILE, ROW)

@@ -273,6 +273,15 @@ def test_large_group_is_one_class(spark, monkeypatch, tree_nodes):
     assert {(r.class_id, r.class_size) for r in found} == {(200, 301)}
 
 
+def test_star_in_hot_buckets_is_one_class(spark, monkeypatch):
+    """Copies that are near the text only, in buckets too large for a tree."""
+    monkeypatch.setattr(near_dedup.candidate_pairs, "__defaults__", (20,))
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", 64)
+    docs = spark.createDataFrame([(500 - i, t) for i, t in enumerate(star(300, 6))], "doc_id bigint, text string")
+    found = near_dedup.near_dedup(docs).collect()
+    assert {(r.class_id, r.class_size) for r in found} == {(200, 301)}
+
+
 def test_tree_connects_what_all_pairs_would():
     rng = np.random.default_rng(8)
     for n in (2, 9, 60):
