@@ -5,8 +5,8 @@ gamma and uniform variates of the sampling scheme from tables indexed by the shi
 and takes the shingle of the smallest value, so two texts agree in a sample with the
 probability of their weighted Jaccard similarity. Samples are banded into buckets, bucket
 members are paired, and a pair is a link if its exact weighted Jaccard similarity is high
-enough. Connected texts are one class, so a large bucket needs no more pairs than connect all
-that is similar in it.
+enough. Connected texts are one class, so of a large bucket the likely pairs are verified first,
+and then only members that these links leave apart.
 
 Whole texts are compared once: identical texts share a node.
 """
@@ -167,13 +167,14 @@ def signatures(texts: DataFrame, idf: np.ndarray) -> DataFrame:
 
 
 def tree_pairs(sigs: np.ndarray, least: float, nearest: int = NEAREST) -> np.ndarray:
-    """Index pairs that connect whatever all similar pairs would connect.
+    """Index pairs that connect whatever all pairs of an estimate of ``least`` would connect.
 
     They are a maximum spanning tree by the share of equal samples: at any threshold its
-    edges connect the same members as all pairs above the threshold do. Since these shares
-    are estimates, each member is also paired with its ``nearest`` others, and with the
-    ``nearest`` members that are closest to all, such as the text that the others are copies
-    of. Pairs below ``least`` are left out. One row of similarities is held at a time.
+    edges connect the same members as all pairs above the threshold do. These shares are
+    estimates, and exact similarities may connect other members. So each member is also paired
+    with its ``nearest`` others, and with the ``nearest`` members that are closest to all, such
+    as the text that the others are copies of; :func:`connected` finds what is still missing.
+    One row of similarities is held at a time.
     """
     n = len(sigs)
     floor = int(least * sigs.shape[1])
@@ -237,7 +238,7 @@ def candidate_pairs(sigs: DataFrame, tree_nodes: int = TREE_NODES) -> tuple[Data
         found.append(some.join(sigs, "node").groupBy("bucket").applyInPandas(_tree, "a binary, b binary"))
         hot = members.where(F.col("n") > tree_nodes)
         if open_buckets is None:  # the members of later buckets share one of these
-            open_buckets = hot.select("bucket", "node")
+            open_buckets = members.where(F.col("n") > PAIR_ALL).select("bucket", "node")
         if hot.isEmpty():
             break
         leaders = hot.where((rank == F.col("low")) | (rank == F.col("high")))

@@ -282,6 +282,37 @@ def test_star_in_hot_buckets_is_one_class(spark, monkeypatch):
     assert {(r.class_id, r.class_size) for r in found} == {(200, 301)}
 
 
+def test_true_pairs_among_almost_near_forms(spark):
+    """Forms that are all just too far apart, some of which have a partner that is near enough."""
+    base = brute.prose(9, 304)
+    fields = [[f"field{i}x{k}" for k in range(30)] for i in range(300)]
+    for i in range(20):
+        fields[150 + i][:8] = fields[i][:8]
+    texts = [" ".join(base[:150] + f + base[150:]) for f in fields]
+    some = brute.near_pairs([texts[i] for i in (0, 1, 150, 151, 290)], 0.75)
+    assert len(some) == 10 and {p for p in some if some[p] >= 0.8} == {(0, 2), (1, 3)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: (r.class_id, r.class_size) for r in near_dedup.near_dedup(docs).collect()}
+    assert found == {i: (i, 2) if i < 20 else (i - 150, 2) if 150 <= i < 170 else (i, 1) for i in range(300)}
+
+
+def test_joining_pairs_connect_what_all_pairs_would():
+    rng = np.random.default_rng(4)
+    for _ in range(5):
+        sets = []
+        for _ in range(40):
+            hashes = np.sort(rng.permutation(30)[: rng.integers(15, 30)]).astype(np.uint64)
+            sets.append((hashes, (1 + rng.random(30).astype(np.float32))[hashes.astype(int)]))
+        sigs, roots = np.zeros((40, 64), dtype=np.int32), np.arange(40) // 2
+        every = [(a, b) for a in range(40) for b in range(a) if near_dedup.similarity(sets[a], sets[b]) >= 0.7]
+        known = [(2 * i, 2 * i + 1) for i in range(20)]
+        left, right = np.arange(0, 25), np.arange(25, 40)
+        within = [near_dedup.joining_pairs(sigs, sets, roots, x, y, 0.7) for x, y in ((left, left), (left, right), (right, right))]
+        some = sum(within, known)
+        assert all(near_dedup.similarity(sets[a], sets[b]) >= 0.7 for a, b in sum(within, []))
+        assert brute.groups_of(40, some) == brute.groups_of(40, every + known)
+
+
 def test_tree_connects_what_all_pairs_would():
     rng = np.random.default_rng(8)
     for n in (2, 9, 60):
