@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pagemill.lineage import cut_lineage, scratch
 from pagemill.sources.history import PART_SEPARATOR
 
 # Links written on one line unless a job says otherwise; a page with more gets several lines.
 LINE_LINKS = 10_000
+# Records of a traffic file, about; a day with more gets several files.
+FILE_RECORDS = 5_000_000
 
 
 def key_value_lines(df: DataFrame, key: str | Column, value: str | Column) -> DataFrame:
@@ -105,17 +108,24 @@ def write_lines(lines: DataFrame, path: str, mode: str = "error", files: int | N
     (lines if files is None else lines.repartition(files)).write.mode(mode).text(path)
 
 
-def write_pagecounts(records: DataFrame, path: str) -> None:
+def write_pagecounts(records: DataFrame, path: str, file_records: int = FILE_RECORDS) -> None:
     """Traffic records ``project, title, views, bytes, day`` as gzip files named by day.
 
-    Days are dealt by hash, and a day's records go to as many files as tasks hold some of
-    them; each is named ``pagecounts-YYYYMMDD-<file>.gz``.
+    A day's records are dealt in turn over one share per ``file_records`` of them, and shares
+    by hash over tasks, so a hot day is written and read by several. Each file is named
+    ``pagecounts-YYYYMMDD-<file>.gz``.
     """
     spark = records.sparkSession
     line = F.concat_ws(" ", "project", "title", F.col("views").cast("string"), F.col("bytes").cast("string"))
     staged = f"{path.rstrip('/')}-by-day"
-    by_day = records.select(line.alias("value"), F.date_format("day", "yyyyMMdd").alias("day")).repartition("day")
-    by_day.write.partitionBy("day").option("compression", "gzip").text(staged)
+    with scratch(spark):
+        # Saved, so that a task that is run again deals its rows as before.
+        lines = cut_lineage(records.select(line.alias("value"), F.date_format("day", "yyyyMMdd").alias("day")))
+        shares = lines.groupBy("day").agg(F.ceil(F.count(F.lit(1)) / file_records).alias("shares"))
+        dealt = lines.withColumn("turn", F.monotonically_increasing_id())
+        dealt = dealt.join(F.broadcast(shares.withColumnRenamed("day", "of")), F.col("day").eqNullSafe(F.col("of")))
+        by_day = dealt.repartition("day", F.pmod("turn", "shares")).select("value", "day")
+        by_day.write.partitionBy("day").option("compression", "gzip").text(staged)
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
     fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(fs_path(path))

@@ -261,3 +261,20 @@ def test_history_round_trip(spark):
                 counts = {tuple(r) for r in sources.parse_edit_counts(saved).collect()}
                 assert counts == {(7, 66), (8, 34)}
                 assert all(int(r.value.split("\t")[1].split("!@#")[0]) in (66, 34) for r in saved.collect())
+
+
+def test_hot_day_is_several_files(spark, tmp_path):
+    days = F.when(F.col("id") < 900, F.lit("2010-01-01")).otherwise(F.lit("2010-01-02")).cast("date")
+    records = spark.range(1000).select(
+        F.lit("en").alias("project"), F.lit("Hot").alias("title"), F.lit(1).alias("views"), F.lit(0).alias("bytes"), days.alias("day")
+    )
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a test's shares are tiny
+    try:
+        sinks.write_pagecounts(records, str(tmp_path / "traffic"), file_records=50)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    files = sorted(f.name for f in (tmp_path / "traffic").iterdir() if f.suffix == ".gz")
+    assert sum(f.startswith("pagecounts-20100101-") for f in files) > 2
+    found = sources.read_pagecounts(spark, str(tmp_path / "traffic")).groupBy("day").count().collect()
+    assert {(r.day, r["count"]) for r in found} == {(date(2010, 1, 1), 900), (date(2010, 1, 2), 100)}
