@@ -11,6 +11,7 @@ from pagemill.llm import (
     licenses,
     mixing,
     near_dedup,
+    packing,
     quality,
     secrets,
     substring_dedup,
@@ -95,6 +96,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), keep_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 _ALL = (
     op1_language_id,
     op2_decontaminate,
@@ -106,6 +112,7 @@ _ALL = (
     op8_mixing,
     op9_secret_scan,
     op10_url_filter,
+    op13_best_fit_packing,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
