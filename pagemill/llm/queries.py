@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pagemill.llm import (
+    collocations,
     decontaminate,
     exact_dedup,
     langid,
@@ -96,6 +97,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), keep_ids=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -112,6 +118,7 @@ _ALL = (
     op8_mixing,
     op9_secret_scan,
     op10_url_filter,
+    op12_collocations,
     op13_best_fit_packing,
 )
 QUERIES = {f.__name__: f for f in _ALL}
@@ -221,3 +228,39 @@ select page_id, host, path, {_rules_sql({r: r for _, r in url_filter.RULES})} as
                 case when list_has_any(string_split_regex(host, '[.-]'), {list(url_filter.LISTED_WORDS)})
                      then 'block' else 'allow' end) as verdict
 from parts"""
+
+
+SQL["op12_collocations"] = r"""
+with docs as (
+  select coalesce(lang, 'und') as lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents),
+pieces as (
+  select lang, regexp_extract_all(p, '[^\x20\x09]+') as w
+  from (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as p from docs)),
+places as (select lang, w, size, unnest(range(1, len(w) - size + 2)) as i from pieces, unnest([1, 2, 3, 4]) as s(size)),
+counts as (
+  select lang, size, array_to_string(w[i : i + size - 1], ' ') as phrase, count(*) as f
+  from places group by all),
+totals as (select lang, cast(sum(f) as bigint) as n from counts where size = 1 group by lang),
+candidates as (
+  select lang, size, phrase, string_split(phrase, ' ') as w, f as a from counts where size > 1 and f >= 30),
+cuts as (
+  select lang, size, phrase, w, a, k, array_to_string(w[1 : k], ' ') as first, array_to_string(w[k + 1 : size], ' ') as rest
+  from (select *, unnest(range(1, size)) as k from candidates)),
+scored as (
+  select c.*, x.f as l, y.f as r, cast((cast(2000000 as hugeint) * a) // (cast(x.f as hugeint) + y.f) as bigint) as score
+  from cuts c join counts x on x.lang = c.lang and x.phrase = c.first and x.size = c.k
+              join counts y on y.lang = c.lang and y.phrase = c.rest and y.size = c.size - c.k),
+weakest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+within as (
+  select distinct lang, a, array_to_string(w[i : i + m - 1], ' ') as phrase
+  from (select lang, size, w, a, m, unnest(range(1, size - m + 2)) as i
+        from candidates, unnest([2, 3]) as s(m) where m < size)),
+kept as (
+  select * from weakest c where not exists (
+    select 1 from within x where x.lang = c.lang and x.phrase = c.phrase
+      and cast(100 as hugeint) * x.a >= cast(80 as hugeint) * c.a)),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000"""
