@@ -13,6 +13,7 @@ from pagemill.llm import (
     mixing,
     near_dedup,
     packing,
+    prefix_trie,
     quality,
     secrets,
     substring_dedup,
@@ -97,6 +98,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    found = prefix_trie.prefix_trie(prefix_trie.rebuilt(turns))
+    return found.withColumnRenamed("saved_bytes", "saved_tokens")
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = collocations.collocations(table(spark, sf_dir, "documents"))
     return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
@@ -118,6 +125,7 @@ _ALL = (
     op8_mixing,
     op9_secret_scan,
     op10_url_filter,
+    op11_prefix_trie,
     op12_collocations,
     op13_best_fit_packing,
 )
@@ -264,3 +272,42 @@ kept as (
 ranked as (
   select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
 select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000"""
+
+# CRC-32 of a text of ASCII digits, bit by bit (fixed values: its polynomial and start).
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c, ''), lambda x: ascii(x)::bigint)), "
+    "lambda a, b: list_reduce(list_prepend(xor(a, b), range(0, 8)), "
+    "lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+)
+
+SQL["op11_prefix_trie"] = f"""
+with turns as (
+  select conv_id as c, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+         octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '') as said
+  from conversations where conv_id is not null),
+own as (
+  select c, list({{'said': said, 'size': octet_length(encode(text))}} order by turn nulls first, sha256(said)) as t
+  from turns group by c),
+heads as (select c, cast({_CRC.replace("(c, '')", "(cast(c as varchar), '')")} % 9 as int) as h from own),
+built as (
+  select o.c, list_concat(coalesce(b.t[1 : h], []), o.t[h + 1 :]) as t
+  from own o join heads using (c) left join own b on b.c = o.c - o.c % 5),
+prefixes as (
+  select c, d, len(t) as n, list_transform(t[1 : d], lambda x: x.said) as p, case when d > 0 then t[d].size else 0 end as size
+  from (select c, t, unnest(range(0, len(t) + 1)) as d from built)),
+nodes as (
+  select p, d, min(c) as conv_id, count(*) as n_convs, any_value(size) as size,
+         sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (where n = d), '')) as ends_sha256
+  from prefixes group by p, d),
+placed as (
+  select a.p, a.d, b.p as parent, b.conv_id as parent_conv_id
+  from nodes a left join nodes b on b.d = a.d - 1 and b.p = a.p[1 : a.d - 1]),
+children as (select parent as p, count(*) as n_children from placed where parent is not null group by parent),
+under as (
+  select a.p, sum(case when k.n_children is null then 1 else 0 end) as n_leaves, sum((b.n_convs - 1) * b.size) as saved
+  from (select p, d, unnest(range(0, d + 1)) as up from nodes) x
+  join nodes b on b.p = x.p join nodes a on a.d = x.up and a.p = x.p[1 : x.up]
+  left join children k on k.p = b.p group by a.p)
+select conv_id, cast(d as bigint) as depth, parent_conv_id, n_convs, coalesce(n_children, 0) as n_children,
+       cast(n_leaves as bigint) as n_leaves, cast(saved as bigint) as saved_tokens, ends_sha256
+from nodes join placed using (p, d) join under using (p) left join children using (p)"""
