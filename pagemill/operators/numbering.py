@@ -1,15 +1,15 @@
 """Global 1-based numbering without gathering the rows in one task.
 
 Rows get a slot ``partition << 33 | position``, the slots are saved, and only one count per
-partition (or input block) is summed up in order and sent back.
+partition is summed up in order and sent back. Lines of files are numbered without that copy, see
+:mod:`pagemill.sources.line_places`.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pagemill.lineage import broadcast_if_small, cut_lineage
-
+from pagemill.lineage import cut_lineage
 
 # Position of a row within its partition, in the lower bits of its slot.
 POSITION_BITS = 33
@@ -39,63 +39,3 @@ def number_in_order(ordered: DataFrame, into: str = "line_no") -> DataFrame:
         .withColumn(into, F.col("_offset") + position + 1)
         .drop("_block", "_slot", "_offset")
     )
-
-
-def block_offsets(blocks: DataFrame) -> DataFrame:
-    """``_file, _start, _n`` of input blocks with ``_offset``, the lines before each.
-
-    Blocks are summed per file, then only files are put in one order: by folder, by the
-    number of a part file (``part-99999`` before ``part-100000``), by name.
-    """
-    folder, number = F.regexp_extract("_file", r"^(.*/)", 1), F.regexp_extract("_file", r"part-(\d+)[^/]*$", 1)
-    files = blocks.groupBy("_file").agg(F.sum("_n").alias("_lines"))
-    before = Window.orderBy(folder, number.try_cast("bigint"), "_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select("_file", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    inside = blocks.withColumn("_inside", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-    return inside.join(files, "_file").withColumn("_offset", F.col("_before") + F.col("_inside")).drop("_before", "_inside")
-
-
-def _placed(lines: DataFrame) -> DataFrame:
-    return lines.select(
-        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")
-    )
-
-
-def number_lines(lines: DataFrame, into: str = "line_no") -> DataFrame:
-    """Number the lines of a text scan in file order; several files follow by path.
-
-    ``lines`` has to come straight from ``spark.read.text``. No shuffle of the lines: a
-    task reads each of its input blocks front to back.
-    """
-    block = F.xxhash64("_file", "_start")
-    slots = cut_lineage(_placed(lines).withColumns({"_block": block, "_slot": F.monotonically_increasing_id()}))
-    blocks = slots.groupBy("_block").agg(
-        F.first("_file").alias("_file"),
-        F.first("_start").alias("_start"),
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_slot").alias("_first"),
-    )
-    # One row of three numbers per input block.
-    offsets = cut_lineage(block_offsets(blocks).select("_block", "_first", "_offset"))
-    small, _ = broadcast_if_small(offsets, max_rows=1_000_000)
-    return slots.select("value", "_block", "_slot").join(small, "_block").select(
-        (F.col("_offset") + F.col("_slot") - F.col("_first") + 1).alias(into), "value"
-    )
-
-
-def line_at(lines: DataFrame, n: int, into: str = "line_no") -> DataFrame:
-    """Line ``n`` of :func:`number_lines`, or no row.
-
-    Lines are counted per block, and then only the block that holds the line is read again.
-    """
-    placed = _placed(lines)
-    blocks = block_offsets(placed.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n")))
-    at = blocks.where((F.col("_offset") < n) & (F.col("_offset") + F.col("_n") >= n)).first()
-    if at is None:
-        return lines.select(F.lit(n).cast("bigint").alias(into), "value").where(F.lit(False))
-    # One block is read by one task, front to back.
-    own = placed.where((F.col("_file") == at["_file"]) & (F.col("_start") == at["_start"]))
-    position = F.monotonically_increasing_id().bitwiseAND((1 << POSITION_BITS) - 1)
-    line = F.lit(at["_offset"] + 1) + position
-    return own.select(line.alias(into), "value").where(F.col(into) == n)

@@ -9,19 +9,26 @@ from pagemill.sources.graphs import (
 )
 from pagemill.sources.history import (
     parse_access_counts,
+    parse_counted,
     parse_edit_counts,
     parse_history,
     read_access_counts,
     read_edit_counts,
     read_history,
 )
+from pagemill.sources.line_places import line_index
+from pagemill.sources.listing import list_files, traffic_manifest
 from pagemill.sources.revisions import parse_revisions, read_revisions
-from pagemill.sources.text import read_lines, read_title, read_titles
+from pagemill.sources.text import index_titles, read_lines, read_title, read_titles
 from pagemill.sources.traffic import parse_pagecounts, read_pagecounts
 
 __all__ = [
     "explode_links",
+    "index_titles",
+    "line_index",
+    "list_files",
     "parse_access_counts",
+    "parse_counted",
     "parse_edit_counts",
     "parse_history",
     "parse_links",
@@ -40,4 +47,5 @@ __all__ = [
     "read_title",
     "read_titles",
     "split_ranks",
+    "traffic_manifest",
 ]
