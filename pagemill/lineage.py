@@ -5,14 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows up to which a table of keys may be broadcast; some 50 MB with long keys.
 BROADCAST_ROWS = 250_000
 
-# Tables saved in each open scope, the innermost last.
-_scopes: list[list[str]] = []
+# Tables saved in each open scope, the innermost last. Each thread of jobs has its own scopes.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("pagemill-scopes", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,11 +27,16 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; an open :func:`scratch` scope deletes it at its end."""
     path = f"{shared_folder(spark).rstrip('/')}/pagemill-{name}-{uuid.uuid4()}"
-    if _scopes:
-        _scopes[-1].append(path)
+    on_scope_end(path)
     return path
 
 
+def on_scope_end(path: str) -> None:
+    """Have the innermost open scope delete ``path`` at its end."""
+    if scopes := _scopes.get():
+        scopes[-1].append(path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
@@ -42,11 +48,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
     Results have to be written or shown within it.
     """
-    _scopes.append([])
+    own: list[str] = []
+    token = _scopes.set((*_scopes.get(), own))
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        _scopes.reset(token)
+        for path in own:
             delete_path(spark, path)
 
 

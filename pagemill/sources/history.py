@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pagemill.functions.text import strict_field, strict_long, whole_number
+from pagemill.functions.codec import unescape
+from pagemill.functions.text import rest_from, strict_field, strict_long, whole_number
 from pagemill.sources.text import read_lines
 
 # Fixed value: separator of the parts of a saved edit history.
@@ -30,10 +31,11 @@ def parse_edit_counts(lines: DataFrame) -> DataFrame:
 def parse_history(lines: DataFrame, by: str = "page") -> DataFrame:
     """A whole saved history, as :func:`pagemill.operators.edits.edit_history` gives it.
 
-    Users with a space in their name come back as several, as the text does not tell.
+    Names come back as they were, whatever they hold (:mod:`pagemill.functions.codec`); those
+    of files that others wrote must not hold a separator.
     """
     key = {"user": "user", "page": "page_id"}[by]
-    name = F.substring_index("value", "\t", 1)
+    name = unescape(F.substring_index("value", "\t", 1))
     fields = F.split(strict_field(F.split("value", "\t", 2), 1, "history"), PART_SEPARATOR)
 
     def items(i: int) -> Column:
@@ -42,12 +44,12 @@ def parse_history(lines: DataFrame, by: str = "page") -> DataFrame:
 
     total = strict_long(F.get(fields, F.lit(0)), "edits")
     return lines.select(
-        (strict_long(name, "page_id") if by == "page" else name).alias(key),
+        (F.when(name.isNotNull(), strict_long(name, "page_id")) if by == "page" else name).alias(key),
         F.coalesce(whole_number(F.get(fields, F.lit(4))), F.lit(0).cast("bigint")).alias("part"),
         F.coalesce(whole_number(F.get(fields, F.lit(5))), total).alias("edits"),
         total.alias("total"),
         items(1).alias("timestamps"),
-        items(2).alias("others"),
+        F.transform(items(2), unescape).alias("others"),
         items(3).alias("actions"),
     )
 
@@ -71,3 +73,11 @@ def parse_access_counts(lines: DataFrame) -> DataFrame:
 
 def read_access_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_access_counts(read_lines(spark, path))
+
+
+def parse_counted(lines: DataFrame) -> DataFrame:
+    """``n bigint, rest string`` from ``n <white space> rest`` lines; spacing within the rest is kept."""
+    return lines.select(
+        strict_long(strict_field(F.split("value", r"\s+", 2), 0, "count"), "count").alias("n"),
+        rest_from(F.col("value"), 1).alias("rest"),
+    )

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import uuid
 
-from pagemill.lineage import cut_lineage, scratch
+from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from pagemill.functions.codec import escape_item, escape_key
+from pagemill.lineage import on_scope_end, scratch, scratch_path
 from pagemill.sources.history import PART_SEPARATOR
 
 # Links written on one line unless a job says otherwise; a page with more gets several lines.
@@ -25,7 +29,8 @@ def history_text() -> Column:
 
     A row that is one part of several has the key's total in front, and two more fields
     behind: ``!@#part!@#edits`` with its number and the edits in it. So whoever reads the
-    first field of any line has the total.
+    first field of any line has the total. Names are escaped (:mod:`pagemill.functions.codec`)
+    where they hold a separator.
     """
     several = F.col("total") > F.col("edits")
     part = F.when(several, F.concat_ws(PART_SEPARATOR, F.lit(""), F.col("part").cast("string"), F.col("edits").cast("string")))
@@ -33,16 +38,16 @@ def history_text() -> Column:
         PART_SEPARATOR,
         F.col("total").cast("string"),
         F.array_join("timestamps", " "),
-        F.array_join("others", " "),
+        F.array_join(F.transform("others", escape_item), " "),
         F.array_join("actions", " "),
     )
     return F.concat(text, F.coalesce(part, F.lit("")))
 
 
 def history_lines(history: DataFrame, by: str) -> DataFrame:
-    """Lines of a packed history, one per part."""
+    """Lines of a packed history, one per part; a user is escaped like the names."""
     key = {"user": "user", "page": "page_id"}[by]
-    return key_value_lines(history, key, history_text())
+    return key_value_lines(history, escape_key(F.col(key).cast("string")), history_text())
 
 
 def trend_lines(trends: DataFrame) -> DataFrame:
@@ -103,35 +108,94 @@ def write_lines(lines: DataFrame, path: str, mode: str = "error", files: int | N
 
     ``files`` deals unsorted lines out anew over that many files; each is written by one
     task. For a sorted result give the number of files to the sort instead
-    (:func:`pagemill.operators.edits.sort_edits`).
+    (:func:`pagemill.operators.edits.sort_edits`). A single file is not written by one task but
+    joined of the parts, in their order (:func:`write_merged`).
     """
+    if files == 1:
+        if mode == "error" and path_exists(lines.sparkSession, path):
+            raise FileExistsError(f"{path} is already there")
+        write_merged(lines, f"{path.rstrip('/')}/part-00000")
+        return
     (lines if files is None else lines.repartition(files)).write.mode(mode).text(path)
 
 
 def write_pagecounts(records: DataFrame, path: str, file_records: int = FILE_RECORDS) -> None:
     """Traffic records ``project, title, views, bytes, day`` as gzip files named by day.
 
-    A day's records are dealt in turn over one share per ``file_records`` of them, and shares
-    by hash over tasks, so a hot day is written and read by several. Each file is named
-    ``pagecounts-YYYYMMDD-<file>.gz``.
+    The records are dealt over tasks in the order of days, a hot day over many, and staged by
+    day in the shared folder. Then a job per day writes files of up to ``file_records`` records:
+    its tasks name them ``pagecounts-YYYYMMDD-<task>...gz``, and its commit makes them visible.
+    Jobs that write to one folder run one after the other. Fails if the folder has files of a
+    day that is written.
     """
     spark = records.sparkSession
     line = F.concat_ws(" ", "project", "title", F.col("views").cast("string"), F.col("bytes").cast("string"))
-    staged = f"{path.rstrip('/')}-by-day"
+    lines = records.select(line.alias("value"), F.date_format("day", "yyyyMMdd").alias("day"))
     with scratch(spark):
-        # Saved, so that a task that is run again deals its rows as before.
-        lines = cut_lineage(records.select(line.alias("value"), F.date_format("day", "yyyyMMdd").alias("day")))
-        shares = lines.groupBy("day").agg(F.ceil(F.count(F.lit(1)) / file_records).alias("shares"))
-        dealt = lines.withColumn("turn", F.monotonically_increasing_id())
-        dealt = dealt.join(F.broadcast(shares.withColumnRenamed("day", "of")), F.col("day").eqNullSafe(F.col("of")))
-        by_day = dealt.repartition("day", F.pmod("turn", "shares")).select("value", "day")
-        by_day.write.partitionBy("day").option("compression", "gzip").text(staged)
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(fs_path(path))
-    # One rename per file, as a committer does.
-    for folder in fs.globStatus(fs_path(f"{staged}/day=*")):
-        day = folder.getPath().getName().removeprefix("day=")
-        for i, file in enumerate(fs.globStatus(fs_path(f"{folder.getPath().toString()}/part-*"))):
-            fs.rename(file.getPath(), fs_path(f"{path.rstrip('/')}/pagecounts-{day}-{i:06d}.gz"))
-    fs.delete(fs_path(staged), True)
+        staged = scratch_path(spark, "traffic")
+        # The second range key spreads a day that no range of days can split.
+        dealt = lines.withColumn("_turn", F.monotonically_increasing_id()).repartitionByRange("day", "_turn").drop("_turn")
+        dealt.write.partitionBy("day").parquet(staged)
+        by_day = spark.read.schema("value string, day string").parquet(staged)
+        for row in by_day.select("day").distinct().orderBy("day").collect():
+            own = by_day.where(F.col("day").eqNullSafe(F.lit(row.day))).select("value")
+            own.write.mode("append").options(
+                compression="gzip", maxRecordsPerFile=file_records, **{"mapreduce.output.basename": f"pagecounts-{row.day}"}
+            ).text(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def write_merged(lines: DataFrame, target: str) -> None:
+    """``lines`` in their order as a single file.
+
+    Tasks write part files side by side; then the file system joins them in the order of their
+    numbers, a step on its directory where it can (as HDFS does). Elsewhere their bytes are
+    copied through one stream with a buffer, on the driver. Fails if ``target`` is there.
+    """
+    spark = lines.sparkSession
+    fs_path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    fs = fs_path(target).getFileSystem(conf)
+    if path_exists(spark, target):
+        raise FileExistsError(f"{target} is already there")
+    with scratch(spark):
+        # Beside the target: file systems join files of one volume only.
+        staged = f"{target.rstrip('/')}.parts-{uuid.uuid4()}"
+        on_scope_end(staged)
+        lines.write.text(staged)
+        parts = sorted(
+            (f.getPath() for f in fs.listStatus(fs_path(staged)) if f.getPath().getName().startswith("part-") and f.getLen()),
+            key=lambda p: (int(p.getName().split("-")[1]), p.getName()),
+        )
+        joined = fs_path(f"{staged}/joined")
+        if not join_files(spark, fs, parts, joined):
+            stream = fs.create(joined)
+            try:
+                for part in parts:
+                    source = fs.open(part)
+                    try:
+                        spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, stream, conf, False)
+                    finally:
+                        source.close()
+            finally:
+                stream.close()
+        # Complete or not there at all.
+        if not fs.rename(joined, fs_path(target)):
+            raise OSError(f"cannot rename to {target}")
+
+
+def join_files(spark: SparkSession, fs, parts: list, target) -> bool:
+    """Whether the file system joined ``parts`` itself."""
+    if len(parts) < 2:
+        return False
+    array = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(parts) - 1)
+    for i, part in enumerate(parts[1:]):
+        array[i] = part
+    try:
+        fs.concat(parts[0], array)
+    except UnsupportedOperationException:
+        return False
+    return fs.rename(parts[0], target)

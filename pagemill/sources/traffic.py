@@ -6,9 +6,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pagemill.functions.days import DATE_START, day_from_file_name
+from pagemill.functions.days import day_from_file_name
 from pagemill.functions.text import strict_field, strict_long, whole_number
 from pagemill.lineage import spread_scan
+from pagemill.sources.listing import place_of, traffic_manifest
 from pagemill.sources.text import read_lines
 
 
@@ -61,12 +62,15 @@ def read_pagecounts(
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Traffic files with the day taken from each file's name.
 
-    Files of days before ``first_day`` or after ``last_day`` are not opened.
+    Files of days before ``first_day`` or after ``last_day`` are not opened. A file without a
+    day is never out of bounds: it fails the read by its name, or all its lines are rejected.
     """
+    if mode == "failfast":
+        undated = traffic_manifest(spark, path).where("place = 'undated'").select("name").limit(5).collect()
+        if undated:
+            raise ValueError(f"no date in file name: {', '.join(sorted(r.name for r in undated))}")
     lines, name = read_lines(spark, path), F.col("_metadata.file_name")
-    digits = F.substring(name, DATE_START, 8)
-    if first_day is not None:
-        lines = lines.where(digits >= first_day.strftime("%Y%m%d"))
-    if last_day is not None:
-        lines = lines.where(digits <= last_day.strftime("%Y%m%d"))
+    if first_day is not None or last_day is not None:
+        day = day_from_file_name(name, strict=False)
+        lines = lines.where(place_of(day, first_day, last_day).isin("in", "undated"))
     return parse_pagecounts(spread_scan(lines.select("value", name.alias("file"))), mode, "file")

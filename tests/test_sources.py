@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagemill import sources
+from pagemill.functions import codec
 from pagemill.operators import counts, edits, ranking
 from pagemill.sources import sinks
 
@@ -278,3 +279,132 @@ def test_hot_day_is_several_files(spark, tmp_path):
     assert sum(f.startswith("pagecounts-20100101-") for f in files) > 2
     found = sources.read_pagecounts(spark, str(tmp_path / "traffic")).groupBy("day").count().collect()
     assert {(r.day, r["count"]) for r in found} == {(date(2010, 1, 1), 900), (date(2010, 1, 2), 100)}
+
+
+def undated_files(tmp_path):
+    for name, text in {
+        "pagecounts-20100101-000000": "en A 1 1\n",
+        "pagecounts-20100105-000000": "en A 2 1\nen B x 1\n",
+        "pagecounts-20100109-000000": "en A 4 1\n",
+        "pagecounts-undated1-x": "en A 8 1\nen C 9 1\n",
+    }.items():
+        (tmp_path / name).write_text(text)
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("first, last", [(None, None), (3, None), (None, 6), (3, 6)])
+def test_undated_files_are_never_out_of_bounds(spark, tmp_path, first, last):
+    path = undated_files(tmp_path)
+    bounds = {
+        "first_day": first and date(2010, 1, first),
+        "last_day": last and date(2010, 1, last),
+    }
+    with pytest.raises(ValueError, match="no date in file name: pagecounts-undated1-x"):
+        sources.read_pagecounts(spark, path, **bounds)
+    good, bad = sources.read_pagecounts(spark, path, mode="reject", **bounds)
+    wanted = {(d, v) for d, v in ((1, 1), (5, 2), (9, 4)) if d >= (first or 1) and d <= (last or 9)}
+    assert {(r.day.day, r.views) for r in good.collect()} == wanted
+    undated = {("en A 8 1", "no date in file name"), ("en C 9 1", "no date in file name")}
+    assert {tuple(r) for r in bad.collect()} == undated | {("en B x 1", "views is not a number")}
+
+
+def test_manifest_of_traffic_files(spark, tmp_path):
+    path = undated_files(tmp_path)
+    found = sources.traffic_manifest(spark, path, date(2010, 1, 3), date(2010, 1, 6))
+    assert {(r.name, r.size, r.day and r.day.day, r.place) for r in found.collect()} == {
+        ("pagecounts-20100101-000000", 9, 1, "early"),
+        ("pagecounts-20100105-000000", 18, 5, "in"),
+        ("pagecounts-20100109-000000", 9, 9, "late"),
+        ("pagecounts-undated1-x", 18, None, "undated"),
+    }
+    assert {r.place for r in sources.traffic_manifest(spark, path).collect()} == {"in", "undated"}
+
+
+def test_manifest_opens_no_file(spark, tmp_path):
+    (tmp_path / "pagecounts-20100101-0.gz").write_bytes(b"no gzip")
+    files = sources.list_files(spark, str(tmp_path))
+    assert [(r.name, r.size) for r in files.collect()] == [("pagecounts-20100101-0.gz", 7)]
+    assert "content" not in files._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_are_written_by_tasks(spark, tmp_path):
+    """Files named by day, at most ``file_records`` records each, and nothing staged beside them."""
+    days = F.date_add(F.lit("2010-01-01").cast("date"), (F.col("id") % 3).cast("int"))
+    records = spark.range(1000).select(
+        F.lit("en").alias("project"), F.col("id").cast("string").alias("title"), F.lit(1).alias("views"), F.lit(0).alias("bytes"), days.alias("day")
+    )
+    sinks.write_pagecounts(records, str(tmp_path / "traffic"), file_records=100)
+    assert [f.name for f in tmp_path.iterdir()] == ["traffic"]
+    names = sorted(f.name for f in (tmp_path / "traffic").iterdir() if f.name.endswith(".gz"))
+    assert len(names) >= 12 and {n[:20] for n in names} == {f"pagecounts-2010010{d}-" for d in (1, 2, 3)}
+    for f in (tmp_path / "traffic").glob("*.gz"):
+        with gzip.open(f, "rt") as lines_of:
+            assert len(lines_of.readlines()) <= 100
+    back = sources.read_pagecounts(spark, str(tmp_path / "traffic"))
+    assert sorted((int(r.title), r.day) for r in back.collect()) == sorted((int(r.title), r.day) for r in records.collect())
+
+
+@pytest.mark.parametrize("rows", [0, 1, 1000])
+def test_merged_file_has_the_bytes_of_its_parts(spark, tmp_path, rows, monkeypatch):
+    ordered = spark.range(rows, numPartitions=7).selectExpr("concat('line ', id) as value")
+    sinks.write_merged(ordered, str(tmp_path / "one.txt"))
+    assert (tmp_path / "one.txt").read_text() == "".join(f"line {i}\n" for i in range(rows))
+    assert {f.name for f in tmp_path.iterdir()} <= {"one.txt", ".one.txt.crc"}
+    with pytest.raises(FileExistsError):
+        sinks.write_merged(ordered, str(tmp_path / "one.txt"))
+    monkeypatch.setattr(sinks, "join_files", lambda *a: False)
+    sinks.write_merged(ordered, str(tmp_path / "copied.txt"))
+    assert (tmp_path / "copied.txt").read_bytes() == (tmp_path / "one.txt").read_bytes()
+    assert [r.value for r in spark.read.text(str(tmp_path / "copied.txt")).collect()] == [f"line {i}" for i in range(rows)]
+
+
+def test_scopes_of_two_threads_do_not_meet(spark):
+    import threading
+
+    from pagemill import lineage
+
+    first, second = threading.Event(), threading.Event()
+    kept = {}
+
+    def outer():
+        with lineage.scratch(spark):
+            df, path = lineage.save_table(spark.range(3))
+            first.set()
+            second.wait(60)
+            kept["rows"] = df.count()
+
+    thread = threading.Thread(target=outer)
+    thread.start()
+    first.wait(60)
+    with lineage.scratch(spark):
+        lineage.save_table(spark.range(2))
+    second.set()
+    thread.join()
+    assert kept["rows"] == 3
+
+
+NAMES = ["Ann", "Ann B", "x!@#y", "!@#", " ", "", None, "\\", "\\s", "a\\ b", "tab\there", "line\nbreak\r", "!", "!@", "a!", "\\0", "\\e", "\\x@#", "ü  \u2028"]
+
+
+def test_names_survive_their_text(spark):
+    df = spark.createDataFrame([(n,) for n in NAMES], "name string")
+    for escape in (codec.escape_key, codec.escape_item):
+        rows = df.select("name", escape(F.col("name")).alias("text")).withColumn("back", codec.unescape(F.col("text"))).collect()
+        assert [r.back for r in rows] == NAMES and len({r.text for r in rows}) == len(NAMES)
+        assert not any(c in r.text for r in rows for c in "\t\n\r")
+        plain = {r.name: r.text for r in rows}
+        assert plain["Ann"] == "Ann" and plain["!"] == "!" and plain["ü  \u2028"].startswith("ü")
+    assert all(" " not in r.text and "!@#" not in r.text for r in rows)
+
+
+def test_history_of_names_with_separators(spark, tmp_path):
+    rows = [(i, i % 3, f"2007010100{i:04d}", NAMES[i % len(NAMES)], "fixed" if i == 3 else None) for i in range(60)]
+    rows += [(100 + i, None, "20080101000000", "nobody's page", None) for i in range(2)]
+    revisions = spark.createDataFrame(rows, "rev_id bigint, page_id bigint, ts string, user string, comment string")
+    for by in ("page", "user"):
+        for size in (4, 1000):
+            history = edits.edit_history(revisions, by, part_edits=size)
+            path = str(tmp_path / f"{by}{size}")
+            sinks.write_lines(sinks.history_lines(history, by), path)
+            back = sources.read_history(spark, path, by)
+            assert sorted(map(str, back.collect())) == sorted(map(str, history.collect()))
