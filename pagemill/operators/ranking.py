@@ -5,12 +5,13 @@ Pages without links pass nothing on, repeated links count each time, self-links
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from pagemill.lineage import broadcast_if_small, cut_lineage, delete_path, save_table
+from pagemill.lineage import broadcast_if_small, cut_lineage, delete_path, save_table, scratch_path
 
 # Fixed values of the rank formula, and the first rank of every page.
 DAMPING, BASE, FIRST_RANK = 0.85, 0.15, 1.0
@@ -23,14 +24,28 @@ PARTITION_LINKS = 10_000
 
 
 class Graph(NamedTuple):
-    """``pages id, links, spread`` and ``edges src, [salt,] dst, m``, both kept for the steps."""
+    """``pages id, links, spread`` and ``edges src, [salt,] dst, m``, both saved for the steps."""
 
     pages: DataFrame
     edges: DataFrame
+    tables: tuple[str, ...]
 
     def release(self) -> None:
-        self.pages.unpersist()
-        self.edges.unpersist()
+        for name in self.tables:
+            self.pages.sparkSession.sql(f"drop table if exists {name}")
+
+
+def save_buckets(df: DataFrame, by: list[str], buckets: int) -> str:
+    """``df`` as a table in the shared folder, one sorted file per bucket; the table's name.
+
+    A join by these columns reads each bucket where it is needed, without a shuffle; whoever
+    loses an executor reads its buckets again. The folder goes with the scope (:func:`scratch`).
+    """
+    name = f"spark_catalog.default.pagemill_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *by)
+    path = scratch_path(df.sparkSession, "buckets")
+    dealt.write.bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(name)
+    return name
 
 
 def out_degree(edges: DataFrame, pages: DataFrame | None = None) -> DataFrame:
@@ -60,8 +75,8 @@ def build_graph(
 
     Edges not merged yet are read once: merged and saved, they give the degrees as well.
 
-    The edges lie hash-partitioned and sorted by their join key, so a step shuffles only
-    ranks and partial sums. If a source has more than ``spread_links`` links, the key is
+    Edges and pages are saved in buckets by their join key, so a step shuffles only ranks and
+    partial sums. If a source has more than ``spread_links`` links, the key is
     ``(src, salt)`` with a salt by target, and its rank is sent once per salt.
     ``partitions`` defaults to ``spark.sql.shuffle.partitions``, or fewer for a small graph.
     """
@@ -79,15 +94,9 @@ def build_graph(
     if n_hubs:
         salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("spread")).cast("int"), F.lit(0))
         merged, by = merged.join(hubs, "src", "left").withColumn("salt", salt).drop("spread"), ["src", "salt"]
-    graph = Graph(
-        degrees.repartition(partitions, "id").sortWithinPartitions("id").persist(),
-        merged.repartition(partitions, *by).sortWithinPartitions(*by).persist(),
-    )
-    # A cached table tells its partitioning only once it is filled; planned earlier, the
-    # steps would shuffle both again.
-    graph.pages.count()
-    graph.edges.count()
-    return graph
+    spark = edges.sparkSession
+    names = (save_buckets(degrees, ["id"], partitions), save_buckets(merged, by, partitions))
+    return Graph(*(spark.table(name) for name in names), names)
 
 
 def first_ranks(graph: Graph, start: DataFrame | None = None) -> DataFrame:
@@ -106,13 +115,14 @@ def rank_step(graph: Graph, ranks: DataFrame, damping: float = DAMPING, base: fl
     if "salt" in graph.edges.columns:
         by = ["src", "salt"]
         sent = sent.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)))
+    # Ranks of a bucket are few beside its links: hashed, they leave the links unsorted.
     received = (
-        graph.edges.join(sent.drop("spread"), by)
+        graph.edges.join(sent.drop("spread").hint("shuffle_hash"), by)
         .groupBy(F.col("dst").alias("id"))
         .agg(F.sum(F.col("share") * F.col("m")).alias("received"))
     )
     rank = F.lit(base) + F.lit(damping) * F.coalesce("received", F.lit(0.0))
-    return graph.pages.join(received, "id", "left").select("id", "links", "spread", rank.alias("rank"))
+    return graph.pages.join(received.hint("shuffle_hash"), "id", "left").select("id", "links", "spread", rank.alias("rank"))
 
 
 def page_rank(

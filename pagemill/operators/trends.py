@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pagemill.functions.days import FIRST_DAY, N_DAYS, day_index
 from pagemill.functions.series import dense_series, sparse_series
@@ -60,18 +60,22 @@ def _series(counts: DataFrame) -> DataFrame:
     )
 
 
+def _hot(counts: DataFrame, threshold: int) -> DataFrame:
+    """Rows of the titles with a day above ``threshold``.
+
+    Rows are dealt by title once: the peak is taken over a title's few rows where they lie, and
+    the lists of :func:`_series` are made there of what is left, which is little.
+    """
+    peak = F.max("n").over(Window.partitionBy("title"))
+    return counts.withColumn("_peak", peak).where(F.col("_peak") > threshold).drop("_peak")
+
+
 def trend(counts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``title, peak, series``: sparse series of the titles with a day above ``threshold``."""
-    return (
-        _series(counts)
-        .where(F.col("peak") > threshold)
-        .select("title", "peak", sparse_series(F.col("entries")).alias("series"))
-    )
+    return _series(_hot(counts, threshold)).select("title", "peak", sparse_series(F.col("entries")).alias("series"))
 
 
 def dense_trend(counts: DataFrame, n_days: int = N_DAYS, threshold: int | None = None) -> DataFrame:
     """``title, peak, days``: one count per day of the window, zeros kept."""
-    series = _series(counts)
-    if threshold is not None:
-        series = series.where(F.col("peak") > threshold)
+    series = _series(counts if threshold is None else _hot(counts, threshold))
     return series.select("title", "peak", dense_series(F.col("entries"), n_days).alias("days"))

@@ -29,6 +29,15 @@ def test_scans_read_only_their_columns(spark, name, columns):
     assert schemas == {columns}
 
 
+def test_series_are_listed_for_hot_titles_only(spark):
+    """One shuffle by title; the filter by peak lies below the aggregate that makes the lists."""
+    text = plan(spark, "trend_sparse")
+    lists, rest = text.split("collect_list", 1)[0], text.split("collect_list", 1)[1]
+    assert re.search(r"Filter \(isnotnull\(_peak#\d+L\) AND \(_peak#\d+L > 600\)\)", rest) and "Filter" not in lists
+    assert rest.index("Filter") < rest.index("Window") < rest.index("Exchange hashpartitioning(title")
+    assert len(re.findall(r"Exchange hashpartitioning\(title#\d+, \d+\)", text)) == 1
+
+
 def test_project_filter_reaches_the_scan(spark):
     assert "EqualTo(event_type,view)" in plan(spark, "access_count_one_project")
 
@@ -76,19 +85,24 @@ def test_rank_job_parses_its_source_once(spark, tmp_path, monkeypatch):
 
 
 def test_no_single_task_above_the_packing(spark, tmp_path, monkeypatch):
+    """Not even for a single file, which is joined of the parts in their order."""
     from pagemill.plans import jobs
     from pagemill.sources import sinks
 
-    (tmp_path / "in.txt").write_text("21 1 21 Fixed typo 5 Ann 20070101000001 0 0 NULL NULL\n")
-    plans, write = [], sinks.write_lines
+    edits = "".join(f"{i} {i % 40} {i} Fixed typo 5 Ann 2007010100{i:04d} 0 0 NULL NULL\n" for i in range(200))
+    (tmp_path / "in.txt").write_text(edits)
+    plans, write = [], sinks.write_merged
 
-    def noting(lines, path, mode="error", files=None):
-        dealt = lines if files is None else lines.repartition(files)
-        plans.append(dealt._jdf.queryExecution().executedPlan().toString())
-        write(lines, path, mode, files)
+    def noting(lines, target):
+        plans.append(lines._jdf.queryExecution().executedPlan().toString())
+        write(lines, target)
 
-    monkeypatch.setattr(sinks, "write_lines", noting)
+    monkeypatch.setattr(sinks, "write_merged", noting)
     for sort in ("no", "id", "edits"):
         jobs.page_edits(spark, str(tmp_path / "in.txt"), str(tmp_path / sort), "page", sort, files=1)
-    assert len(plans) == 3 and not any("Coalesce" in p for p in plans)
-    assert "Exchange RoundRobinPartitioning(1)" in plans[0] or "Exchange SinglePartition" in plans[0]
+        assert [f.name for f in (tmp_path / sort).iterdir() if not f.name.startswith(".")] == ["part-00000"]
+    assert len(plans) == 3 and not any(re.search(r"Coalesce|SinglePartition|Partitioning\(1\)", p) for p in plans)
+    keys = [int(line.split("\t")[0]) for line in (tmp_path / "id" / "part-00000").read_text().splitlines()]
+    assert keys == sorted(keys) and len(keys) == 40
+    with pytest.raises(FileExistsError):
+        jobs.page_edits(spark, str(tmp_path / "in.txt"), str(tmp_path / "id"), "page", "id", files=1)
