@@ -44,6 +44,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--sort", choices=["id", "edits", "no"], default="no")
     p.add_argument("--part-edits", type=int, default=jobs.edits.PART_EDITS)
     p.add_argument("--files", type=int, help="files of the result, each written by one task")
+    p = job("sort-by-count", "source", "target")
+    p.add_argument("--files", type=int)
     p = job("page-rank", "source", "target")
     p.add_argument("runs", type=int)
     p.add_argument("--resume", action="store_true")
@@ -51,8 +53,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--line-links", type=int, default=jobs.sinks.LINE_LINKS)
     p = job("edit-view-balance", "titles", "page_history", "accesses", "target")
     p.add_argument("--files", type=int)
-    job("page-name", "titles").add_argument("page_id", type=int)
-    job("page-info", "ranks", "titles").add_argument("page_id", type=int)
+    job("index-titles", "titles", "target")
+    for name, *paths in (("page-name", "titles"), ("page-info", "ranks", "titles")):
+        p = job(name, *paths)
+        p.add_argument("page_id", type=int)
+        p.add_argument("--index", help="saved by index-titles from the same titles")
     return top
 
 

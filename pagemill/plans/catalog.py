@@ -7,6 +7,7 @@ comments; orders linking to parts, and keys linking to users, are link graphs.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import date
 
@@ -15,10 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pagemill import sources
 from pagemill.functions.tags import KEYWORDS, mask_text, tag_mask
 from pagemill.functions.text import squeeze
-from pagemill.lineage import cut_lineage, scratch_path, spread_scan
+from pagemill.lineage import cut_lineage, scratch_path, settle, spread_scan
 from pagemill.operators import balance, counts, edits, ranking, trends
 from pagemill.operators.numbering import number_in_order, number_rows
 from pagemill.sources import sinks
+from pagemill.sources.line_places import line_at, number_lines
+from pagemill.sources.text import titles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -227,6 +230,46 @@ def trend_from_files(spark, sf_dir):
     return trends.trend(trends.daily_counts(records, first, 10), threshold=600)
 
 
+def undated_traffic(spark, sf_dir):
+    """Traffic files by day, of which errors lie in files without a date; the folder."""
+    path = scratch_path(spark, "traffic")
+    records = traffic(spark, sf_dir).withColumn("bytes", F.lit(0))
+    dated = F.col("project") != "error"
+    sinks.write_pagecounts(records.where(dated), path)
+    lines = records.where(~dated).select(F.concat_ws(" ", "project", "title", "views", "bytes").alias("value"))
+    lines.write.mode("append").option("mapreduce.output.basename", "pagecounts-undated1").text(path)
+    return path
+
+
+@query(f"""with {TRAFFIC}
+select day, case when day is null then 'undated' when day < date '2024-01-11' then 'early'
+                 when day > date '2024-01-20' then 'late' else 'in' end as place, count(*) as records
+from (select case when project <> 'error' then day end as day from traffic) group by all""")
+def traffic_manifest(spark, sf_dir):
+    """Which files a read of ten days takes, and how many records each day's files hold."""
+    path = undated_traffic(spark, sf_dir)
+    files = sources.traffic_manifest(spark, path, date(2024, 1, 11), date(2024, 1, 20))
+    lines = sources.read_lines(spark, path).groupBy(F.col("_metadata.file_path").alias("file")).count()
+    return files.join(lines, "file").groupBy("day", "place").agg(F.sum("count").alias("records"))
+
+
+@query(f"""with {TRAFFIC}
+select title, cast(sum(views) as bigint) as accesses, 0 as rejected
+from traffic where project <> 'error' and day between date '2024-01-11' and date '2024-01-20' group by title
+union all
+select title, 0 as accesses, count(*) as rejected from traffic where project = 'error' group by title""")
+def undated_rejects(spark, sf_dir):
+    """Ten days of records, and the lines of undated files rejected whatever days are asked for."""
+    good, bad = sources.read_pagecounts(
+        spark, undated_traffic(spark, sf_dir), mode="reject", first_day=date(2024, 1, 11), last_day=date(2024, 1, 20)
+    )
+    title = F.split("value", " ")[1].alias("title")
+    rejected = bad.where("reason = 'no date in file name'").groupBy(title).agg(F.count(F.lit(1)).alias("rejected"))
+    zero = F.lit(0).cast("bigint")
+    accepted = counts.access_count(good).withColumn("rejected", zero)
+    return accepted.unionByName(rejected.withColumn("accesses", zero))
+
+
 # --- edits -------------------------------------------------------------------------
 
 KEY = {"page": "page_id", "user": '"user"'}
@@ -322,6 +365,65 @@ def history_round_trip(spark, sf_dir):
     return as_text(sources.read_history(spark, path, "page"), "timestamps", "others", "actions")
 
 
+# Names that hold what separates names, fields, and lines.
+AWKWARD = "'u' || chr(92) || ' ' || {} || '!@#' || chr(9) || 's'"
+
+
+def awkward(name: Column) -> Column:
+    return F.concat(F.lit("u\\ "), name.cast("string"), F.lit("!@#\ts"))
+
+
+def awkward_sql(by: str) -> str:
+    """Histories by page or by user, whose users have awkward names."""
+    return history_sql(by, "(n - 1) // 64").replace(
+        'cast(user_id as varchar) as "user"', f"{AWKWARD.format('user_id')} as \"user\""
+    )
+
+
+def awkward_round_trip(spark, sf_dir, by):
+    edited = revisions(spark, sf_dir).withColumn("user", awkward(F.col("user")))
+    path = scratch_path(spark, "history")
+    sinks.write_lines(sinks.history_lines(edits.edit_history(edited, by, part_edits=64), by), path)
+    return as_text(sources.read_history(spark, path, by), "timestamps", "others", "actions")
+
+
+@query(f"with {awkward_sql('user')} select * from history")
+def history_round_trip_by_user(spark, sf_dir):
+    """Histories of users with spaces, tabs, backslashes and separators in their names."""
+    return awkward_round_trip(spark, sf_dir, "user")
+
+
+@query(f"with {awkward_sql('page')} select * from history")
+def history_round_trip_of_names(spark, sf_dir):
+    """The same names within the histories of pages."""
+    return awkward_round_trip(spark, sf_dir, "page")
+
+
+@query(f"""with {history_sql('page', '0')}
+select row_number() over (order by total, page_id) as position,
+       page_id || chr(9) || concat_ws('!@#', edits, timestamps, others, actions) as value from history""")
+def history_in_one_file(spark, sf_dir):
+    """Sorted histories in a single file that the file system joined of parts, read in file order."""
+    history = edits.sort_edits(edits.edit_history(revisions(spark, sf_dir), "page"), "page", "edits")
+    path = scratch_path(spark, "merged")
+    sinks.write_merged(sinks.history_lines(history, "page"), path)
+    return number_lines(spark, path, "position")
+
+
+@query(f"""with {REVISIONS}, counted as (
+  select page_id, count(*) as n, min(ts) || '  ' || max(ts) as times from revisions group by page_id)
+select row_number() over (order by n, page_id || ': ' || times) as position, cast(n as bigint) as n,
+       page_id || ': ' || times as rest from counted""")
+def lines_by_count(spark, sf_dir):
+    """Saved lines sorted by the number in front; the rest of each keeps its spacing."""
+    counted = revisions(spark, sf_dir).groupBy("page_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last")
+    )
+    rest = F.concat(F.col("page_id").cast("string"), F.lit(": "), "first", F.lit("  "), "last")
+    lines = sources.parse_counted(sinks.key_value_lines(counted, "n", rest))
+    return in_order(lines.orderBy("n", "rest"))
+
+
 @query(f"""select doc_id, {tags_sql("c")} as tags, concat_ws(' ', {", ".join(
     f"case when contains(lower(text), '{k}') then '{k}' end" for k in KEYWORDS)}) as word_safe_tags
 from (select doc_id, text, {glued_sql("text")} as c from documents)""")
@@ -587,6 +689,44 @@ def page_name_from_files(spark, sf_dir):
     return sources.read_title(spark, path, 100)
 
 
+# Orders as titles, blown up to several files above 4 MB, and some of their numbers.
+ORDER_TITLES = """titles as (
+  select cast(row_number() over (order by o_orderkey) as bigint) as page_id,
+         'Order ' || o_orderkey as title from orders)"""
+ORDER_IDS = (1, 777, 3750, 3751, 7501, 11_249, 14_000, 15_000)
+
+
+def order_title_files(spark, sf_dir, **options):
+    path = scratch_path(spark, "titles")
+    title = F.concat(F.lit("Order  "), F.rpad(F.col("o_orderkey").cast("string"), 1200, " "))
+    lines = table(spark, sf_dir, "orders").repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey")
+    lines.select(title.alias("value")).write.options(**options).text(path)
+    return path
+
+
+@query(f"with {ORDER_TITLES} select page_id, title from titles where page_id in {ORDER_IDS}")
+def page_names_of_large_files(spark, sf_dir):
+    """Titles of several large files by their numbers, through a saved index of their lines."""
+    path, index = order_title_files(spark, sf_dir), scratch_path(spark, "index")
+    sources.index_titles(spark, path, index)
+    found = [sources.read_title(spark, path, i, index) for i in ORDER_IDS]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+@query(f"with {ORDER_TITLES} select page_id, title from titles where page_id in {ORDER_IDS[:4]}")
+def page_names_of_gzip_files(spark, sf_dir):
+    """The same of compressed files, which a task reads up to the line."""
+    path = order_title_files(spark, sf_dir, compression="gzip")
+    index = settle(spark, lambda: sources.line_index(spark, path))
+    return functools.reduce(DataFrame.unionByName, [titles(line_at(spark, index, i)) for i in ORDER_IDS[:4]])
+
+
+@query(f"with {ORDER_TITLES} select page_id, title from titles")
+def titles_of_large_files(spark, sf_dir):
+    """All titles of several files above 4 MB, numbered without shuffling or saving a line."""
+    return sources.read_titles(spark, order_title_files(spark, sf_dir))
+
+
 # --- records parsed from lines -----------------------------------------------------
 
 

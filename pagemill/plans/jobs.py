@@ -102,13 +102,25 @@ def page_edits(
 ) -> None:
     """Histories by ``user`` or ``page``, sorted by ``id``, by ``edits`` or not (``no``).
 
-    ``files`` sets the number of files of the result, each written by one task. A history of
-    more than ``part_edits`` edits is written as several lines (:func:`sinks.history_text`).
+    ``files`` sets the number of files of the result, each written by one task; a single one is
+    joined of sorted parts. A history of more than ``part_edits`` edits is written as several lines (:func:`sinks.history_text`).
     """
     order = {"id": "key", "edits": "edits", "no": None}[sort]
     records = accepted(sources.read_revisions, spark, source, rejects)
-    history = edits.sort_edits(edits.edit_history(records, by, part_edits), by, order, files)
-    sinks.write_lines(sinks.history_lines(history, by), target, files=files if order is None else None)
+    history = edits.sort_edits(edits.edit_history(records, by, part_edits), by, order, None if files == 1 else files)
+    sinks.write_lines(sinks.history_lines(history, by), target, files=files if order is None or files == 1 else None)
+
+
+@cleaning
+def sort_by_count(spark: SparkSession, source: str, target: str, files: int | None = None) -> None:
+    """``n rest`` lines in the order of their numbers, then of the rest, as ``n \t rest``."""
+    counted = sources.parse_counted(sources.read_lines(spark, source))
+    order = ["n", "rest"]
+    if files is not None and files > 1:
+        counted = counted.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    else:
+        counted = counted.orderBy(*order)
+    sinks.write_lines(sinks.key_value_lines(counted, "n", "rest"), target, files=1 if files == 1 else None)
 
 
 @cleaning
@@ -166,10 +178,17 @@ def edit_view_balance(
     sinks.write_lines(sinks.balance_lines(result), target, files=files)
 
 
-def page_name(spark: SparkSession, titles: str, page_id: int) -> DataFrame:
-    return sources.read_title(spark, titles, page_id)
+def index_titles(spark: SparkSession, titles: str, target: str) -> None:
+    """Saves where the lines of the titles are, for lookups that read a few of them."""
+    with scratch(spark):
+        sources.index_titles(spark, titles, target)
+
+
+def page_name(spark: SparkSession, titles: str, page_id: int, index: str | None = None) -> DataFrame:
+    return sources.read_title(spark, titles, page_id, index)
 
 
-def page_info(spark: SparkSession, ranks: str, titles: str, page_id: int) -> DataFrame:
+def page_info(spark: SparkSession, ranks: str, titles: str, page_id: int, index: str | None = None) -> DataFrame:
     saved, _ = sources.read_ranks(spark, ranks)
-    return balance.rank_names(saved.where(F.col("id") == str(page_id)), sources.read_title(spark, titles, page_id))
+    title = sources.read_title(spark, titles, page_id, index)
+    return balance.rank_names(saved.where(F.col("id") == str(page_id)), title)
