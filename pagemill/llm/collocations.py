@@ -34,8 +34,9 @@ UNKNOWN = "und"
 # Bits per frequent phrase in a filter, and the most bits of one (32 MB). Beyond, more phrases
 # pass it, which costs shuffling and leaves the counts as they are.
 FILTER_BITS, MOST_BITS = 8, 1 << 28
-# Phrases that a task holds before it counts them.
-HELD = 1 << 21
+# Phrases that a task holds before it counts them, bytes of text that it takes apart at a time,
+# and phrases cut out at a time.
+HELD, SLICE_BYTES, CUT = 1 << 18, 1 << 23, 1 << 14
 
 _BYTES = np.arange(256)
 # Bytes between words, and bytes that end a piece.
@@ -71,6 +72,13 @@ def phrase_hashes(words: np.ndarray, n: int, lang: str) -> np.ndarray:
     return mix(ngrams(words, n) ^ ngrams(own + np.uint64(1), len(own))[0])
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, about ``SLICE_BYTES`` of text at a time."""
+    rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+    for lo in range(0, batch.num_rows, rows):
+        yield batch.slice(lo, rows)
+
+
 def by_language(batch: pa.RecordBatch, column: str) -> Iterator[tuple[str, pa.Array]]:
     """The column's values of each language."""
     langs = batch.column("lang").dictionary_encode()
@@ -124,7 +132,9 @@ def _runs(words: Words, n: int, lang: str, known: Filter | None) -> pa.Array:
     joined[ends - 1] = 0x20
     start, size = (ends - sizes)[at], ends[at + n - 1] - 1 - (ends - sizes)[at]
     offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
-    return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(gather(joined, start, size)))
+    cuts = [gather(joined, start[i : i + CUT], size[i : i + CUT]) for i in range(0, len(at), CUT)]
+    data = np.concatenate(cuts) if cuts else np.zeros(0, np.uint8)
+    return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data))
 
 
 def phrase_counts(docs: DataFrame, n: int, known: Filter | None = None) -> DataFrame:
@@ -144,17 +154,16 @@ def phrase_counts(docs: DataFrame, n: int, known: Filter | None = None) -> DataF
         return pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases)), phrases, times], names=["lang", "phrase", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, texts in by_language(batch, "text"):
-                held, size = [], 0
-                for _, _, words in word_blocks(texts, _WORD, lower=True):
-                    held.append(_runs(words, n, lang, shared.value))
-                    size += len(held[-1])
-                    if size > HELD:
-                        yield count(lang, held)
-                        held, size = [], 0
-                if size:
+        for lang, texts in (own for batch in batches for part in slices(batch) for own in by_language(part, "text")):
+            held, size = [], 0
+            for _, _, words in word_blocks(texts, _WORD, lower=True):
+                held.append(_runs(words, n, lang, shared.value))
+                size += len(held[-1])
+                if size > HELD:
                     yield count(lang, held)
+                    held, size = [], 0
+            if size:
+                yield count(lang, held)
 
     partial = docs.mapInArrow(run, "lang string, phrase string, f bigint")
     return partial.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
