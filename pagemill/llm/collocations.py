@@ -29,6 +29,8 @@ from pagemill.llm.words import Words, mix, ngrams, word_blocks
 # Longest phrase, least count, share (in percent) of a phrase that one around it
 # needs to replace it, rows reported per language, scale of the scores.
 LONGEST, LEAST, SHARE, TOP, SCALE = 4, 30, 80, 2_000, 2_000_000
+# Shares of a language whose best phrases are found side by side.
+SHARES = 16
 # Fixed value: the language of documents without one.
 UNKNOWN = "und"
 # Bits per frequent phrase in a filter, and the most bits of one (32 MB). Beyond, more phrases
@@ -244,9 +246,13 @@ def collocations(
             own = own.withColumn("longer", F.lit(0).cast("bigint"))
         own = own.where(exact(F.col("longer")) * 100 < exact(F.col("f")) * share)
         kept = own if kept is None else kept.unionByName(own)
-    # Each task passes on its best rows of a language only.
-    best = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("f"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    # The best of each share of a language first, so one task gets at most ``SHARES * top`` rows.
+    order = F.desc("cut.score"), F.desc("f"), "phrase"
+    kept = kept.withColumn("_share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    for by in (["lang", "_share"], ["lang"]):
+        best = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        kept = kept.withColumn("rank", best).where(F.col("rank") <= top)
+    ranked = kept
     return ranked.join(broadcast_if_small(totals)[0], "lang").select(
         "lang",
         F.col("rank").cast("bigint").alias("rank"),

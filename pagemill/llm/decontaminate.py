@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pagemill.lineage import cut_lineage
-from pagemill.llm.rows import add_columns, keeping_columns, shielded
+from pagemill.llm.rows import add_columns, share, shielded, without
 from pagemill.llm.words import ALNUM, Words, mix, word_blocks
 
 WINDOW = 10
@@ -142,7 +142,7 @@ _RANGES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 def _pass(docs: DataFrame, strings: Strings, drop: tuple) -> DataFrame:
     """One pass over the documents; hits add to those of earlier passes."""
-    shared = docs.sparkSession.sparkContext.broadcast(strings)
+    shared = share(docs.sparkSession, strings)
     earlier = "hit_ranges" in docs.columns
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -207,4 +207,4 @@ def decontaminate(
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any window of an item."""
-    return keeping_columns(docs, ("text",), lambda d: decontaminate(d, benchmark).where(~F.col("contaminated")))
+    return without(docs, ("text",), lambda d: decontaminate(d, benchmark, drop=("text",)).where("contaminated"))

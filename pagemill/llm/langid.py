@@ -3,14 +3,17 @@
 A known word scores its log frequency in each language. An unseen word is cut into
 character n-grams of the longest order that has any known one, and scores the mean log
 frequency of those among the different words of the language. Counts cover every training
-document; the model that is sent to the
-executors keeps the most frequent entries up to a documented bound, and what falls out of
-it backs off to shorter n-grams like any other unseen word.
+document; the model that is sent to the executors keeps each language's own most frequent
+entries up to a documented bound, with the counts that all languages have of them, so a
+language keeps its words however small its share of the text. What falls out of the bound
+backs off to shorter n-grams like any other unseen word.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -18,15 +21,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pagemill.lineage import cut_lineage, scratch
-from pagemill.llm.rows import add_columns, keeping_columns, shielded
+from pagemill.lineage import broadcast_if_small, cut_lineage, scratch
+from pagemill.llm.rows import add_columns, share, shielded, without
 
-# Letters of any script.
-WORD = re.compile(r"[^\W\d_]+")
+def letters() -> re.Pattern:
+    """Runs of letters of any script: characters of category L, so no numerals such as a half."""
+    numerals = (c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
+    return re.compile(rf"[^\W\d_{''.join(numerals)}]+")
+
+
+WORD = letters()
 # Orders of n-grams, longest first; a word counts as order 0.
 ORDERS = (4, 3, 2, 1)
-# Entries (gram and language) kept of the words and of each order of n-grams.
-MAX_WORDS, MAX_GRAMS = 100_000, 30_000
+# Words, and n-grams of each order, that each language has its most frequent of in the model; all
+# languages' counts of a kept one are kept. With many languages they share the most entries.
+MAX_WORDS, MAX_GRAMS, MOST = 50_000, 15_000, 1_000_000
 SMOOTHING = 0.5
 # Unseen words whose n-grams a worker remembers.
 MAX_REMEMBERED = 200_000
@@ -112,26 +121,33 @@ def count_grams(words: DataFrame) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, max_words: int, max_grams: int) -> DataFrame:
-    """The entries above the lowest frequency that keeps each order within its bound.
+    """All languages' entries of the grams that are among the most frequent of some language.
 
-    Frequencies are told apart in steps of an eighth of a power of two, so the driver sees
-    at most a few hundred numbers per order, whatever the size of the table.
+    A language keeps, per order, its entries above the lowest frequency that leaves it within
+    the bound. Frequencies are told apart in steps of an eighth of a power of two, so the driver
+    sees at most a few hundred numbers per language and order, whatever the size of the table.
     """
     step = F.floor(F.log2("count") * 8).cast("int")
-    sizes: dict[int, list[tuple[int, int]]] = {}
-    for n, at, size in counts.groupBy("n", step.alias("at")).count().collect():
-        sizes.setdefault(n, []).append((at, size))
-    keep = F.lit(False)
-    for n, found in sizes.items():
+    sizes: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    for lang, n, at, size in counts.groupBy("lang", "n", step.alias("at")).count().collect():
+        sizes.setdefault((lang, n), []).append((at, size))
+    share = MOST // max(1, len({lang for lang, _ in sizes}))
+    floors = []
+    for (lang, n), found in sizes.items():
         total, floor = 0, None
         for at, size in sorted(found, reverse=True):
             total += size
-            if total > (max_words if n == 0 else max_grams):
+            if total > min(share, max_words if n == 0 else max_grams):
                 break
             floor = at
         if floor is not None:
-            keep |= (F.col("n") == n) & (step >= floor)
-    return counts.where(keep)
+            floors.append((lang, n, floor))
+    # A row per language and order.
+    table = counts.sparkSession.createDataFrame(floors, "lang string, n int, floor int")
+    kept = counts.join(F.broadcast(table), ["lang", "n"]).where(step >= F.col("floor")).select("n", "gram").distinct()
+    # At most ``MOST`` words and ``MOST`` grams of each order.
+    kept, _ = broadcast_if_small(cut_lineage(kept))
+    return counts.join(kept, ["n", "gram"], "left_semi")
 
 
 class Model:
@@ -192,7 +208,7 @@ class Model:
 
 
 def train(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
-    """A model of at most ``max_words + 4 * max_grams`` entries from all rows of ``text, lang``."""
+    """A model of at most ``max_words + 4 * max_grams`` grams of each language from all rows of ``text, lang``."""
     with scratch(docs.sparkSession):
         words = cut_lineage(count_words(docs))
         counts = words.unionByName(cut_lineage(count_grams(words)))
@@ -212,7 +228,7 @@ def identify(docs: DataFrame, model: Model, drop: tuple = ()) -> DataFrame:
     empty; columns named like the added ones are replaced. Ties go to the language that
     sorts first.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         found = [shared.value.predict(text) for text in batch.column("text").to_pylist()]
@@ -232,4 +248,6 @@ def language_id(docs: DataFrame, drop: tuple = (), **bounds: int) -> DataFrame:
 def accepted(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose text is clearly of one learned language."""
     clear = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)
-    return keeping_columns(docs, ("doc_id", "text", "lang"), lambda d: language_id(d).where(clear))
+    return without(
+        docs, ("doc_id", "text", "lang"), lambda d: language_id(d, drop=("text", "lang")).where(~clear)
+    )

@@ -92,15 +92,28 @@ def copies_of(sizes: np.ndarray, rate: float, most: int) -> np.ndarray:
     return out
 
 
+def _repeats(rows: DataFrame, bucket_docs: int) -> DataFrame:
+    """``_source, doc_id, digest, _shares`` of rows repeated whole so often that they would crowd
+    their bucket, of ``_source, _bucket, doc_id, digest``."""
+    crowded = rows.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 4 * bucket_docs)
+    crowded, _ = broadcast_if_small(cut_lineage(crowded.select(F.col("_source").alias("_of"), F.col("_bucket").alias("_at"))))
+    inside = rows.join(crowded, rows["_source"].eqNullSafe(F.col("_of")) & (rows["_bucket"] == F.col("_at")), "left_semi")
+    counts = inside.groupBy("_source", "doc_id", "digest").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > bucket_docs).select(
+        "_source", "doc_id", "digest", F.ceil(F.col("_n") / bucket_docs).alias("_shares")
+    )
+
+
 def mix_plan(docs: DataFrame, most: int = MOST, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
     """``doc_id, size, source_size, target, rate, copies, taken`` and the locator of every row.
 
     ``taken = copies * size``, with at most ``most`` copies. A null source is one of its own;
-    a null or empty text has size 0 and no copies. Repeated rows are documents of their own;
-    rows that agree in size and id are told apart by their locator. Reruns over the same
-    files agree. An empty table gives an empty plan.
+    a null or empty text has size 0 and no copies. Repeated rows are documents of their own,
+    told apart by their locator. Buckets and the order within go by id and text, so reruns
+    agree, also over other files of the same rows. An empty table gives an empty plan.
     """
-    rows = located(docs).select("doc_id", "source", FILE, ROW, size_column(F.col("text")).alias("size"))
+    text = F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest")
+    rows = located(docs).select("doc_id", "source", FILE, ROW, size_column(F.col("text")).alias("size"), text)
     rows = cut_lineage(rows)
     totals = cut_lineage(rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size")))
     sources = cut_lineage(rates(targets(cut_lineage(weighted(totals)), most=most)))
@@ -108,20 +121,27 @@ def mix_plan(docs: DataFrame, most: int = MOST, bucket_docs: int = BUCKET_DOCS)
     key, _ = broadcast_if_small(sources.withColumnRenamed("source", "_source"))
     rows = rows.join(key, rows["source"].eqNullSafe(F.col("_source")))
     # A hot source is dealt over as many buckets as it needs, each rounded by itself.
-    bucket = F.pmod(F.xxhash64("doc_id", ROW), F.ceil(F.col("n") / bucket_docs))
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "digest"), F.ceil(F.col("n") / bucket_docs)))
+    repeats, _ = broadcast_if_small(cut_lineage(_repeats(rows, bucket_docs)))
+    of = {"_source": "_of", "doc_id": "_id", "digest": "_digest"}
+    same = [rows[c].eqNullSafe(F.col(name)) for c, name in of.items()]
+    rows = rows.join(repeats.withColumnsRenamed(of), same, "left")
+    # Such rows are rounded apart from the others; which of them is taken makes no difference.
+    share = F.coalesce(F.pmod(F.xxhash64(FILE, ROW), F.col("_shares")) + 1, F.lit(0)).alias("_share")
     columns = ["doc_id", FILE, ROW, "size", "source_size", "target", "rate"]
 
     def round_bucket(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["size", "doc_id", FILE, ROW], ascending=[False, True, True, True], kind="stable")
+        order = ["size", "doc_id", "digest", FILE, ROW]
+        part = part.sort_values(order, ascending=[False, True, True, True, True], kind="stable")
         copies = copies_of(part["size"].to_numpy(), float(part["rate"].iloc[0]), most)
         return part[columns].assign(copies=copies, taken=copies * part["size"].to_numpy())
 
-    dealt = rows.select("_source", bucket.alias("_bucket"), *columns)
+    dealt = rows.select("_source", "_bucket", share, "digest", *columns)
     schema = T.StructType(
         [dealt.schema[c] for c in columns]
         + [T.StructField("copies", T.LongType()), T.StructField("taken", T.LongType())]
     )
-    return dealt.groupBy("_source", "_bucket").applyInPandas(round_bucket, schema)
+    return dealt.groupBy("_source", "_bucket", "_share").applyInPandas(round_bucket, schema)
 
 
 @shielded("doc_id", "text", "source")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill.lineage import broadcast_if_small, cut_lineage, settle
-from pagemill.llm.rows import FILE, ROW, keeping_columns, located, shielded, text_of
+from pagemill.llm.rows import FILE, ROW, keeping_columns, located, python_stage, share, shielded, text_of
 from pagemill.llm.words import ALNUM, Words, ngrams, word_blocks
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -145,7 +145,7 @@ def samples(hashes: np.ndarray, weight: np.ndarray, first: np.ndarray) -> np.nda
 
 def signatures(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     """``node, sig array<int>`` of ``node, text``, one per node; none without a word."""
-    shared = texts.sparkSession.sparkContext.broadcast(idf)
+    shared = share(texts.sparkSession, idf)
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,7 +282,7 @@ def links(pairs: DataFrame, rows: DataFrame, idf: np.ndarray, least: float) -> D
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted, _ = broadcast_if_small(cut_lineage(nodes))
     texts = cut_lineage(rows.select("node", "text").join(wanted, "node").dropDuplicates(["node"]))
-    shared = rows.sparkSession.sparkContext.broadcast(idf)
+    shared = share(rows.sparkSession, idf)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -421,7 +421,7 @@ def connected(
     tasks = spread.select(
         "bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "root"
     )
-    shared = rows.sparkSession.sparkContext.broadcast(idf)
+    shared = share(rows.sparkSession, idf)
 
     def join(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("node")
@@ -493,4 +493,5 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def one_per_class(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` per class of near copies."""
-    return keeping_columns(docs, ("doc_id", "text"), lambda d: near_dedup(d).where("kept"))
+    with python_stage(docs.sparkSession):  # all that runs in Python is saved when near_dedup returns
+        return keeping_columns(docs, ("doc_id", "text"), lambda d: near_dedup(d).where("kept"))

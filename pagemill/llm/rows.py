@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from pagemill.lineage import cut_lineage
+from pagemill.lineage import broadcast_if_small, cut_lineage
 
 # Locator of a row: hashed path of its file, and its position in that file.
 FILE, ROW = "_at_file", "_at_row"
@@ -99,6 +102,51 @@ def shielded(*needed: str) -> Callable:
     return wrap
 
 
+# Bytes of a batch that a Python worker is sent where a stage of the pipeline runs: the batch,
+# its copy in the executor and what is computed of it are held at a time.
+BATCH_BYTES = "8m"
+_shared: ContextVar[list | None] = ContextVar("pagemill-shared", default=None)
+
+
+def share(spark: SparkSession, value: object) -> Broadcast:
+    """A value for the Python workers; a :func:`python_stage` around it ends it."""
+    out = spark.sparkContext.broadcast(value)
+    if (own := _shared.get()) is not None:
+        own.append(out)
+    return out
+
+
+@contextmanager
+def python_stage(spark: SparkSession) -> Iterator[None]:
+    """For jobs that run to their end within: small batches, and shared values go at the end."""
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(size)
+    token = _shared.set([])
+    spark.conf.set(size, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(size, before)
+        for value in _shared.get():
+            value.destroy()
+        _shared.reset(token)
+
+
+def without(docs: DataFrame, needed: tuple[str, ...], refused: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows of ``docs`` but those whose locators ``refused`` returns.
+
+    ``refused`` gets the columns ``needed`` and the locator. Its result is saved, a few bytes
+    per refused row, and the rows meet it in the JVM: their texts go to Python but not back.
+    """
+    spark, rows = docs.sparkSession, located(docs.withColumnsRenamed(_neutral(docs, needed)))
+    names = _neutral(docs, needed)
+    with python_stage(spark):
+        out = cut_lineage(refused(rows.select(*needed, FILE, ROW)).select(F.col(FILE).alias("_no_file"), F.col(ROW).alias("_no_row")))
+    out, _ = broadcast_if_small(out)
+    same = (F.col(FILE) == F.col("_no_file")) & (F.col(ROW) == F.col("_no_row"))
+    return rows.join(out, same, "left_anti").select(*(F.col(names.get(c, c)).alias(c) for c in docs.columns))
+
+
 def keeping_columns(docs: DataFrame, needed: tuple[str, ...], judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The rows that ``judge`` returns, with exactly the columns of ``docs``, those named like
     one that ``judge`` adds included."""

@@ -644,3 +644,89 @@ def test_cascade_is_exact(spark, share, bits):
     assert len(levels) > 1 if 0 < share < 1 else len(levels) <= 1
     wrong = universe.where(url_filter.listed_by(levels, F.col("key")) != F.col("listed"))
     assert wrong.count() == 0
+
+
+# --- what stages leave behind ------------------------------------------------------
+
+
+def test_numerals_are_no_letters(spark):
+    docs = spark.createDataFrame([(0, "some words here", "en"), (2, "½ ² ①", None), (3, "Ⅷ ৴ 12", None), (5, "ª", None)], "doc_id bigint, text string, lang string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.language_id(docs).collect()}
+    assert found[2] == found[3] == ("und", 0.0) and found[0][0] == found[5][0] == "en"
+    assert langid.words_of("x²y Ⅷa 一二") == {"x": 1, "y": 1, "a": 1, "一二": 1}
+
+
+def test_a_rare_language_keeps_its_words(spark):
+    """A language with 1/1000 of the text, in a model too small for all words of the other."""
+    rng = np.random.default_rng(3)
+    letters = list("abcdefghijklmnop")
+    common = ["".join(rng.choice(letters, 6)) for _ in range(20_000)]
+    rare = ["".join(rng.choice(letters, 6)) for _ in range(300)]
+    docs = [(" ".join(rng.choice(common, 200)), "aa") for _ in range(2000)]
+    docs += [(" ".join(rng.choice(rare, 200)), "zz") for _ in range(2)]
+    df = spark.createDataFrame(docs, "text string, lang string")
+    model = langid.train(df, max_words=400, max_grams=400)
+    assert len(model.index[0]) <= 800
+    texts = [" ".join(rng.choice(rare, 30)) for _ in range(50)]
+    assert np.mean([model.predict(t)[0] == "zz" for t in texts]) >= 0.9
+    assert np.mean([model.predict(" ".join(rng.choice(common, 30)))[0] == "aa" for _ in range(50)]) >= 0.9
+
+
+def test_model_scores_like_brute_force(spark, documents):
+    """Log frequencies of known words, and of the longest known n-grams of the others."""
+    rows = [(d[1], d[2]) for d in documents[:80] if d[1]]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"), max_words=10**9, max_grams=10**9)
+    counts = defaultdict(Counter)
+    for text, lang in rows:
+        counts[lang, 0].update(langid.words_of(text))
+    langs = sorted({lang for _, lang in rows})
+    for lang in langs:
+        for n in langid.ORDERS:
+            for word in counts[lang, 0]:
+                counts[lang, n].update(langid.grams_of(word, n))
+    kinds = {n: max(len(counts[lang, n]) for lang in langs) for n in range(5)}
+    words = sum(counts[lang, 0].total() for lang in langs)
+
+    def frequency(lang, n, gram):
+        own = counts[lang, n]
+        return math.log((own[gram] + 0.5) / (own.total() + 0.5 * kinds[n] + 0.5))
+
+    for text in [d[1] for d in documents[80:110] if d[1]]:
+        scores = {lang: math.log(counts[lang, 0].total() / words + 1e-12) for lang in langs}
+        for word, times in langid.words_of(text).items():
+            for n in (0, *langid.ORDERS):
+                grams = [word] if n == 0 else langid.grams_of(word, n)
+                known = [g for g in grams if any(counts[lang, n][g] for lang in langs)]
+                if known:
+                    for lang in langs:
+                        scores[lang] += times * sum(frequency(lang, n, g) for g in known) / len(known)
+                    break
+        best = max(langs, key=scores.get)
+        share = 1 / sum(math.exp(s - scores[best]) for s in scores.values())
+        found = model.predict(text)
+        assert found[0] == best and found[1] == pytest.approx(share, rel=1e-6)
+
+
+def test_mix_does_not_depend_on_the_files(spark, tmp_path):
+    rows = [(i, "w " * (i % 37 + 1), f"s{i % 3}") for i in range(3000)] + [(5, "same text", "s1")] * 500
+    plans = []
+    for parts in (1, 7):
+        path = str(tmp_path / f"docs{parts}")
+        spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(parts, "doc_id").write.parquet(path)
+        plan = mixing.mix_plan(spark.read.parquet(path), bucket_docs=50)
+        plans.append(sorted(map(tuple, plan.select("doc_id", "size", "copies", "taken").where("doc_id != 5").collect())))
+    assert plans[0] == plans[1] and sum(p[2] for p in plans[0]) > 0
+
+
+def test_stages_leave_settings_and_broadcasts_as_they_were(spark):
+    from pagemill.llm import rows
+
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, destroyed = spark.conf.get(size), []
+    with rows.python_stage(spark):
+        value = rows.share(spark, [1])
+        assert spark.conf.get(size) != before
+        value.destroy, destroy = lambda: destroyed.append(value), value.destroy
+    assert spark.conf.get(size) == before and destroyed == [value]
+    destroy()
+    assert rows.share(spark, [2]).value == [2]
