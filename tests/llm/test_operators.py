@@ -730,3 +730,60 @@ def test_stages_leave_settings_and_broadcasts_as_they_were(spark):
     assert spark.conf.get(size) == before and destroyed == [value]
     destroy()
     assert rows.share(spark, [2]).value == [2]
+
+
+# --- wrapped headers and whole license files ---------------------------------------
+
+
+def wrap(text, width, mark=""):
+    import textwrap
+
+    return "\n".join(f"{mark}{line}" for line in textwrap.wrap(" ".join(text.split()), width))
+
+
+LICENSE_TEXTS = [t for _, t in licenses.TEXTS]
+HEADERS = [
+    ("a/gpl", "This work is licensed under the GNU General Public License,\nversion 3.", "GPL-3.0"),
+    ("a/gpl2", "This work is licensed under the GNU General Public License,\nversion 2.", "GPL-2.0"),
+    ("b/apache", "# Licensed under the Apache License,\n# Version 2.0.\nprint('hello')\n" * 1 + "x = 1\n" * 40, "Apache-2.0"),
+    ("c/mit", " ".join(LICENSE_TEXTS[1].split()) + "\n" + "other words follow here\n" * 30, "MIT"),
+    ("d/LICENSE", wrap(LICENSE_TEXTS[2], 72), "MIT"),
+    ("d/sub/code", "nothing to see", None),
+    ("e/COPYING", wrap(LICENSE_TEXTS[3], 60), "BSD-3-Clause"),
+    ("e/deep/er/code", "nothing to see either", None),
+    ("f/code", "/*\n" + wrap(LICENSE_TEXTS[0], 60, " * ") + "\n */\nint main;\n" + "return x;\n" * 50, "Apache-2.0"),
+    ("f/other", "int other;", None),
+    ("g/isc", "; " + wrap(LICENSE_TEXTS[4], 50, "; "), "ISC"),
+    ("h/gpl", "// " + wrap(LICENSE_TEXTS[5], 40, "// ") + "\ncode();\n" + "more();\n" * 60, "GPL-3.0"),
+    ("i/gpl", "-- " + wrap(LICENSE_TEXTS[6], 50, "-- ") + "\nselect 1;\n" + "select 2;\n" * 60, "GPL-2.0"),
+]
+
+
+def test_wrapped_headers_and_license_files(spark):
+    """Among the documents of the tables, so that their frequencies count."""
+    corpus = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.concat(F.lit("corpus/"), F.col("doc_id").cast("string"), F.lit("/x")).alias("path"), "text"
+    )
+    rows = [(-1 - i, path, text) for i, (path, text, _) in enumerate(HEADERS)]
+    found = licenses.license_scan(spark.createDataFrame(rows, corpus.schema).unionByName(corpus))
+    got = {r.path: (r.license, r.license_from) for r in found.where("doc_id < 0").collect()}
+    own = {path: (name, "own") for path, _, name in HEADERS if name}
+    assert {p: got[p] for p in own} == own
+    # Files of a license cover what is below them; a header does not.
+    assert got["d/sub/code"] == ("MIT", "inherited") and got["e/deep/er/code"] == ("BSD-3-Clause", "inherited")
+    assert got["f/other"] == (None, None)
+
+
+def test_inheritance_against_brute_force(spark):
+    rng = np.random.default_rng(11)
+    paths = sorted({"/".join(rng.choice(list("abc"), rng.integers(1, 6))) + f"/f{i}" for i in range(150)})
+    text = {p: ("Released under the MIT License." if i % 17 == 0 else "This work is licensed under the GNU General Public License, version 3." if i % 23 == 0 else "code") for i, p in enumerate(paths)}
+    licensed = {p.rsplit("/", 1)[0]: "MIT" if "MIT" in t else "GPL-3.0" for p, t in text.items() if t != "code"}
+    both = {d for d in licensed if len({t for p, t in text.items() if p.rsplit("/", 1)[0] == d and t != "code"}) > 1}
+    found = licenses.license_scan(spark.createDataFrame([(p, t) for p, t in text.items()], "path string, text string"))
+    for r in found.where("text = 'code'").collect():
+        parts = r.path.split("/")[:-1]
+        above = ["/".join(parts[:n]) for n in range(len(parts), -1, -1)]
+        nearest = next((d for d in above if d in licensed), None)
+        if nearest not in both:
+            assert (r.license, r.license_from) == ((licensed[nearest], "inherited") if nearest is not None else (None, None))
