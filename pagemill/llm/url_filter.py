@@ -4,7 +4,9 @@ The cascade holds the listed keys exactly with respect to the complete set of ke
 occur: level 1 encodes the listed keys, level 2 the other keys that level 1 takes for
 listed, level 3 the listed keys that level 2 takes for those, and so on until no key is
 mistaken. Whoever asks for a key of that set gets the true answer from the levels alone,
-which travel as literals in the plan; no row is joined.
+which travel as literals in the plan; no row is joined. Levels are as small as the whole
+cascade allows: the first mistakes about as many other keys as keys are listed, each further
+one half of what it is asked.
 """
 
 from __future__ import annotations
@@ -28,11 +30,14 @@ RULES = (
 )
 # Words that list a host if one of its labels has them between hyphens.
 LISTED_WORDS = ("ads", "adult", "bets", "casino", "pills", "spam")
-BITS_PER_KEY = 8
+# Share of the keys not in it that a level behind the first mistakes.
+MISTAKEN = 0.5
 # Bits of one block of a bitmap, fixed by the bitmap functions.
 BLOCK_BITS = 32_768
-# Keys that a level may hold, 16 MB of bits; a longer list is joined instead.
+# Keys that a level may hold, at most 46 MB of bits; a longer list is joined instead.
 MAX_KEYS = 16_000_000
+# Least share of mistaken keys at the first level.
+LEAST_MISTAKEN = 1e-7
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Up to the first "://", the host, the path.
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -89,23 +94,38 @@ class Level:
         )
 
 
-def build_level(keys: DataFrame, n: int, seed: int, bits_per_key: int = BITS_PER_KEY) -> Level:
-    """The filter of ``n`` keys: blocks of bits are set where the keys are, and then laid end to end."""
-    bits = BLOCK_BITS * max(1, math.ceil(n * bits_per_key / BLOCK_BITS))
-    empty = Level(seed, bits, max(1, round(bits_per_key * math.log(2))), "")
+def build_level(keys: DataFrame, n: int, seed: int, mistaken: float = MISTAKEN) -> Level:
+    """The filter of ``n`` keys that takes about ``mistaken`` of the others for one of them: blocks
+    of bits are set where the keys are, and then laid end to end."""
+    hashes = max(1, round(-math.log2(mistaken)))
+    bits = max(1, math.ceil(n * -math.log(mistaken) / math.log(2) ** 2))
+    empty = Level(seed, bits, hashes, "")
     places = keys.select(F.explode(empty.positions(F.col("key"))).alias("p"))
     blocks = places.groupBy(F.bitmap_bucket_number("p").alias("at")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")
     )
     size = BLOCK_BITS // 8
-    out = bytearray(bits // 8)
-    for at, part in blocks.collect():  # n * bits_per_key bits, at most MAX_KEYS * bits_per_key
+    out = bytearray(math.ceil(bits / BLOCK_BITS) * size)
+    for at, part in blocks.collect():  # the bits of at most MAX_KEYS keys
         out[(at - 1) * size : at * size] = part
-    return Level(seed, bits, empty.hashes, ",".join(map(str, struct.unpack(f"<{len(out) // 8}q", bytes(out)))))
+    words = math.ceil(bits / 64)
+    return Level(seed, bits, hashes, ",".join(map(str, struct.unpack(f"<{words}q", bytes(out[: 8 * words])))))
 
 
-def build_cascade(universe: DataFrame, bits_per_key: int = BITS_PER_KEY) -> list[Level]:
-    """Levels that tell the listed from the other keys of ``key, listed``, which are distinct."""
+def first_mistaken(n_listed: int, n_other: int) -> float:
+    """Share of the other keys that the first level may take for listed ones: as many, about, as
+    there are listed keys (Larisch et al., 2017, give the root of a half of that ratio)."""
+    return min(MISTAKEN, max(LEAST_MISTAKEN, math.sqrt(MISTAKEN) * n_listed / max(1, n_other)))
+
+
+def build_cascade(universe: DataFrame, bits_per_key: float | None = None) -> list[Level]:
+    """Levels that tell the listed from the other keys of ``key, listed``, which are distinct.
+
+    ``bits_per_key`` sets the size of all levels, which else is fitted to the keys.
+    """
+    n_listed, n_all = universe.agg(F.count_if("listed"), F.count(F.lit(1))).first()
+    fixed = None if bits_per_key is None else math.exp(-bits_per_key * math.log(2) ** 2)
+    first = fixed or first_mistaken(n_listed, n_all - n_listed)
     levels: list[Level] = []
     passing = universe
     while True:
@@ -113,7 +133,8 @@ def build_cascade(universe: DataFrame, bits_per_key: int = BITS_PER_KEY) -> list
         n = coded.count()
         if not n:
             return levels
-        levels.append(build_level(coded, n, seed=len(levels) + 1, bits_per_key=bits_per_key))
+        share = first if not levels else fixed or MISTAKEN
+        levels.append(build_level(coded, n, seed=len(levels) + 1, mistaken=share))
         passing = passing.where(levels[-1].has(F.col("key")))
 
 

@@ -787,3 +787,26 @@ def test_inheritance_against_brute_force(spark):
         nearest = next((d for d in above if d in licensed), None)
         if nearest not in both:
             assert (r.license, r.license_from) == ((licensed[nearest], "inherited") if nearest is not None else (None, None))
+
+
+def test_cascade_of_the_query_alternates(spark):
+    """The registered query's keys need several levels, and the levels alone tell them apart."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    hosts = pages.select(url_filter.host_of(F.col("url")).alias("host")).distinct()
+    keys = hosts.select(F.explode(url_filter.suffixes(F.col("host"))).alias("key")).distinct()
+    universe = keys.select("key", url_filter.listed_words(F.col("key")).alias("listed"))
+    levels = url_filter.build_cascade(universe)
+    assert len(levels) >= 2
+    judged = universe.withColumn("found", url_filter.listed_by(levels, F.col("key")))
+    assert judged.where("found != listed").count() == 0
+
+
+@pytest.mark.parametrize("n, every", [(20_000, 50), (20_000, 2), (3, 1), (50, 60)])
+def test_fitted_cascade_is_exact_and_small(spark, n, every):
+    universe = spark.range(n).selectExpr("concat('host', id, '.example') as key", f"id % {every} = 0 as listed")
+    levels = url_filter.build_cascade(universe)
+    judged = universe.withColumn("found", url_filter.listed_by(levels, F.col("key")))
+    assert judged.where("found != listed").count() == 0
+    # A few bits per listed key in all, whatever the number of other keys.
+    listed = -(-n // every)
+    assert sum(level.bits for level in levels) <= 64 * len(levels) + listed * (6 + 1.5 * math.log2(max(2, every)))
