@@ -43,14 +43,17 @@ def parse_pagecounts(
     if strict:
         return lines.select(*columns)
 
-    dated = day.isNotNull() if file else F.lit(True)
-    good = views.isNotNull() & dated
+    # Out of a generator, so that the tests below do not parse each line once more.
+    parsed = lines.select("value", F.size(fields).alias("_fields"), F.inline(F.array(F.struct(*columns))))
+    dated = F.col("day").isNotNull() if file else F.lit(True)
     reason = (
-        F.when(F.size(fields) < 3, "too few fields")
+        F.when(F.col("_fields") < 3, "too few fields")
         .when(~dated, "no date in file name")
         .otherwise("views is not a number")
     )
-    return lines.where(good).select(*columns), lines.where(~good).select("value", reason.alias("reason"))
+    good = F.col("views").isNotNull() & dated
+    names = ["project", "title", "views", "bytes", *(["day", "file"] if file else [])]
+    return parsed.where(good).select(*names), parsed.where(~good).select("value", reason.alias("reason"))
 
 
 def read_pagecounts(
