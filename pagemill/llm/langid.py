@@ -12,8 +12,6 @@ backs off to shorter n-grams like any other unseen word.
 from __future__ import annotations
 
 import re
-import sys
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,13 +22,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pagemill.lineage import broadcast_if_small, cut_lineage, scratch
 from pagemill.llm.rows import add_columns, share, shielded, without
 
-def letters() -> re.Pattern:
-    """Runs of letters of any script: characters of category L, so no numerals such as a half."""
-    numerals = (c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
-    return re.compile(rf"[^\W\d_{''.join(numerals)}]+")
-
-
-WORD = letters()
+# Letters of any script, and numerals such as a half that are no digits.
+WORD = re.compile(r"[^\W\d_]+")
 # Orders of n-grams, longest first; a word counts as order 0.
 ORDERS = (4, 3, 2, 1)
 # Words, and n-grams of each order, that each language has its most frequent of in the model; all
@@ -49,11 +42,17 @@ _COUNTS = "lang string, n int, gram string, count bigint"
 
 
 def words_of(text: str) -> Counter:
-    """Lower-cased words of a whole text with their counts."""
+    """Lower-cased words of a whole text with their counts: runs of letters (category L)."""
     text = text.lower()
     if len(text) <= LIST_CHARS:
-        return Counter(WORD.findall(text))
-    return Counter(m.group() for m in WORD.finditer(text))
+        words = Counter(WORD.findall(text))
+    else:
+        words = Counter(m.group() for m in WORD.finditer(text))
+    for word in [w for w in words if not w.isalpha()]:
+        times = words.pop(word)
+        for part in "".join(c if c.isalpha() else " " for c in word).split():
+            words[part] += times
+    return words
 
 
 def grams_of(word: str, n: int) -> list[str]:
