@@ -6,6 +6,7 @@ import pytest
 
 from pagemill.__main__ import main
 from pagemill.lineage import shared_folder
+from pagemill.plans import jobs
 
 
 def read(path):
@@ -143,3 +144,26 @@ def test_long_histories_are_parts(spark, data):
         "Bob\t3!@#20070101000002 20070101000003!@#2 1!@#add!@#0!@#2",
         "Bob\t3!@#20070101000004!@#1!@#add!@#1!@#1",
     ]
+
+
+def test_sort_by_count(spark, tmp_path):
+    (tmp_path / "counts").write_text("10 b  two  spaces\n9\ta\n10\ta\n-1 c\n")
+    for files in (None, 1, 2):
+        target = tmp_path / f"sorted{files}"
+        jobs.sort_by_count(spark, str(tmp_path / "counts"), str(target), files)
+        parts = sorted(f for f in target.iterdir() if f.name.startswith("part-"))
+        assert [line for f in parts for line in f.read_text().splitlines()] == ["-1\tc", "9\ta", "10\ta", "10\tb  two  spaces"]
+        assert files is None or len(parts) == files
+    (tmp_path / "bad").write_text("x y\n")
+    with pytest.raises(Exception, match="bad number in 'count'"):
+        jobs.sort_by_count(spark, str(tmp_path / "bad"), str(tmp_path / "never"))
+
+
+def test_arguments_of_the_lookups():
+    from pagemill.__main__ import parser
+
+    args = parser().parse_args(["page-info", "ranks", "titles", "7", "--index", "saved"])
+    assert (args.ranks, args.titles, args.page_id, args.index) == ("ranks", "titles", 7, "saved")
+    assert parser().parse_args(["page-name", "titles", "7"]).index is None
+    args = parser().parse_args(["index-titles", "titles", "target"])
+    assert (args.job, args.titles, args.target) == ("index-titles", "titles", "target")
