@@ -1,13 +1,14 @@
-"""Repeated passages by prefix-partitioned suffix trees.
-
-A passage of ``WINDOW`` words is repeated if two documents hold it. Of all suffixes only
-those are sorted into trees that start in a window whose anchor occurs in two documents: the
-anchor is the run of ``GRAM`` words with the smallest hash in the window, so equal windows
-have equal anchors and nothing is lost. The anchor is the prefix that partitions the
-suffixes; each group of suffixes is small enough for memory, and becomes a tree down to
-depth ``WINDOW`` by doubling the depth at which suffixes are told apart. Where one prefix
-has too many suffixes it is lengthened to the whole window, which is a node of that depth by
-itself; only its smallest document has to be aggregated then.
+"""Repeated passages by anchors and rank doubling, in place of prefix-partitioned suffix trees.
+
+A passage of ``WINDOW`` words is repeated if two documents hold it. Only windows are
+compared whose anchor occurs in two documents: the anchor is the run of ``GRAM`` words with the
+smallest hash in the window, so equal windows have equal anchors and nothing is lost. The
+anchor partitions the passages into groups small enough for memory; within a group, the depth
+at which passages are told apart is doubled up to ``WINDOW``. That gives the classes of equal
+windows, which are one level of a suffix tree; no tree, no maximal repeats and no prefixes of
+other lengths are made, since nothing else is asked. Where one anchor has too many passages,
+they are grouped by a hash of the whole window; only its smallest document has to be
+aggregated then.
 
 The texts are shuffled twice, to the shared anchors of each and to the ranges cut out of it.
 """
