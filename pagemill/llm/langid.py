@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pagemill.lineage import broadcast_if_small, cut_lineage, scratch
@@ -28,7 +29,7 @@ WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (4, 3, 2, 1)
 # Words, and n-grams of each order, that each language has its most frequent of in the model; all
 # languages' counts of a kept one are kept. With many languages they share the most entries.
-MAX_WORDS, MAX_GRAMS, MOST = 50_000, 15_000, 1_000_000
+MAX_WORDS, MAX_GRAMS, MOST = 25_000, 10_000, 500_000
 SMOOTHING = 0.5
 # Unseen words whose n-grams a worker remembers.
 MAX_REMEMBERED = 200_000
@@ -152,23 +153,26 @@ def most_frequent(counts: DataFrame, max_words: int, max_grams: int) -> DataFram
 class Model:
     """Log frequencies of the kept entries; a row of ``table`` per entry, a column per language."""
 
-    def __init__(self, entries: list, totals: list) -> None:
+    def __init__(self, entries: pa.Table, totals: list) -> None:
+        """``entries`` are ``n, gram, lang, count`` in that order, sorted."""
         self.langs = sorted({t["lang"] for t in totals})
         column = {lang: i for i, lang in enumerate(self.langs)}
-        self.index: list[dict[str, int]] = [{} for _ in range(1 + max(ORDERS))]
         all_counts, kinds = np.zeros((1 + max(ORDERS), len(self.langs))), np.zeros(1 + max(ORDERS))
         for t in totals:
             all_counts[t["n"], column[t["lang"]]] = t["count"]
             kinds[t["n"]] = max(kinds[t["n"]], t["kinds"])
-        row = 0
-        for n, gram, *_ in entries:
-            if gram not in self.index[n]:
-                self.index[n][gram] = row
-                row += 1
-        table, order = np.zeros((row, len(self.langs))), np.zeros(row, dtype=int)
-        for n, gram, lang, count in entries:
-            at = self.index[n][gram]
-            table[at, column[lang]], order[at] = count, n
+        orders, grams = entries["n"].to_numpy(), entries["gram"].combine_chunks().dictionary_encode()
+        codes = grams.indices.to_numpy(zero_copy_only=False)
+        first = np.ones(len(codes), dtype=bool)
+        first[1:] = (codes[1:] != codes[:-1]) | (orders[1:] != orders[:-1])
+        names = grams.dictionary.to_pylist()
+        self.index: list[dict[str, int]] = [{} for _ in range(1 + max(ORDERS))]
+        for row, (n, code) in enumerate(zip(orders[first].tolist(), codes[first].tolist())):
+            self.index[n][names[code]] = row
+        order = orders[first]
+        table = np.zeros((len(order), len(self.langs)))
+        of = pc.index_in(entries["lang"], pa.array(self.langs, pa.string())).to_numpy()
+        table[np.cumsum(first) - 1, of] = entries["count"].to_numpy()
         self.table = np.log((table + SMOOTHING) / (all_counts[order] + SMOOTHING * kinds[order][:, None] + SMOOTHING))
         share = all_counts[0] / max(1.0, all_counts[0].sum())
         self.prior = np.log(share + 1e-12)
@@ -214,7 +218,8 @@ def train(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAM
         totals = counts.groupBy("lang", "n").agg(F.sum("count").alias("count"), F.count(F.lit(1)).alias("kinds"))
         entries = most_frequent(counts, max_words, max_grams).select("n", "gram", "lang", "count")
         # Sorted, since the order of a shuffle is not repeatable and sums of floats depend on it.
-        return Model(sorted(map(tuple, entries.collect())), totals.orderBy("lang", "n").collect())
+        held = entries.toArrow().sort_by([(c, "ascending") for c in ("n", "gram", "lang")])
+        return Model(held, totals.orderBy("lang", "n").collect())
 
 
 @shielded("text", "lang")
