@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagemill.lineage import broadcast_if_small, cut_lineage
+from pagemill.llm.rows import python_stage, share
 from pagemill.llm.tokens import gather
 from pagemill.llm.words import Words, mix, ngrams, word_blocks
 
@@ -145,7 +146,7 @@ def phrase_counts(docs: DataFrame, n: int, known: Filter | None = None) -> DataF
     ``docs`` are ``lang, text``. For ``n = 1`` there is also a row per language without a
     phrase, with the number of its words.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(known)
+    shared = share(docs.sparkSession, known)
 
     def count(lang: str, held: list[pa.Array]) -> pa.RecordBatch:
         counts = pc.value_counts(pa.chunked_array(held, pa.large_string()))
@@ -232,7 +233,8 @@ def collocations(
     read, so other columns may have any name. An empty table gives no rows.
     """
     read = docs.select(F.coalesce(docs["lang"], F.lit(UNKNOWN)).alias("lang"), F.coalesce(docs["text"], F.lit("")).alias("text"))
-    totals, orders = streams(read, longest, least)
+    with python_stage(docs.sparkSession):  # all counts are saved when it ends
+        totals, orders = streams(read, longest, least)
     kept = None
     for n in range(2, longest + 1):
         own = orders[n - 1].select("lang", "phrase", "f", weakest_cut(n).alias("cut"))
