@@ -399,7 +399,7 @@ def test_step_leaves_the_edges_in_place(spark, spread_links, rank_shuffles):
         assert (len(by_target), len(by_source)) == (2, 2 * rank_shuffles)
         # Each of the two steps reads the saved buckets of the links, neither dealt nor sorted.
         assert len(re.findall(r"Scan parquet spark_catalog\S*pagemill_\w+\[src.*Bucketed: true", plan)) == 2
-        assert "Sort [" not in plan and "InMemory" not in plan
+        assert "+- Sort [" not in plan and "InMemoryTableScan" not in plan, plan
     finally:
         graph.release()
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
