@@ -195,12 +195,13 @@ def license_lines(rows: DataFrame, weights: Weights, threshold: float = THRESHOL
     """Locator, ``line`` (its place among the segments), ``kind, license, cosine, words`` of the
     segments that are close to a template."""
     spark = rows.sparkSession
-    any_needed = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(weights.needed)})(?![\p{{L}}\p{{N}}])"
+    # Tested as sets of words: an expression of so many words would try each at every character.
+    needed = F.array(*map(F.lit, weights.needed))
     text = F.lower(text_of(rows))
-    parts = rows.where(F.rlike(text, F.lit(any_needed))).select(FILE, ROW, F.posexplode(segments(text)).alias("line", "p"))
-    lines = parts.where(F.rlike("p.s", F.lit(any_needed))).select(
-        FILE, ROW, "line", F.col("p.kind").alias("kind"), words_of(F.col("p.s")).alias("w")
-    )
+    held = rows.where(F.arrays_overlap(F.split(text, _NO_WORD), needed))
+    parts = held.select(FILE, ROW, F.posexplode(segments(text)).alias("line", "p"))
+    lines = parts.select(FILE, ROW, "line", F.col("p.kind").alias("kind"), words_of(F.col("p.s")).alias("w"))
+    lines = lines.where(F.arrays_overlap("w", needed))
     line = [FILE, ROW, "line", "kind", "words"]
     terms = lines.select(FILE, ROW, "line", "kind", F.size("w").alias("words"), F.explode("w").alias("word"))
     terms = terms.groupBy(*line, "word").count()
