@@ -170,13 +170,20 @@ def document_frequencies(docs: DataFrame, templates: tuple = ALL) -> tuple[int,
     return counts.pop("", 0), counts
 
 
-def segments(text: Column) -> Column:
+def bare_lines(text: Column) -> Column:
+    """Lines without the marks of comments."""
+    return F.transform(F.split(text, r"\r\n|\r|\n"), lambda x: F.regexp_replace(F.regexp_replace(x, _MARKS, ""), _END_MARKS, ""))
+
+
+def segments(text: Column, lines: Column, full: Column) -> Column:
     """``kind, s``: lines and sentences (``line``), what stands in wrapped headers (``wrapped``), and
-    the whole text (``file``)."""
-    lines = F.transform(F.split(text, r"\r\n|\r|\n"), lambda x: F.regexp_replace(F.regexp_replace(x, _MARKS, ""), _END_MARKS, ""))
+    the whole text (``file``).
+
+    ``lines`` are the :func:`bare_lines`, ``full`` those that are not empty: columns of their
+    own, since each window would evaluate an expression once more.
+    """
     paragraphs = F.transform(F.split(F.array_join(lines, "\n"), r"\n{2,}"), lambda p: F.replace(p, F.lit("\n"), F.lit(" ")))
     sentences = F.flatten(F.transform(paragraphs, lambda p: F.split(p, r"(?<=[.!?])\s+")))
-    full = F.filter(lines, lambda x: x != "")
 
     def windows(size: int) -> Column:
         starts = F.when(F.size(full) >= size, F.sequence(F.lit(1), F.size(full) - size + 1))
@@ -199,7 +206,10 @@ def license_lines(rows: DataFrame, weights: Weights, threshold: float = THRESHOL
     needed = F.array(*map(F.lit, weights.needed))
     text = F.lower(text_of(rows))
     held = rows.where(F.arrays_overlap(F.split(text, _NO_WORD), needed))
-    parts = held.select(FILE, ROW, F.posexplode(segments(text)).alias("line", "p"))
+    cut = held.select(FILE, ROW, text.alias("_text"), bare_lines(text).alias("_lines"))
+    cut = cut.withColumn("_full", F.filter("_lines", lambda x: x != ""))
+    all_parts = segments(F.col("_text"), F.col("_lines"), F.col("_full"))
+    parts = cut.select(FILE, ROW, F.posexplode(all_parts).alias("line", "p"))
     lines = parts.select(FILE, ROW, "line", F.col("p.kind").alias("kind"), words_of(F.col("p.s")).alias("w"))
     lines = lines.where(F.arrays_overlap("w", needed))
     line = [FILE, ROW, "line", "kind", "words"]
