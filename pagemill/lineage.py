@@ -85,14 +85,18 @@ def settle(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int]:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None, strict: bool = False) -> tuple[DataFrame, int]:
     """Mark a key table for broadcast if it has at most ``max_rows`` rows; also its row count.
 
     Beyond that the table comes back unmarked, so joins to it shuffle. ``df`` is read for
-    the count and again in the join, so it should be saved or persisted.
+    the count and again in the join, so it should be saved or persisted. Spark may still
+    broadcast an unmarked table by the size of the files it comes from, which says nothing of
+    the rows that an explode makes of them; ``strict`` keeps it from that.
     """
     n = df.count()
-    return (F.broadcast(df) if n <= (BROADCAST_ROWS if max_rows is None else max_rows) else df), n
+    if n <= (BROADCAST_ROWS if max_rows is None else max_rows):
+        return F.broadcast(df), n
+    return (df.hint("merge") if strict else df), n
 
 
 def spread_scan(df: DataFrame) -> DataFrame:

@@ -18,6 +18,9 @@ SIDES = {"user": ("user", "page_id"), "page": ("page_id", "user")}
 # Edits packed into one row unless a job says otherwise; a longer history continues in
 # further parts.
 PART_EDITS = 50_000
+# Parts of a key that a task may pack at once and then cut, as long as they have no more than
+# ``PART_EDITS`` edits together.
+PACKED_PARTS = 16
 
 
 def _sides(by: str) -> tuple[str, str]:
@@ -73,11 +76,20 @@ def _unpack(packed: DataFrame, key: str, part: Column, total: Column, latest: Co
     )
 
 
+def _cut(packed: DataFrame, key: str, part_edits: int, latest: Column) -> DataFrame:
+    """One row per ``part_edits`` of the packed entries, in order."""
+    n = F.size("entries")
+    parts = F.sequence(F.lit(0), F.floor((n - 1) / part_edits).cast("int"))
+    pieces = F.transform(parts, lambda i: F.slice("entries", i * part_edits + 1, part_edits))
+    return packed.select(key, n.alias("total"), latest.alias("latest"), F.posexplode(pieces).alias("part", "entries"))
+
+
 def edit_history(revisions: DataFrame, by: str = "page", part_edits: int = PART_EDITS) -> DataFrame:
     """``<key>, part, edits, total, timestamps, others, actions``: the packed history.
 
     A key with up to ``part_edits`` edits is one row with ``part`` 0. A busier key gets one
-    row per ``part_edits`` edits, in order, so no task ever holds its whole history.
+    row per ``part_edits`` edits, in order. One of a few small parts is packed by one task and
+    cut; no task ever holds the whole history of a busier one (``PACKED_PARTS``).
     ``edits`` is the number in the row, ``total`` that of the key; ``actions`` are the
     key's latest tags, on each of its rows. Edits with a null key are a history of their own.
     """
@@ -85,7 +97,8 @@ def edit_history(revisions: DataFrame, by: str = "page", part_edits: int = PART_
     log = revisions.select(
         key, F.col(other).cast("string").alias("other"), "ts", "rev_id", tag_mask(F.col("comment")).alias("mask")
     )
-    busy = edit_counts(revisions, by).where(F.col("edits") > part_edits)
+    packed_edits = max(part_edits, min(PACKED_PARTS * part_edits, PART_EDITS))
+    busy = edit_counts(revisions, by).where(F.col("edits") > packed_edits)
     busy = cut_lineage(busy)
     n_busy = busy.count()
     if n_busy:
@@ -93,7 +106,11 @@ def edit_history(revisions: DataFrame, by: str = "page", part_edits: int = PART_
         log = cut_lineage(log)
     quiet = _marked(log, busy, key).where("busy IS NULL").drop("busy") if n_busy else log
     latest = F.try_element_at(F.array_compact("entries.mask"), F.lit(-1))
-    history = _unpack(_pack(quiet, [key]), key, F.lit(0), F.size("entries"), latest)
+    history = _pack(quiet, [key])
+    if packed_edits > part_edits:
+        history = _unpack(_cut(history, key, part_edits, latest), key, F.col("part"), F.col("total"), F.col("latest"))
+    else:
+        history = _unpack(history, key, F.lit(0), F.size("entries"), latest)
     if n_busy:
         history = history.unionByName(_busy_history(_marked(log, busy, key).where("busy").drop("busy"), key, part_edits))
     return history.withColumn("actions", mask_tags(F.col("mask"))).drop("mask")
@@ -118,7 +135,7 @@ def _marked(log: DataFrame, busy: DataFrame, key: str) -> DataFrame:
     rows = log.withColumn("_share", F.pmod(F.xxhash64("rev_id"), F.lit(SHARES)).cast("int"))
     shares = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
     keys = busy.select(F.col(key).alias("_key"), F.lit(True).alias("busy"), shares.alias("_of"))
-    keys, _ = broadcast_if_small(keys)
+    keys, _ = broadcast_if_small(keys, strict=True)
     same = rows[key].eqNullSafe(F.col("_key")) & (rows["_share"] == F.col("_of"))
     return rows.join(keys, same, "left").drop("_key", "_of", "_share")
 
@@ -130,7 +147,7 @@ def _busy_history(log: DataFrame, key: str, part_edits: int) -> DataFrame:
     per_key = numbered.groupBy(key).agg(
         F.min("n").alias("first"), F.count(F.lit(1)).alias("total"), F.max_by("mask", tagged_at).alias("latest")
     )
-    per_key, _ = broadcast_if_small(cut_lineage(per_key))
+    per_key, _ = broadcast_if_small(cut_lineage(per_key), strict=True)
     part = F.floor((F.col("n") - F.col("first")) / part_edits)
     # The explicit repartition keeps a shuffled join by key from gathering a key in one task.
     parts = _joined(numbered, per_key, key, "inner").withColumn("part", part).repartition(key, "part")

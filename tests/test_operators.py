@@ -180,6 +180,49 @@ def test_hot_key_is_spread_before_it_is_packed(spark, revisions, no_broadcasts):
     assert re.search(r"ObjectHashAggregate.*\n.*Exchange hashpartitioning\(user#\d+, \d+\)", quiet)
 
 
+def test_busy_keys_are_not_broadcast_by_the_size_of_their_files(revisions, revision_data, monkeypatch):
+    """Beyond the row count, Spark's own threshold for files does not broadcast them after all."""
+    monkeypatch.setattr(lineage, "BROADCAST_ROWS", 0)
+    history = edits.edit_history(revisions, "user", part_edits=60)
+    joins = re.findall(r"BroadcastHashJoin.*", history._jdf.queryExecution().executedPlan().toString())
+    assert all("_block" in j for j in joins)  # one row per partition
+    got = {(r.user, r.part): (r.edits, r.timestamps, r.others, r.actions) for r in history.collect()}
+    assert got == brute_history(revision_data, "user", 60)
+
+
+def revisions_of(*per_page):
+    """Page ``i`` has ``per_page[i]`` edits, two each second, some of them tagged."""
+    return [
+        (1000 * page + i, page, "fixed" if i % 7 == 3 else "" if i % 2 else "moved", f"u{i % 5}", f"20070101{i // 2:06d}")
+        for page, n in enumerate(per_page)
+        for i in range(n)
+    ]
+
+
+def test_keys_of_a_few_parts_are_packed_and_cut(spark):
+    """No key is joined or numbered unless it has more parts than a task packs at once."""
+    data = revisions_of(1, 3, 4, 6, 7, 3 * edits.PACKED_PARTS)
+    history = edits.edit_history(spark.createDataFrame(data[::-1], REVISION).repartition(4), "page", part_edits=3)
+    assert "Join" not in history._jdf.queryExecution().executedPlan().toString()
+    got = {(r.page_id, r.part): (r.edits, r.timestamps, r.others, r.actions) for r in history.collect()}
+    assert got == brute_history(data, "page", 3)
+    assert Counter(r[0] for r in got) == {0: 1, 1: 1, 2: 2, 3: 2, 4: 3, 5: edits.PACKED_PARTS}
+
+
+@pytest.mark.parametrize("packed", [50_000, 5, 2])
+def test_a_key_of_more_parts_is_numbered(spark, monkeypatch, packed):
+    """Also one whose parts have more edits than a task packs, however few they are."""
+    monkeypatch.setattr(edits, "PART_EDITS", packed)
+    data = revisions_of(2, 3 * edits.PACKED_PARTS + 1, 5, 6, 3 * edits.PACKED_PARTS)
+    history = edits.edit_history(spark.createDataFrame(data[::-1], REVISION).repartition(4), "page", part_edits=3)
+    assert "Join" in history._jdf.queryExecution().executedPlan().toString()
+    rows = history.collect()
+    got = {(r.page_id, r.part): (r.edits, r.timestamps, r.others, r.actions) for r in rows}
+    assert got == brute_history(data, "page", 3) and len(rows) == len(got)
+    totals = Counter(r[1] for r in data)
+    assert all(r.total == totals[r.page_id] for r in rows)
+
+
 def test_null_key_has_a_history(spark):
     data = [(i, None if i % 2 else 1, "u", f"2007010100{i:04d}", None) for i in range(50)]
     df = spark.createDataFrame(data, "rev_id bigint, page_id bigint, user string, ts string, comment string")

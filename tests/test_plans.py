@@ -106,3 +106,35 @@ def test_no_single_task_above_the_packing(spark, tmp_path, monkeypatch):
     assert keys == sorted(keys) and len(keys) == 40
     with pytest.raises(FileExistsError):
         jobs.page_edits(spark, str(tmp_path / "in.txt"), str(tmp_path / "id"), "page", "id", files=1)
+
+
+def test_balance_from_text_sends_no_keys_through_the_driver(spark, tmp_path, monkeypatch):
+    """Customers with more orders than a part, and more of them than may be broadcast."""
+    import duckdb
+
+    from pagemill import lineage
+    from pagemill.sources import sinks
+
+    customers = [(i, f"Customer#{i:09d}") for i in range(30)]
+    orders = [i % 12 for i in range(300)] + [12] * 170 + [13] * 161 + [14] * 160 + [15]
+    events = [(i, i % 25, i % 7 + 0.5) for i in range(200)]
+    spark.createDataFrame(customers, "c_custkey bigint, c_name string").write.parquet(str(tmp_path / "customer.parquet"))
+    keys = spark.createDataFrame(list(enumerate(orders)), "o_orderkey bigint, o_custkey bigint")
+    keys.write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(events, "event_id bigint, user_id bigint, value double").write.parquet(str(tmp_path / "events.parquet"))
+    db, plans, write = duckdb.connect(), [], sinks.write_lines
+    for t in ("customer", "orders", "events"):
+        db.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+
+    def noting(lines, path, **options):
+        plans.append(lines._jdf.queryExecution().executedPlan().toString())
+        write(lines, path, **options)
+
+    monkeypatch.setattr(sinks, "write_lines", noting)
+    monkeypatch.setattr(lineage, "BROADCAST_ROWS", 0)
+    got = [tuple(r) for r in catalog.QUERIES["balance_from_text"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(db.execute(catalog.SQL["balance_from_text"]).fetchall()) and len(got) == 25
+    joins = [j for p in plans for j in re.findall(r"\w+Join.*", p)]
+    assert any("SortMergeJoin" in j for j in joins)
+    # Numbering broadcasts one row per partition.
+    assert all("_block" in j for j in joins if "Broadcast" in j)
